@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from layoutlake.llm import byte_bpe, html_text, id_pack, mpeg_audio, quality
+from layoutlake.llm import byte_bpe, html_text, id_pack, mixing, mpeg_audio, quality
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.query,
     "op2_html_text": html_text.query,
     "op3_quality": quality.query,
     "op4_mpeg_audio": mpeg_audio.query,
+    "op5_mixing": mixing.query,
     "op8_id_pack": id_pack.query,
 }
 
