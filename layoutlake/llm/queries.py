@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layoutlake.llm import byte_bpe, html_text, id_pack, mixing, mpeg_audio, quality
+from layoutlake.llm import byte_bpe, html_text, id_pack, line_runs, mixing, mpeg_audio, quality
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.query,
@@ -11,6 +11,9 @@ QUERIES = {
     "op4_mpeg_audio": mpeg_audio.query,
     "op5_mixing": mixing.query,
     "op8_id_pack": id_pack.query,
+    "op9_line_runs": line_runs.query,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_line_runs": line_runs.ORACLE_SQL,
+}
