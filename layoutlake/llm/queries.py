@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layoutlake.llm import byte_bpe, html_text, id_pack, line_runs, mixing, mpeg_audio, near_dup, quality
+from layoutlake.llm import byte_bpe, html_text, id_pack, line_runs, mixing, mpeg_audio, near_dup, quality, repeats
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.query,
@@ -13,6 +13,7 @@ QUERIES = {
     "op6_near_dup": near_dup.query,
     "op8_id_pack": id_pack.query,
     "op9_line_runs": line_runs.query,
+    "op10_repeats": repeats.query,
 }
 
 ORACLE_SQL: dict[str, str] = {
