@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from layoutlake.llm import byte_bpe, html_text, id_pack, line_runs, mixing, mpeg_audio, near_dup, quality, repeats
+from layoutlake.llm import byte_bpe, html_text, id_pack, line_runs, mixing, mpeg_audio, near_dup, quality, repeats, top_k
 
 QUERIES = {
     "op1_byte_bpe": byte_bpe.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op4_mpeg_audio": mpeg_audio.query,
     "op5_mixing": mixing.query,
     "op6_near_dup": near_dup.query,
+    "op7_top_k": top_k.query,
     "op8_id_pack": id_pack.query,
     "op9_line_runs": line_runs.query,
     "op10_repeats": repeats.query,
