@@ -1,10 +1,67 @@
-"""The corpus pipeline: documents to a tokenised, balanced, deduplicated corpus."""
+"""The corpus pipeline: raw documents to a clean, balanced, tokenised corpus.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
+return the columns of ``documents``.  ``run`` writes every stage's rows as Parquet
+and reads them again as the next one's input.  A document is what shares a doc_id.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from layoutlake.llm import byte_bpe, line_runs, mixing, near_dup, quality
+from layoutlake.llm.common import small, table, written
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go; it learns from the raw documents."""
+    model = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).filter(F.col("score") >= quality.THRESHOLD).select(docs.columns)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of many documents stay in one of them."""
+    out = line_runs.apply(docs, line_runs.small_drops(line_runs.drops(docs)))
+    return out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(docs.columns)
+
+
+def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays."""
+    kept = near_dup.classes(docs).filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
+    return docs.join(small(written(kept, "pipeline-kept")), F.col("doc_id") == F.col("kept_id"), "left_semi").select(docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its source's weight asks for."""
+    sized = mixing.with_size(docs)
+    planned = mixing.plan(written(sized.select("doc_id", "source", "size"), "pipeline-sizes"))
+    mixed = mixing.apply(sized, planned).filter(F.col("copies") > 0)
+    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
+
+
+def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every document, with digests of the ids and of the decoded bytes."""
+    import public_tokenizers
+
+    coded = byte_bpe.encode(docs, public_tokenizers.path(byte_bpe.RANKS_FILE), public_tokenizers.PATTERN)
+    return coded.select("doc_id", "lang", "source", "n_chars", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("quality", quality_stage),
+    ("lines", line_stage),
+    ("near_duplicates", near_dup_stage),
+    ("mixing", mixing_stage),
+    ("tokens", tokens_stage),
+]
+
+#: SQL expresses neither the classifier nor the tokenizer.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
