@@ -210,7 +210,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") ->
 
     from pyspark.sql.types import BinaryType, LongType, StructType
 
-    schema = StructType(kept)
+    schema = StructType(list(kept))
     for name, kind in zip(new, (LongType(), BinaryType(), BinaryType()), strict=True):
         schema = schema.add(name, kind)
     return map_batches(df.select([f.name for f in kept]), make, schema)
