@@ -7,21 +7,22 @@ from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio, 0 if either is empty; the order of arguments matters."""
     return pd.Series([SequenceMatcher(None, a, b).ratio() if a and b else 0.0 for a, b in zip(left, right, strict=True)], dtype=float)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def fold(text: pd.Series) -> pd.Series:
     """Case-folded and decomposed, combining marks removed."""
     return text.map(lambda s: None if s is None else "".join(c for c in unicodedata.normalize("NFKD", s.casefold()) if not unicodedata.combining(c)))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def compose(text: pd.Series) -> pd.Series:
     """Composed characters, ligatures and odd spaces resolved."""
     return text.map(lambda s: None if s is None else unicodedata.normalize("NFC", s.translate(LIGATURES)))
