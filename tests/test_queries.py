@@ -6,8 +6,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from layoutlake.plans.oracle import SQL
-from layoutlake.plans.queries import QUERIES
+from layoutlake.plans.catalogue import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="test tables are not here")
