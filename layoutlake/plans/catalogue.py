@@ -1,6 +1,21 @@
 """All registered queries and their SQL."""
 
-from layoutlake.plans import oracle, queries, resolvers
+from layoutlake.plans import oracle, queries, records, resolvers
+from layoutlake.sources import tables
 
-QUERIES = {**queries.QUERIES, **resolvers.QUERIES}
+
+def q70_article_records(spark, sf):
+    """Records of all pages, with the body as a digest."""
+    from pyspark.sql import functions as F
+
+    found = records.records(tables.regions(spark, sf))
+    return found.select("document_id", "pdf_page", "article_id", "title", F.length("body").alias("n_chars"), F.md5("body").alias("body_md5"), "n_parts", "coverage", "confidence", F.array_join("warnings", ";").alias("warnings"), "finalization_status")
+
+
+def q71_document_report(spark, sf):
+    """Ready articles and issues of each document."""
+    return records.document_report(records.records(tables.regions(spark, sf)))
+
+
+QUERIES = {**queries.QUERIES, **resolvers.QUERIES, "q70_article_records": q70_article_records, "q71_document_report": q71_document_report}
 SQL = {**oracle.SQL, **resolvers.SQL}
