@@ -69,11 +69,19 @@ def content_tokens(c: Column, least: int) -> Column:
     return F.array_distinct(F.filter(words(F.lower(c)), lambda w: F.length(w) >= least))
 
 
+def bound(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often lambdas in ``use`` read it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def shingles(c: Column, size: int) -> Column:
     """Distinct word shingles of ``size``; none for shorter texts."""
-    w = words(F.lower(c))
-    n = F.size(w)
-    return F.when(n >= size, F.array_distinct(F.transform(F.sequence(F.lit(1), n - size + 1), lambda i: F.array_join(F.slice(w, i, size), " ")))).otherwise(F.array().cast("array<string>"))
+
+    def of(w: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(w) - size + 1), lambda i: F.array_join(F.slice(w, i, size), " "))
+        return F.when(F.size(w) >= size, F.array_distinct(each)).otherwise(F.array().cast("array<string>"))
+
+    return bound(words(F.lower(c)), of)
 
 
 def scrub_rights(c: Column) -> Column:
