@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 #: Rows up to which a table may be broadcast after its size was counted.
 BROADCAST_ROWS = 200_000
+#: Rows of an Arrow batch handled at once: what bounds a Python worker's memory.
+SLICE_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,8 +71,8 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         each = make()
         for batch in batches:
-            if batch.num_rows:
-                yield each(batch)
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                yield each(batch.slice(at, SLICE_ROWS))
 
     return df.mapInArrow(run, schema)
 

@@ -6,9 +6,9 @@ of a universe of 2**22, coordinate k is the least value of the second permutatio
 over the set's slots, shifted circularly by k.  The second permutation is a table,
 so the coordinates of a shingle are a contiguous slice of it.
 
-Exact copies of a set are reduced to one representative first.  Bands of four
-coordinates are buckets: two sets with similarity 0.75 share none of 32 buckets
-with probability 5e-6.  Work in a bucket stays linear in its members:
+Exact copies of a set are reduced to one representative first.  Bands of five
+coordinates are buckets: two sets with similarity 0.75 share none of 48 buckets
+with probability 2e-6.  Work in a bucket stays linear in its members:
 
 1. Each bucket's centre is its member that shares most buckets with others.  The
    members are verified against their centres on full sets, and links joined.
@@ -37,14 +37,14 @@ from pyspark.sql import functions as F
 from layoutlake.llm.common import drop_written, map_batches, small, table, written
 
 WORDS = 5
-BANDS = 32
-ROWS = 4
+BANDS = 48
+ROWS = 5
 SLOTS = 1 << 22
 SEED = 11
 #: 100 * intersection >= SIMILAR * union.
 SIMILAR = 75
 #: Words kept with their hashes in a task; beyond it the store starts afresh.
-STORE_WORDS = 400_000
+STORE_WORDS = 200_000
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
