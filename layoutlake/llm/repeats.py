@@ -29,6 +29,8 @@ each other.  Texts shorter than WINDOW lose nothing.
 
 from __future__ import annotations
 
+from bisect import bisect
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -260,30 +262,39 @@ def repeated_offsets(before: list[bytes], after: list[bytes]) -> list[list[tuple
     found: list[list[tuple[int, int]]] = [[] for _ in range(m)]
     lcp = np.array(right_lcp)
 
-    def mark(rows: list[int], depth: int) -> list[int]:
-        """``rows`` agree on ``depth`` bytes before; they come sorted by rank."""
-        for x, y in zip(rows, rows[1:], strict=False):
-            agree = int(lcp[rank[x] + 1 : rank[y] + 1].min())
-            if agree + depth >= SIDE:
-                found[x].append((SIDE - agree, depth))
-                found[y].append((SIDE - agree, depth))
-        return rows
-
-    # The tree of common prefixes of ``left``: a node's rows are its children's, by rank.
-    stack: list[tuple[int, list[int]]] = [(SIDE + 1, [left[0]])] if m else []
+    def mark(x: int, y: int, depth: int) -> None:
+        """Ranks x < y agree on ``depth`` bytes before the anchor."""
+        agree = int(lcp[x + 1 : y + 1].min())
+        if agree + depth >= SIDE:
+            found[right[x]].append((SIDE - agree, depth))
+            found[right[y]].append((SIDE - agree, depth))
+
+    def merge(one: list[int], other: list[int], depth: int) -> list[int]:
+        """Both rank lists as one.  Pairs that were neighbours before agree on more bytes already."""
+        if len(one) < len(other):
+            one, other = other, one
+        for r in other:
+            k = bisect(one, r)
+            if k:
+                mark(one[k - 1], r, depth)
+            if k < len(one):
+                mark(r, one[k], depth)
+            one.insert(k, r)
+        return one
+
+    # The tree of common prefixes of ``left``: open nodes from the root down, with their ranks.
+    stack: list[tuple[int, list[int]]] = []
+    rows = [rank[left[0]]] if m else []
     for k in range(1, m):
         depth = left_lcp[k]
-        top_depth, rows = stack.pop()
         while stack and stack[-1][0] >= depth:
             below, more = stack.pop()
-            rows = mark(sorted(rows + more, key=rank.__getitem__), below)
+            rows = merge(more, rows, below)
         stack.append((depth, rows))
-        stack.append((SIDE + 1, [left[k]]))
-    if m:
-        _, rows = stack.pop()
-        while stack:
-            below, more = stack.pop()
-            rows = mark(sorted(rows + more, key=rank.__getitem__), below)
+        rows = [rank[left[k]]]
+    while stack:
+        below, more = stack.pop()
+        rows = merge(more, rows, below)
     return [_union(r) for r in found]
 
 
@@ -327,9 +338,11 @@ _FOUND = "gram long, context long, low int, high int"
 
 def _sort_groups(rows: pa.Table) -> pa.Table:
     """The kernel for one group of at most GROUP contexts."""
-    b, a = rows.column("b").to_pylist(), rows.column("a").to_pylist()
+    # the same context twice would be its own partner
+    first = {(x["gram"], x["context"]): x for x in rows.to_pylist()}
+    repeated = repeated_offsets([x["b"] for x in first.values()], [x["a"] for x in first.values()])
     out = ([], [], [], [])
-    for gram, context, ranges in zip(rows.column("gram").to_pylist(), rows.column("context").to_pylist(), repeated_offsets(b, a), strict=True):
+    for (gram, context), ranges in zip(first, repeated, strict=True):
         for low, high in ranges:
             for values, v in zip(out, (gram, context, low, high), strict=True):
                 values.append(v)
@@ -353,20 +366,27 @@ def _split(rows: DataFrame) -> DataFrame:
 def _repeated(contexts: DataFrame) -> DataFrame:
     """(gram, context, low, high) from the distinct contexts of anchors that have several."""
     rows = contexts.select("gram", "context", "b", "a", F.lit(0).alias("known_b"), F.lit(0).alias("known_a"), F.col("gram").alias("key"))
+    parts = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = []
     while True:
-        rows = written(rows.dropDuplicates(["key", "context"]), "repeat-rows")
-        sizes = written(rows.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1"), "repeat-sizes")
-        few = rows.join(sizes.filter(F.col("m") <= GROUP), "key")
-        out.append(few.select("key", "gram", "context", "b", "a").groupBy("key").applyInArrow(_sort_groups, _FOUND))
+        # a context may come to one key by two ways: it counts once
+        kinds = rows.groupBy("key").agg(F.count("*").alias("m"), F.min("context").alias("low"), F.max("context").alias("high"))
+        sizes = written(kinds.filter("low <> high").select("key", "m"), "repeat-sizes")
+        # a fixed number: few bytes take long here, so Spark isn't to join partitions
+        dealt = rows.join(sizes.filter(F.col("m") <= GROUP), "key").select("key", "gram", "context", "b", "a").repartition(parts, "key")
+        out.append(written(dealt.groupBy("key").applyInArrow(_sort_groups, _FOUND), "repeat-found"))
         large = sizes.filter(F.col("m") > GROUP)
         if large.isEmpty():
+            drop_written(sizes)
             break
         many = rows.join(large, "key")
         # keys of whole windows: being in a group of several decides
         whole = many.filter(F.col("known_b") + F.col("known_a") >= SIDE)
-        out.append(whole.select("gram", "context", F.col("known_b").alias("low"), F.col("known_b").alias("high")))
-        rows = _split(many.filter(F.col("known_b") + F.col("known_a") < SIDE).drop("m"))
+        out.append(written(whole.select("gram", "context", F.col("known_b").alias("low"), F.col("known_b").alias("high")), "repeat-found"))
+        following = written(_split(many.filter(F.col("known_b") + F.col("known_a") < SIDE).drop("m")), "repeat-rows")
+        # only one level's bytes stay on disk
+        drop_written(rows if len(out) > 2 else contexts, sizes)
+        rows = following
     found = out[0]
     for more in out[1:]:
         found = found.unionByName(more)
@@ -382,7 +402,9 @@ def spans(docs: DataFrame) -> DataFrame:
     drop_written(by_context)
     several = kept.filter("kinds > 1")
     wanted = several.select("gram", "context", "one.*").groupBy("row_id").agg(F.collect_list(F.struct("place", "gram", "context")).alias("at"))
-    found = written(_repeated(written(_with_context(docs, written(wanted, "repeat-wanted")), "repeat-bytes")), "repeat-found")
+    # a context comes more than once only from rows that share their id and text
+    bytes_ = _with_context(docs, written(wanted, "repeat-wanted"))
+    found = _repeated(written(bytes_, "repeat-bytes"))
     # a context that occurs twice repeats all its windows; the document's ends cut it where ``of`` is applied
     whole = kept.filter("m > 1").select("gram", "context", F.lit(0).alias("low"), F.lit(SIDE).alias("high"))
     ranges = found.join(whole.select("gram", "context"), ["gram", "context"], "left_anti").unionByName(whole)
