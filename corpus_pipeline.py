@@ -22,7 +22,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of many documents stay in one of them."""
-    out = line_runs.apply(docs, line_runs.small_drops(line_runs.drops(docs)))
+    out = line_runs.apply(docs, line_runs.drops(docs))
     return out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(docs.columns)
 
 

@@ -165,19 +165,10 @@ def apply(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = apply(docs, small_drops(drops(docs)))
+    out = apply(docs, drops(docs))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
-def small_drops(dropped: DataFrame) -> DataFrame:
-    """``dropped`` marked for broadcast if it holds few enough hashes in all."""
-    from layoutlake.llm.common import BROADCAST_ROWS
-
-    at = written(dropped, "line-drops")
-    total = at.agg(F.sum(F.size("dropped"))).first()[0] or 0
-    return F.broadcast(at) if total <= BROADCAST_ROWS else at
-
-
 ORACLE_SQL = r"""
 WITH lines AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
