@@ -35,8 +35,6 @@ SHARE = 1.5
 MOST = 2.0
 TOLERANCE = 1e-6
 STEPS = 60
-#: Steps between two cuts of lineage.
-TOGETHER = 4
 BINS = 64
 PASSES = 4
 OWN = ("size", "source_size", "target", "rate", "copies", "taken")
@@ -85,19 +83,19 @@ def tilts(counts: DataFrame, goals: DataFrame, near) -> DataFrame:
     state = state.withColumn("open", ~F.col("full"))
     rate = F.exp(F.col("tilt") * F.col("size") / F.col("mean"))
     words = F.col("n") * F.col("size")
-    for _ in range(STEPS // TOGETHER):
-        for _ in range(TOGETHER):
-            moved = counts.join(near(state), "place").filter("open")
-            # beyond the cap a rate doesn't move
-            sums = moved.groupBy("place").agg(F.sum(words * F.least(F.lit(MOST), rate)).alias("words"), F.sum(F.when(rate < MOST, words * rate * F.col("size") / F.col("mean")).otherwise(0.0)).alias("slope"))
-            both = near(sums).join(state, "place", "right").withColumn("gap", F.col("words") - F.col("target"))
-            both = both.withColumn("low", F.when(F.col("gap") < 0, F.col("tilt")).otherwise(F.col("low"))).withColumn("high", F.when(F.col("gap") >= 0, F.col("tilt")).otherwise(F.col("high")))
-            newton = F.col("tilt") - F.col("gap") / F.col("slope")
-            inside = (F.col("slope") > 0) & (newton > F.col("low")) & (newton < F.col("high"))
-            done = F.col("gap").isNull() | (F.abs("gap") <= TOLERANCE * F.col("target"))
-            both = both.withColumn("open", ~done).withColumn("tilt", F.when(F.col("full"), None).when(done, F.col("tilt")).when(inside, newton).otherwise((F.col("low") + F.col("high")) / 2))
-            state = both.select(*state.columns)
-        state = written(state, "mix-state")
+    state = written(state, "mix-state")
+    for _ in range(STEPS):
+        moved = counts.join(near(state), "place").filter("open")
+        # beyond the cap a rate doesn't move
+        sums = moved.groupBy("place").agg(F.sum(words * F.least(F.lit(MOST), rate)).alias("words"), F.sum(F.when(rate < MOST, words * rate * F.col("size") / F.col("mean")).otherwise(0.0)).alias("slope"))
+        both = near(sums).join(state, "place", "right").withColumn("gap", F.col("words") - F.col("target"))
+        both = both.withColumn("low", F.when(F.col("gap") < 0, F.col("tilt")).otherwise(F.col("low"))).withColumn("high", F.when(F.col("gap") >= 0, F.col("tilt")).otherwise(F.col("high")))
+        newton = F.col("tilt") - F.col("gap") / F.col("slope")
+        inside = (F.col("slope") > 0) & (newton > F.col("low")) & (newton < F.col("high"))
+        done = F.col("gap").isNull() | (F.abs("gap") <= TOLERANCE * F.col("target"))
+        both = both.withColumn("open", ~done).withColumn("tilt", F.when(F.col("full"), None).when(done, F.col("tilt")).when(inside, newton).otherwise((F.col("low") + F.col("high")) / 2))
+        # cut here: a step reads its state twice, so plans would double
+        state = written(both.select(*state.columns), "mix-state")
         if state.filter("open").isEmpty():
             break
     return state.select("place", "tilt", "mean")
@@ -113,6 +111,7 @@ def _shift(steps: DataFrame, goals: DataFrame, near) -> DataFrame:
     ``steps`` has (place, size, mark), ``goals`` (place, wanted).
     """
     state = goals.select("place", "wanted", F.lit(-2.0).alias("low"), F.lit(2.0).alias("high"), F.lit(0.0).alias("base"), F.lit(0.0).alias("reach"))
+    state = written(state, "mix-shift")
     w = Window.partitionBy("place").orderBy("bin")
     width = (F.col("high") - F.col("low")) / BINS
     for _ in range(PASSES):
@@ -122,7 +121,7 @@ def _shift(steps: DataFrame, goals: DataFrame, near) -> DataFrame:
         sums = sums.withColumn("through", F.col("start") + F.sum("words").over(w))
         crossing = sums.filter("through >= goal").groupBy("place").agg(F.min(F.struct("bin", "through", "words")).alias("c"))
         none = F.col("c").isNull()  # without a crossing all of them are wanted
-        state = near(crossing).join(state, "place", "right").select(
+        following = near(crossing).join(state, "place", "right").select(
             "place",
             "wanted",
             F.when(none, F.col("high")).otherwise(F.col("low") + F.col("c.bin") * width).alias("low"),
@@ -130,8 +129,9 @@ def _shift(steps: DataFrame, goals: DataFrame, near) -> DataFrame:
             F.when(none, F.col("base")).otherwise(F.col("c.through") - F.col("c.words")).alias("base"),
             F.when(none, F.col("reach")).otherwise(F.col("c.through")).alias("reach"),
         )
+        state = written(following, "mix-shift")
     nearer = F.abs(F.col("reach") - F.col("wanted")) < F.abs(F.col("base") - F.col("wanted"))
-    return written(state.select("place", F.when(nearer, F.col("high")).otherwise(F.col("low")).alias("shift")), "mix-shift")
+    return state.select("place", F.when(nearer, F.col("high")).otherwise(F.col("low")).alias("shift"))
 
 
 def plan(docs: DataFrame) -> DataFrame:
