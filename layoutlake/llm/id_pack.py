@@ -39,7 +39,11 @@ BLOCK_IDS = 1 << 18
 #: Runs without ASCII white space.
 WORDS = re.compile(r"[^ \t-\r]+").findall
 #: Distinct words kept with their ids in a task; beyond it the store starts afresh.
-STORE_WORDS = 400_000
+STORE_WORDS = 1_000_000
+#: Letters (ASCII, Latin-1), then marks other than apostrophes: one or two parts to the tokenizer.
+PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[!#$%&()*+,\-./:;=?@\[\]_|]*").fullmatch
+#: Plain words that the tokenizer takes as one text.
+TOGETHER = 2_000
 
 
 def bits_for(vocabulary: int) -> int:
@@ -105,17 +109,38 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.store: dict[str, bytes] = {}
+        #: Whether an id ends a letter run or mark run.
+        self.last = np.zeros(max(self.tokenizer.get_vocab(True).values()) + 1, bool)
+        self.last[[i for t, i in self.tokenizer.get_vocab(True).items() if t.endswith("</w>")]] = True
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         store = self.store
         if len(store) > STORE_WORDS:
             store.clear()
         cut = [WORDS(t) for t in texts]
-        new = list({w: None for words in cut for w in words if w not in store})
-        for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
+        new = dict.fromkeys(w for words in cut for w in words if w not in store)
+        plain = [w for w in new if PLAIN(w)]
+        self._encode_plain(plain)
+        rest = [w for w in new if w not in store]
+        for word, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             store[word] = np.array(found.ids, "<u4").tobytes()
         return [np.frombuffer(b"".join([store[w] for w in words]), "<u4") for words in cut]
 
+    def _encode_plain(self, words: list[str]) -> None:
+        """Encode words of letters and then marks together; their parts' last ids tell them apart."""
+        for at in range(0, len(words), TOGETHER):
+            part = words[at : at + TOGETHER]
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.last[ids])
+            parts = np.cumsum([1 if w[-1].isalpha() else 2 for w in part])
+            if len(ends) != parts[-1]:
+                continue  # not as expected: each by itself
+            stops = ((ends[parts - 1] + 1) * 4).tolist()
+            data, start = ids.tobytes(), 0
+            for word, stop in zip(part, stops, strict=True):
+                self.store[word] = data[start:stop]
+                start = stop
+
 
 @lru_cache(maxsize=1)
 def encoder_of(path: str) -> WordEncoder:
