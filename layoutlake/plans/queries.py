@@ -84,10 +84,13 @@ def q07_rights_scrub(spark, sf):
 @query
 def q09_geometry_pairs(spark, sf):
     """Pairs of regions of a page by overlap and gap."""
-    r = src.regions(spark, sf).filter("region_ord < 40")
+    r = src.regions(spark, sf)
     a, b = (r.select(*DOC, *(F.col(c).alias(f"{p}{c}") for c in ("region_ord", "x0", "y0", "x1", "y1"))) for p in ("a_", "b_"))
-    pairs = a.join(b, DOC).filter("a_region_ord < b_region_ord")
     over, gap = geometry.horizontal_overlap(geometry.box("a_"), geometry.box("b_")), geometry.vertical_gap(geometry.box("a_"), geometry.box("b_"))
+    # a is the upper region: it goes to every bucket in which a region within reach can begin, b only to its own
+    bucket = lambda y: F.floor(y / 48)
+    a = a.withColumn("bucket", F.explode(F.sequence(bucket(F.col("a_y0")), bucket(F.col("a_y1") + 24))))
+    pairs = a.join(b.withColumn("bucket", bucket(F.col("b_y0"))), [*DOC, "bucket"]).filter("struct(a_y0, a_region_ord) < struct(b_y0, b_region_ord)")
     return pairs.filter((over >= 0.2) & (gap <= 24)).groupBy(*DOC).agg(F.count("*").alias("n_pairs"), F.round(F.sum(over), 4).alias("sum_overlap"), F.round(F.max(gap), 4).alias("largest_gap"))
 
 
