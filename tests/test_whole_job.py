@@ -36,3 +36,14 @@ def test_geometry_pairs_has_regions_beyond_the_fortieth(spark, tmp_path):
 @tables
 def test_geometry_pairs_by_sql_without_its_cap(spark):
     assert agrees(spark, "q09_geometry_pairs", SQL["q09_geometry_pairs"].replace(" AND b.region_ord < 40", ""))
+
+
+def test_image_coverage_has_all_regions(spark, tmp_path):
+    sf = documents(spark, tmp_path, "a\nb\nc")
+    # columns 2 to 14 in rows 1 and 2 (lines 0 and 2), columns 16 to 29 in row 1 (line 1)
+    assert [round(r.coverage * 1024) for r in QUERIES["q41_image_coverage"](spark, sf).collect()] == [13 * 2 + 14]
+
+
+@tables
+def test_image_coverage_by_sql_without_its_filter(spark):
+    assert agrees(spark, "q41_image_coverage", SQL["q41_image_coverage"].replace(" WHERE region_ord % 5 = 0", ""))
