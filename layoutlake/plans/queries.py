@@ -189,14 +189,24 @@ def q17_dup_self_join(spark, sf):
 
 @query
 def q18_pull_quote(spark, sf):
-    """Lines of 6 to 20 words most of whose content words stand in one other line of the page."""
-    rows = lines(spark, sf).select(*DOC, "region_ord", text.content_tokens(F.col("text"), 5).alias("w")).withColumn("n", F.size("w"))
-    quotes = rows.filter("n between 3 and 12")
-    tokens = rows.select(*DOC, F.col("region_ord").alias("other"), F.explode("w").alias("t"))
-    hits = quotes.select(*DOC, "region_ord", "n", F.explode("w").alias("t")).join(tokens, [*DOC, "t"]).filter("other <> region_ord")
-    cover = hits.groupBy(*DOC, "region_ord", "other", "n").agg(F.count("*").alias("shared")).filter(F.col("shared") >= 0.78 * F.col("n"))
-    best = ranking.top(cover, [*DOC, "region_ord"], [F.col("shared").desc(), F.col("other")], 1)
-    return best.select(*DOC, "region_ord", "other", "shared", "n")
+    """Lines of 6 to 40 words of four letters or more most of which stand in one other line of the page."""
+    pages = lines(spark, sf).dropna(subset=DOC).groupBy(*DOC).agg(F.collect_list(F.struct("region_ord", "text")).alias("lines"))
+    rows = F.transform("lines", lambda r: F.struct(r["region_ord"], text.content_tokens(r["text"], 4).alias("w")))
+    enough = lambda shared, q: shared >= 0.78 * F.size(q["w"])
+
+    def best(q, rows):
+        others = F.transform(F.filter(rows, lambda r: r["region_ord"] != q["region_ord"]), lambda r: F.struct((-F.size(F.array_intersect(q["w"], r["w"]))).alias("less"), r["region_ord"].alias("other")))
+        return F.struct(q["region_ord"].alias("region_ord"), F.size(q["w"]).alias("n"), F.array_min(F.filter(others, lambda o: enough(-o["less"], q))).alias("best"))
+
+    def quotes(rows):
+        # words of one line only are in no other line, so most lines needn't be compared with the others
+        every = F.sort_array(F.flatten(F.transform(rows, lambda r: r["w"])))
+        again = text.bound(every, lambda t: F.filter(t, lambda w, k: w == F.get(t, k + 1)))
+        tested = lambda again: F.filter(rows, lambda q: F.size(q["w"]).between(6, 40) & enough(F.size(F.array_intersect(q["w"], again)), q))
+        return F.transform(text.bound(again, tested), lambda q: best(q, rows))
+
+    found = pages.select(*DOC, F.explode(text.bound(rows, quotes)).alias("q")).filter("q.best is not null")
+    return found.select(*DOC, "q.region_ord", "q.best.other", (-F.col("q.best.less")).cast("long").alias("shared"), "q.n")
 
 
 @query

@@ -47,3 +47,17 @@ def test_image_coverage_has_all_regions(spark, tmp_path):
 @tables
 def test_image_coverage_by_sql_without_its_filter(spark):
     assert agrees(spark, "q41_image_coverage", SQL["q41_image_coverage"].replace(" WHERE region_ord % 5 = 0", ""))
+
+
+def test_pull_quote_has_the_reference_bounds(spark, tmp_path):
+    words = [f"{a}{b}word" for a in "abcdefgh" for b in "abcdef"]
+    page = lambda n: "\n".join([" ".join(words), "in the " + " ".join(words[:n])])
+    short = "\n".join(["four five nine zero long with", "four five nine zero long with more text"])
+    sf = documents(spark, tmp_path, page(5), page(6), page(13), page(40), page(41), short)
+    rows = QUERIES["q18_pull_quote"](spark, sf).collect()
+    assert sorted((r.pdf_page, r.region_ord, r.other, r.shared, r.n) for r in rows) == [(1, 1, 0, 6, 6), (2, 1, 0, 13, 13), (3, 1, 0, 40, 40), (5, 0, 1, 6, 6)]
+
+
+@tables
+def test_pull_quote_by_sql_with_the_reference_bounds(spark):
+    assert agrees(spark, "q18_pull_quote", SQL["q18_pull_quote"].replace("length(w) >= 5", "length(w) >= 4").replace("BETWEEN 3 AND 12", "BETWEEN 6 AND 40"))
