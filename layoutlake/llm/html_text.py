@@ -2,7 +2,9 @@
 
 A page is cut into flat blocks at block-level tags.  Each block has a word count
 and a link density; with those of the blocks before and after it, and a hint
-from the containers around it, a small decision tree calls it text or not.  The
+from the containers around it, a small decision tree calls it text or not.  An
+article or main element inside a form or wrapper is an article all the same; in
+doubtful containers words and links decide.  The
 tree is trained here (``grow``) on ``LABELLED``, a small table of labelled blocks.
 
 Character references are decoded, white space inside a block becomes one space,
@@ -29,13 +31,28 @@ from layoutlake.llm.common import map_batches, table
 BLOCK_TAGS = frozenset("address article aside blockquote body br button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html iframe legend li main menu nav noscript ol optgroup option p pre search section select summary table tbody td template textarea tfoot th thead title tr ul video audio".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("script style textarea title noscript template iframe svg math select option button object canvas noembed noframes".split())
-# Containers whose text is never the article's; containers that hold articles.
-OUTSIDE_TAGS = frozenset("nav footer aside form menu dialog head header fieldset".split())
+# Containers whose text is not the article's, nor are articles in them its text.
+OUTSIDE_TAGS = frozenset("nav footer aside menu dialog head".split())
+OUTSIDE_ROLES = frozenset("navigation contentinfo complementary search dialog alert alertdialog menu menubar toolbar".split())
+OUTSIDE_NAMES = re.compile(r"ads?|adverts?|advertisement|advertising|comments?|comment-?list|disqus|(?:site-|page-)?(?:footer|nav|navigation|menu)|navbar|promo|promoted|recommended|related|reply|replies|respond|sidebar|side-?bar|sponsor|sponsored|teasers?|widget", re.I)
+# Containers whose text is not the article's, but that may hold the article.
+LOOSE_TAGS = frozenset(["header"])
+LOOSE_ROLES = frozenset(["banner"])
+LOOSE_NAMES = re.compile(r"banner|breadcrumbs?|byline-share|consent|(?:cookies?|gdpr)(?:-(?:banner|bar|consent|notice))?|copyright|disclaimer|(?:site-|page-)?header|masthead|modal|newsletter|notices?|pagination|paywall|pop-?up|share|sharing|skip-link|social|subscribe|subscription|tags|toolbar", re.I)
+# Containers in which words and links decide; names that have one of the above as a part do so too.
+DOUBTFUL_TAGS = frozenset("form fieldset".split())
+DOUBTFUL_ROLES = frozenset(["form"])
+PART = re.compile(rf"(?:^|[-_])(?:{OUTSIDE_NAMES.pattern}|{LOOSE_NAMES.pattern})(?:$|[-_])", re.I)
+# Names that say what a page has or lacks, and headers of something.
+NO_CONTAINER = re.compile(r"(?:has|with|without|no|not|hide|show|is)[-_].*|.*[-_](?:header|masthead)", re.I)
 ARTICLE_TAGS = frozenset("article main".split())
-OUTSIDE_NAMES = re.compile(r"(?:^|[-_\s])(?:ads?|adverts?|advertisement|advertising|banner|breadcrumbs?|byline-share|comments?|comment-?list|consent|cookies?|copyright|disclaimer|disqus|footer|gdpr|header|masthead|menu|modal|nav|navbar|navigation|newsletter|notices?|pagination|paywall|pop-?up|promo|promoted|recommended|related|reply|replies|respond|share|sharing|sidebar|side-?bar|skip-link|social|sponsor|sponsored|subscribe|subscription|tags|teasers?|toolbar|widget)(?:$|[-_\s])", re.I)
-ARTICLE_NAMES = re.compile(r"(?:^|[-_\s])(?:article-?body|article|content|entry-?content|main|main-?content|post|post-?body|post-?content|story|story-?body)(?:$|[-_\s])", re.I)
-OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 ARTICLE_ROLES = frozenset("main article".split())
+ARTICLE_NAMES = re.compile(r"article-?body|article|content|entry-?content|main|main-?content|post|post-?body|post-?content|story|story-?body", re.I)
+
+#: What holds inside an element.
+HIDDEN, LOOSE, OUTSIDE, DOUBTFUL, NONE, ARTICLE = -2, -1.5, -1, -0.5, 0, 1
+#: What only an element itself says.
+INNER_ARTICLE, INNER_MAIN = 2, 3
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)[^>]*>?", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
@@ -45,33 +62,66 @@ HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 @dataclass(slots=True)
 class Flat:
-    """A flat block.  ``hint``: -1 in a container that is no article, 1 in one that is, else 0."""
+    """A flat block.  ``hint``: -1 in a container that is no article, 1 in one that is, -0.5 in a doubtful one, else 0."""
 
     text: str
     words: int
     link_density: float
-    hint: int
-
-
-def _hint(name: str, attributes: str) -> int:
-    """-1, 0 or 1 for what a container's tag and attributes say; -2 for a hidden one."""
-    hint = -1 if name in OUTSIDE_TAGS else 1 if name in ARTICLE_TAGS else 0
+    hint: float
+
+
+def _named(names: str) -> float:
+    """What a class or id says, each of its names as a whole."""
+    said = set()
+    for name in names.split():
+        if OUTSIDE_NAMES.fullmatch(name):
+            said.add(OUTSIDE)
+        elif LOOSE_NAMES.fullmatch(name):
+            said.add(LOOSE)
+        elif ARTICLE_NAMES.fullmatch(name):
+            said.add(ARTICLE)
+        elif PART.search(name) and not NO_CONTAINER.fullmatch(name):
+            said.add(DOUBTFUL)
+    if ARTICLE in said:
+        return DOUBTFUL if said & {OUTSIDE, LOOSE} else ARTICLE
+    return next((s for s in (OUTSIDE, LOOSE, DOUBTFUL) if s in said), NONE)
+
+
+def _hint(name: str, attributes: str) -> float:
+    """What a container's tag and attributes say."""
+    hint = OUTSIDE if name in OUTSIDE_TAGS else LOOSE if name in LOOSE_TAGS else DOUBTFUL if name in DOUBTFUL_TAGS else INNER_MAIN if name == "main" else INNER_ARTICLE if name == "article" else NONE
     if attributes:
         for found in ATTRIBUTE.finditer(attributes):
             key = found[1].lower()
             value = found[2] or found[3] or found[4] or ""
             if key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and HIDDEN_STYLE.search(value):
-                return -2
+                return HIDDEN
             if key == "role":
-                hint = -1 if value.lower() in OUTSIDE_ROLES else hint or int(value.lower() in ARTICLE_ROLES)
+                role = value.lower()
+                said = OUTSIDE if role in OUTSIDE_ROLES else LOOSE if role in LOOSE_ROLES else DOUBTFUL if role in DOUBTFUL_ROLES else INNER_MAIN if role == "main" else INNER_ARTICLE if role == "article" else NONE
+                hint = said if said < NONE else hint or said
             elif key in ("class", "id") and name not in ("body", "html", "article", "main"):
-                if OUTSIDE_NAMES.search(value):
-                    hint = -1
-                elif hint == 0 and ARTICLE_NAMES.search(value):
-                    hint = 1
+                said = _named(value)
+                if said in (OUTSIDE, LOOSE) or hint in (NONE, ARTICLE) and said:
+                    hint = said
     return hint
 
 
+def _inside(own: float, hint: float, header: bool) -> float:
+    """What holds inside an element that says ``own`` and stands where ``hint`` holds."""
+    if HIDDEN in (own, hint):
+        return HIDDEN
+    if own == INNER_MAIN or own == INNER_ARTICLE and hint != OUTSIDE:
+        return ARTICLE  # a form or wrapper around the article has no say in it
+    if own in (NONE, INNER_ARTICLE) or header and hint == ARTICLE:
+        return hint  # an article's own headline is its text
+    if hint in (OUTSIDE, LOOSE):
+        return OUTSIDE if own == OUTSIDE else hint
+    if hint == DOUBTFUL and own == ARTICLE:
+        return hint
+    return own
+
+
 def blocks(page: str) -> list[Flat]:
     """The flat text blocks of a page in page order."""
     out: list[Flat] = []
@@ -79,8 +129,8 @@ def blocks(page: str) -> list[Flat]:
     linked: list[str] = []
     links = 0
     #: Open elements: name, the hint that holds inside, whether it is a link.
-    open_: list[tuple[str, int, bool]] = []
-    hint = 0
+    open_: list[tuple[str, float, bool]] = []
+    hint: float = NONE
 
     def close() -> None:
         nonlocal text, linked
@@ -89,7 +139,7 @@ def blocks(page: str) -> list[Flat]:
             if joined:
                 words = joined.count(" ") + 1
                 inside = WHITE.sub(" ", html.unescape(" ".join(linked))).strip()
-                out.append(Flat(joined, words, (inside.count(" ") + 1) / words if inside else 0.0, hint))
+                out.append(Flat(joined, words, (inside.count(" ") + 1) / words if inside else 0.0, OUTSIDE if hint == LOOSE else hint))
             text, linked = [], []
 
     at, end = 0, len(page)
@@ -141,11 +191,10 @@ def blocks(page: str) -> list[Flat]:
                     break
             hint = open_[-1][1] if open_ else 0
         own = _hint(name, attributes)
-        # what is in no article stays so; a header or form inside an article is no article
-        inner = own if own == -2 else hint if own == 0 or hint < 0 and own > -2 else own
-        if name == "header" and hint == 1:
-            inner = 1  # an article's own headline
-        if own == -1 and name not in BLOCK_TAGS and inner != hint:
+        if own == DOUBTFUL and name not in BLOCK_TAGS:
+            own = NONE
+        inner = _inside(own, hint, name == "header")
+        if own in (OUTSIDE, LOOSE) and name not in BLOCK_TAGS and inner != hint:
             close()
         open_.append((name, inner, name == "a"))
         links += name == "a"
@@ -182,6 +231,12 @@ LABELLED = (
     (4, 0.50, 1, 70, 0.00, 8, 0.00, 1), (20, 0.30, 1, 10, 0.50, 5, 0.80, 1), (55, 0.00, 1, 3, 1.00, 2, 1.00, 1),
     (3, 0.00, 1, 4, 0.00, 11, 0.00, 1), (16, 0.00, 1, 0, 0.00, 0, 0.00, 1), (70, 0.00, 1, 12, 0.00, 0, 0.00, 1),
     (9, 0.55, 1, 80, 0.00, 75, 0.00, 1), (8, 0.00, 1, 30, 0.60, 30, 0.60, 1), (5, 0.00, 1, 3, 0.00, 4, 0.00, 1),
+    (60, 0.00, -0.5, 40, 0.00, 50, 0.00, 1), (30, 0.00, -0.5, 60, 0.00, 45, 0.00, 1), (90, 0.05, -0.5, 3, 1.00, 80, 0.00, 1),
+    (25, 0.05, -0.5, 70, 0.00, 30, 0.10, 1), (45, 0.00, -0.5, 8, 0.00, 4, 0.50, 1), (120, 0.10, -0.5, 5, 0.50, 6, 0.50, 1),
+    (40, 0.20, -0.5, 20, 0.00, 35, 0.00, 1), (200, 0.00, -0.5, 0, 0.00, 0, 0.00, 1), (8, 0.00, -0.5, 1, 1.00, 60, 0.00, 1),
+    (1, 0.00, -0.5, 1, 0.00, 9, 0.00, 0), (2, 0.00, -0.5, 60, 0.00, 2, 0.00, 0), (5, 0.00, -0.5, 3, 0.00, 6, 0.00, 0),
+    (12, 0.10, -0.5, 4, 0.00, 2, 1.00, 0), (6, 1.00, -0.5, 5, 1.00, 7, 1.00, 0), (30, 0.70, -0.5, 10, 0.50, 12, 0.60, 0),
+    (14, 0.00, -0.5, 3, 0.00, 2, 0.00, 0), (5, 0.00, -0.5, 60, 0.00, 1, 0.00, 0), (3, 0.00, -0.5, 5, 0.00, 60, 0.00, 0),
     (6, 0.00, 0, 50, 0.00, 2, 1.00, 0), (4, 0.00, 0, 9, 0.00, 0, 0.00, 0), (25, 0.60, 0, 40, 0.00, 30, 0.00, 0),
 )
 NAMES = ("words", "link_density", "hint", "words_before", "link_density_before", "words_after", "link_density_after")
