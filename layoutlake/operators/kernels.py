@@ -57,6 +57,74 @@ def columns(regions: DataFrame) -> DataFrame:
     return regions.groupBy("document_id", "pdf_page").applyInPandas(lambda page: page_columns(page), schema)
 
 
+@dataclass(frozen=True)
+class OrderSettings:
+    left_tolerance: float = 18.0
+    width_tolerance: float = 0.12
+    least_overlap: float = 0.55
+    wide: float = 1.55
+    spanning_overlap: float = 0.35
+    largest_gap: float = 120.0
+
+
+def _overlap(a: tuple[float, float], b: tuple[float, float]) -> float:
+    width = min(a[1] - a[0], b[1] - b[0])
+    return max(0.0, min(a[1], b[1]) - max(a[0], b[0])) / width if width > 0 else 0.0
+
+
+def page_order(page: pd.DataFrame, s: OrderSettings = OrderSettings()) -> pd.DataFrame:
+    """``page`` with ``column``, ``place`` in the reading order and its ``confidence``.
+
+    Columns come from bodies of usual width.  Regions that span two columns cut the page
+    into bands; the order is by band, column and height.  Regions without a box come last.
+    """
+    rows = list(zip(*(page[c].tolist() for c in ("x0", "y0", "x1", "y1", "region_ord", "kind")), strict=True))
+    boxed = [k for k, (x0, y0, x1, y1, *_) in enumerate(rows) if all(c is not None and abs(c) < float("inf") for c in (x0, y0, x1, y1)) and x1 > x0 and y1 > y0]
+    height = lambda k: (rows[k][1], rows[k][0], rows[k][4])
+    bodies = [k for k in boxed if rows[k][5] == "body"]
+    usual = median(rows[k][2] - rows[k][0] for k in bodies) if bodies else 0.0
+    found: list[list[int]] = []
+    for x0, _, x1, k in sorted((rows[k][0], rows[k][1], rows[k][2], k) for k in bodies if len(bodies) < 3 or rows[k][2] - rows[k][0] <= s.wide * usual):
+        best, into = 0.0, None
+        for column in found:
+            left, right = median(rows[j][0] for j in column), median(rows[j][2] for j in column)
+            over = _overlap((x0, x1), (left, right))
+            if abs(x0 - left) <= max(s.left_tolerance, s.width_tolerance * (x1 - x0)) and over >= s.least_overlap and over > best:
+                best, into = over, column
+        if into is None:
+            found.append([k])
+        else:
+            into.append(k)
+    spans = sorted((median(rows[j][0] for j in c), median(rows[j][2] for j in c)) for c in found)
+    width = median(b - a for a, b in spans) if spans else 0.0
+    over = {k: [_overlap((rows[k][0], rows[k][2]), b) for b in spans] for k in boxed}
+    spanning = sorted((k for k in boxed if len(spans) > 1 and rows[k][2] - rows[k][0] >= s.wide * width and sum(o >= s.spanning_overlap for o in over[k]) > 1), key=height)
+    middle = lambda k: (rows[k][1] + rows[k][3]) / 2
+    keyed = [((n, 1, 0, 0.0, 0.0, 0), k, None, 0.70) for n, k in enumerate(spanning)]
+    for k in set(boxed) - set(spanning):
+        column = max(range(len(spans)), key=lambda c: (over[k][c], -c)) if spans else None
+        confidence = 0.35 if column is None else 0.85 if over[k][column] >= s.least_overlap else 0.45
+        if any(rows[k][1] < rows[j][3] and rows[k][3] > rows[j][1] for j in spanning):
+            confidence = min(confidence, 0.40)
+        band = sum(middle(k) > middle(j) for j in spanning)
+        keyed.append(((band, 0, column or 0, *height(k)), k, column, confidence))
+    keyed.sort(key=lambda x: x[0])
+    keyed += [((), k, None, 0.15) for k in sorted(set(range(len(rows))) - set(boxed), key=lambda k: rows[k][4])]
+    place, columns_, confidences = ([None] * len(rows) for _ in range(3))
+    before = None
+    for n, (_, k, column, confidence) in enumerate(keyed):
+        if before is not None and column is not None and column == before[1] and rows[k][1] - rows[before[0]][3] > s.largest_gap:
+            confidence = min(confidence, 0.55)
+        place[k], columns_[k], confidences[k] = n + 1, column, confidence
+        before = k, column
+    return page.assign(column=pd.array(columns_, "Int64"), place=place, confidence=confidences)
+
+
+def reading_order(regions: DataFrame) -> DataFrame:
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in regions.schema.fields) + ", column long, place long, confidence double"
+    return regions.groupBy("document_id", "pdf_page").applyInPandas(lambda page: page_order(page), schema)
+
+
 def _pair_score(a, b, s: ContinuationSettings) -> float:
     """How well body ``b`` continues body ``a``; 0 for a veto."""
     shift, gap = abs(a.x0 - b.x0), max(0.0, b.y0 - a.y1, a.y0 - b.y1)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layoutlake.functions import geometry, text
@@ -73,8 +73,8 @@ def own(regions: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def ordered(regions: DataFrame) -> DataFrame:
-    """``regions`` with column and place in the page's running order."""
-    return kernels.columns(regions).withColumn("place", F.row_number().over(Window.partitionBy(*PAGE).orderBy("column", "y0", "x0", "region_ord")))
+    """``regions`` with column, place in the page's reading order and its confidence."""
+    return kernels.reading_order(regions)
 
 
 def records(regions: DataFrame, s: RecordSettings = RecordSettings()) -> DataFrame:

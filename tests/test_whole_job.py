@@ -61,3 +61,17 @@ def test_pull_quote_has_the_reference_bounds(spark, tmp_path):
 @tables
 def test_pull_quote_by_sql_with_the_reference_bounds(spark):
     assert agrees(spark, "q18_pull_quote", SQL["q18_pull_quote"].replace("length(w) >= 5", "length(w) >= 4").replace("BETWEEN 3 AND 12", "BETWEEN 6 AND 40"))
+
+
+def test_reading_order_has_bands_between_spanning_regions():
+    import pandas as pd
+
+    from layoutlake.operators import kernels
+
+    two = [(x, y) for y in (100.0, 130.0, 400.0, 430.0) for x in (40.0, 310.0)]
+    rows = [(x, y, x + 240, y + 20, "body") for x, y in two] + [(40.0, 200.0, 550.0, 300.0, "title"), (None, None, None, None, "body"), (40.0, 290.0, 280.0, 310.0, "body"), (120.0, 40.0, 300.0, 60.0, "title"), (310.0, 600.0, 550.0, 620.0, "body")]
+    page = pd.DataFrame(rows, columns=["x0", "y0", "x1", "y1", "kind"]).astype({c: float for c in ("x0", "y0", "x1", "y1")}).assign(region_ord=range(len(rows)))
+    out = kernels.page_order(page).sort_values("place")
+    # above the title (8) both columns, below it both columns, the region without a box (9) last
+    assert out.region_ord.tolist() == [11, 0, 2, 1, 3, 8, 10, 4, 6, 5, 7, 12, 9]
+    assert dict(zip(out.region_ord, out.confidence)) == {**dict.fromkeys(range(8), 0.85), 8: 0.70, 9: 0.15, 10: 0.40, 11: 0.85, 12: 0.55}
