@@ -2,8 +2,8 @@
 
 Documents are indexed in shards of ``SHARD_DOCS``: for each term its postings in
 document order, cut into blocks of ``BLOCK_DOCS`` consecutive documents with the
-greatest term weight of each block.  A query is evaluated per shard by WAND's rule
-on these aligned blocks: a block's bound is the sum of its terms' greatest weights;
+greatest term weight of each block.  A query is evaluated per shard in two phases,
+without WAND's pivot and rising threshold: a block's bound is the sum of its terms' greatest weights;
 the blocks with the highest bounds are scored first, and then only those whose
 bound reaches the k-th best score so far.  Document frequencies, document count
 and mean length are those of the whole corpus, so shards' lists merge exactly.
