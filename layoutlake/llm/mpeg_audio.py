@@ -8,8 +8,8 @@ with a Xing table (frames, bytes, a 100-entry seek table); the last frame takes
 the least bit rate that holds the rest, so bit rates may vary.
 
 ``parse`` reads any Layer I, II or III stream: it skips tags, finds the next
-header that a second header (or the end) confirms, checks CRCs, reads Xing,
-Info and VBRI tables, and gives the exact duration in samples and the byte
+header that a second header (or the end) confirms, checks the CRCs of Layer III and
+counts those of Layers I and II as unchecked, reads Xing, Info and VBRI tables, and gives the exact duration in samples and the byte
 offset of every frame.
 
 Payload rule: the text's UTF-8 bytes (null: none), then bytes 0 up to a positive
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layoutlake.llm.common import map_batches, table
+from layoutlake.llm.common import map_batches, table, written
 
 # Fixed values of the format: kbit/s by bit-rate index 1 to 14.
 RATES = {
@@ -172,6 +172,7 @@ class Stream:
     sample_rate: int = 0
     crc_checked: int = 0
     crc_wrong: int = 0
+    crc_unchecked: int = 0  # protected frames of Layers I and II
     skipped: int = 0  # bytes that belong to no frame or tag
     cut: bool = False  # the last frame is not whole
 
@@ -267,7 +268,9 @@ def parse(data: bytes) -> Stream:
     flat = np.frombuffer(data, np.uint8)
     for raw, offsets in kinds.items():
         header = out.headers[raw]
-        if header.protected and header.layer == 3:
+        if header.protected and header.layer != 3:
+            out.crc_unchecked += len(offsets)
+        elif header.protected:
             rows = flat[np.array(offsets)[:, None] + np.array([2, 3, 4, 5, *range(6, 6 + header.side)])]
             wanted = rows[:, 2].astype(np.uint32) << 8 | rows[:, 3]
             out.crc_checked += len(rows)
@@ -335,4 +338,4 @@ def from_media(df: DataFrame) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return from_media(to_media(table(spark, sf_dir, "documents"))).drop("n_frames", "duration_samples", "offsets")
+    return from_media(written(to_media(table(spark, sf_dir, "documents")), "mpeg-media"))
