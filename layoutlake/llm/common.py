@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import uuid
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows up to which a table may be broadcast after its size was counted.
-BROADCAST_ROWS = 200_000
-#: Rows of an Arrow batch handled at once: what bounds a Python worker's memory.
+#: Bytes up to which a table may be broadcast after its size was measured.
+BROADCAST_BYTES = 16 << 20
+#: Rows and bytes of an Arrow batch handled at once: what bounds a Python worker's memory.
+#: A single row may be larger; it then is a batch by itself.
 SLICE_ROWS = 1_000
+BATCH_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,18 +56,61 @@ def drop_written(*frames: DataFrame) -> None:
     """Delete tables that ``written`` made and no later plan reads."""
     for df in frames:
         spark = df.sparkSession
-        roots = {f.rsplit("/part-", 1)[0] for f in df.inputFiles()}
+        roots = {re.sub(r"/(?:[^/]*=[^/]*/)*part-[^/]*$", "", f) for f in df.inputFiles()}
         for root in roots:
             path = spark._jvm.org.apache.hadoop.fs.Path(root)
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``limit`` rows, else as it is.
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
-    ``df`` should be a written table, so that counting it is cheap.
+
+def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if its rows take at most ``limit`` bytes, else as it is.
+
+    ``df`` should be a written table of numbers and strings, so that measuring it is cheap.
     """
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    kinds = dict(df.dtypes)
+    wide = [c for c, kind in kinds.items() if kind in ("string", "binary")]
+    if any("<" in kind for kind in kinds.values()):
+        raise ValueError("a table with nested columns isn't broadcast")
+    size = F.lit(16 * len(kinds) + 16)
+    for c in wide:
+        size = size + F.coalesce(F.octet_length(c), F.lit(0))
+    taken = df.agg(F.sum(size.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if taken <= limit else df
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches limited to BATCH_BYTES."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(name).rstrip("b")) != BATCH_BYTES:
+        conf.set(name, f"{BATCH_BYTES}b")
+    return df
+
+
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches``; at the end the worker gives memory that it no longer uses back to the machine."""
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        trim = _trim()
+        if trim:
+            trim(0)
+
+
+@lru_cache(maxsize=1)
+def _trim():
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (OSError, AttributeError):
+        return None
 
 
 def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str) -> DataFrame:
@@ -74,7 +122,7 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 yield each(batch.slice(at, SLICE_ROWS))
 
-    return df.mapInArrow(run, schema)
+    return bounded(df).mapInArrow(lambda batches: released(run(batches)), schema)
 
 
 def crc_fold(doc_id, folds: int = 5):

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from layoutlake.llm.common import BROADCAST_ROWS, small, table, written
+from layoutlake.llm.common import small, table, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -142,7 +142,8 @@ def plan(docs: DataFrame) -> DataFrame:
     counted = written(docs.groupBy("source", "size").agg(F.count("*").alias("n")), "mix-counts")
     sizes = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum(F.when(F.col("size") > 0, F.col("n")).otherwise(0)).alias("documents"))
     goals = written(targets(sizes), "mix-goals")
-    few = goals.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    # all tables of sources have as many rows as this one and no wider columns
+    few = small(goals) is not goals
     near = F.broadcast if few else lambda df: df
     places = goals.select(F.col("source").alias("its_source"), "place")
     counts = written(counted.filter("size > 0").join(near(places), F.col("source").eqNullSafe(F.col("its_source"))).select("place", "size", "n"), "mix-sizes")
