@@ -21,28 +21,31 @@ Groups with more than GROUP contexts are not taken into one task: they are split
 by a longer key (half of the open bytes before or after the anchor), which every
 repeated window of the group has in common with its partner, again and again
 until groups are small or keys are whole windows, whose equality is decided by
-counting alone.
+counting alone (by two 64-bit hashes).
 
-Texts are UTF-8 bytes (null: none).  Each row is a document; repeated rows repeat
-each other.  Texts shorter than WINDOW lose nothing.
+Texts are UTF-8 bytes (null: none) of any length.  Each row is a document; repeated
+rows repeat each other.  Texts shorter than WINDOW lose nothing.  An empty table
+gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 from bisect import bisect
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layoutlake.llm.common import drop_written, map_batches, small, table, written
+from layoutlake.llm.common import bounded, drop_written, map_batches, released, table, written
 
 WINDOW = 400
 GRAM = 256
 SIDE = WINDOW - GRAM
 SHALLOW = 32
-GROUP = 256
+#: Contexts of an anchor that one task sorts together (about 4 MB); more are split by longer keys.
+GROUP = 8_192
 
 _B = np.uint64(0x5851F42D4C957F2D)
 _M = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -254,20 +257,23 @@ def repeated_offsets(before: list[bytes], after: list[bytes]) -> list[list[tuple
     ``before`` is read backwards from the anchor, ``after`` starts behind the q-gram.
     """
     m = len(before)
-    right, right_lcp = deep_shallow_sort(after)
+    if m == 2:
+        low, high = SIDE - common_prefix(*after), common_prefix(*before)
+        both = [(low, high)] if low <= high else []
+        return [both, both]
+    right, _ = deep_shallow_sort(after)
     rank = [0] * m
     for k, i in enumerate(right):
         rank[i] = k
     left, left_lcp = deep_shallow_sort(before)
     found: list[list[tuple[int, int]]] = [[] for _ in range(m)]
-    lcp = np.array(right_lcp)
 
     def mark(x: int, y: int, depth: int) -> None:
-        """Ranks x < y agree on ``depth`` bytes before the anchor."""
-        agree = int(lcp[x + 1 : y + 1].min())
-        if agree + depth >= SIDE:
-            found[right[x]].append((SIDE - agree, depth))
-            found[right[y]].append((SIDE - agree, depth))
+        """Ranks x and y agree on ``depth`` bytes before the anchor."""
+        low = SIDE - common_prefix(after[right[x]], after[right[y]])
+        if low <= depth:
+            found[right[x]].append((low, depth))
+            found[right[y]].append((low, depth))
 
     def merge(one: list[int], other: list[int], depth: int) -> list[int]:
         """Both rank lists as one.  Pairs that were neighbours before agree on more bytes already."""
@@ -312,41 +318,73 @@ def _union(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def _with_context(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(gram, context, b, a): bytes before (backwards) and after the q-gram; ``wanted`` has (row_id, at)."""
-    both = docs.select("row_id", "text").join(small(wanted), "row_id")
+    """(gram, context, large, b, a): bytes before (backwards) and after the q-gram; ``wanted`` has (row_id, at)."""
+    both = docs.select("row_id", "text").join(wanted, "row_id")
 
     def make():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-            grams, contexts, b, a = [], [], [], []
+            grams, contexts, large, b, a = [], [], [], [], []
             for text, at in zip(batch.column("text").to_pylist(), batch.column("at").to_pylist(), strict=True):
                 raw = text.encode()
                 for x in at:
                     p = x["place"]
                     grams.append(x["gram"])
                     contexts.append(x["context"])
+                    large.append(x["large"])
                     b.append(raw[max(0, p - SIDE) : p][::-1])
                     a.append(raw[p + GRAM : p + WINDOW])
-            return pa.RecordBatch.from_arrays([pa.array(grams, pa.int64()), pa.array(contexts, pa.int64()), pa.array(b, pa.binary()), pa.array(a, pa.binary())], names=["gram", "context", "b", "a"])
+            return pa.RecordBatch.from_arrays([pa.array(grams, pa.int64()), pa.array(contexts, pa.int64()), pa.array(large, pa.bool_()), pa.array(b, pa.binary()), pa.array(a, pa.binary())], names=["gram", "context", "large", "b", "a"])
 
         return each
 
-    return map_batches(both.select("text", "at"), make, "gram long, context long, b binary, a binary")
+    return map_batches(both.select("text", "at"), make, "gram long, context long, large boolean, b binary, a binary")
 
 
 _FOUND = "gram long, context long, low int, high int"
-
-
-def _sort_groups(rows: pa.Table) -> pa.Table:
-    """The kernel for one group of at most GROUP contexts."""
-    # the same context twice would be its own partner
-    first = {(x["gram"], x["context"]): x for x in rows.to_pylist()}
-    repeated = repeated_offsets([x["b"] for x in first.values()], [x["a"] for x in first.values()])
-    out = ([], [], [], [])
-    for (gram, context), ranges in zip(first, repeated, strict=True):
-        for low, high in ranges:
-            for values, v in zip(out, (gram, context, low, high), strict=True):
-                values.append(v)
-    return pa.table({"gram": pa.array(out[0], pa.int64()), "context": pa.array(out[1], pa.int64()), "low": pa.array(out[2], pa.int32()), "high": pa.array(out[3], pa.int32())})
+_SORTED = ("gram", "key", "context", "b", "a")
+
+
+def _groups_found(columns: list[list]) -> pa.RecordBatch:
+    """The repeated ranges of whole groups of at most GROUP contexts; rows stand by (gram, key)."""
+    gram, key, context, b, a = columns
+    out: tuple[list, ...] = ([], [], [], [])
+    start, n = 0, len(gram)
+    while start < n:
+        stop = start + 1
+        while stop < n and key[stop] == key[start] and gram[stop] == gram[start]:
+            stop += 1
+        # the same context twice would be its own partner
+        rows = list({context[k]: k for k in range(start, stop)}.values())
+        if len(rows) > 1:
+            for k, ranges in zip(rows, repeated_offsets([b[k] for k in rows], [a[k] for k in rows]), strict=True):
+                for low, high in ranges:
+                    for values, v in zip(out, (gram[k], context[k], low, high), strict=True):
+                        values.append(v)
+        start = stop
+    return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32())], names=["gram", "context", "low", "high"])
+
+
+def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The kernel over rows sorted by (gram, key); a group may cross batches."""
+    held: list[list] = [[] for _ in _SORTED]
+    for batch in batches:
+        for own, name in zip(held, _SORTED, strict=True):
+            own += batch.column(name).to_pylist()
+        n = len(held[0])
+        cut = n - 1  # where the last group begins
+        while cut > 0 and held[0][cut - 1] == held[0][-1] and held[1][cut - 1] == held[1][-1]:
+            cut -= 1
+        if n and cut:
+            yield _groups_found([own[:cut] for own in held])
+            held = [own[cut:] for own in held]
+    yield _groups_found(held)
+
+
+def _sorted_found(rows: DataFrame, parts: int) -> DataFrame:
+    """The ranges found in groups of (gram, key), each of which fits into a task."""
+    # a fixed number: few bytes take long here, so Spark isn't to join partitions
+    dealt = rows.select(*_SORTED).repartition(parts, "gram", "key").sortWithinPartitions("gram", "key")
+    return written(bounded(dealt).mapInArrow(lambda batches: released(_sort_groups(batches)), _FOUND), "repeat-found")
 
 
 def _split(rows: DataFrame) -> DataFrame:
@@ -358,34 +396,37 @@ def _split(rows: DataFrame) -> DataFrame:
     half = F.ceil((SIDE - F.col("known_b") - F.col("known_a")) / 2).cast("int")
     longer = F.array(F.struct((F.col("known_b") + half).alias("kb"), F.col("known_a").alias("ka")), F.struct(F.col("known_b").alias("kb"), (F.col("known_a") + half).alias("ka")))
     out = rows.withColumn("next", F.explode(longer)).filter((F.length("b") >= F.col("next.kb")) & (F.length("a") >= F.col("next.ka")))
-    # binary substring; the q-gram's hash stands for the q-gram
-    key = F.xxhash64("gram", "next.kb", "next.ka", F.expr("substring(b, 1, next.kb)"), F.expr("substring(a, 1, next.ka)"))
+    # binary substring; a group is named by the q-gram's hash and this one, 128 bits
+    key = F.xxhash64("next.kb", "next.ka", F.expr("substring(b, 1, next.kb)"), F.expr("substring(a, 1, next.ka)"))
     return out.select("gram", "context", "b", "a", F.col("next.kb").alias("known_b"), F.col("next.ka").alias("known_a"), key.alias("key"))
 
 
 def _repeated(contexts: DataFrame) -> DataFrame:
-    """(gram, context, low, high) from the distinct contexts of anchors that have several."""
-    rows = contexts.select("gram", "context", "b", "a", F.lit(0).alias("known_b"), F.lit(0).alias("known_a"), F.col("gram").alias("key"))
+    """(gram, context, low, high) from the distinct contexts of anchors that have several.
+
+    ``large`` marks the contexts of anchors that have more than GROUP of them.
+    """
     parts = int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = []
+    out = [_sorted_found(contexts.filter(~F.col("large")).withColumn("key", F.lit(0).cast("long")), parts)]
+    large = contexts.filter("large")
+    if large.isEmpty():
+        return out[0]
+    rows = written(_split(large.withColumns({"known_b": F.lit(0), "known_a": F.lit(0)})), "repeat-rows")
     while True:
         # a context may come to one key by two ways: it counts once
-        kinds = rows.groupBy("key").agg(F.count("*").alias("m"), F.min("context").alias("low"), F.max("context").alias("high"))
-        sizes = written(kinds.filter("low <> high").select("key", "m"), "repeat-sizes")
-        # a fixed number: few bytes take long here, so Spark isn't to join partitions
-        dealt = rows.join(sizes.filter(F.col("m") <= GROUP), "key").select("key", "gram", "context", "b", "a").repartition(parts, "key")
-        out.append(written(dealt.groupBy("key").applyInArrow(_sort_groups, _FOUND), "repeat-found"))
-        large = sizes.filter(F.col("m") > GROUP)
-        if large.isEmpty():
-            drop_written(sizes)
+        kinds = rows.groupBy("gram", "key").agg(F.count("*").alias("m"), F.min("context").alias("low"), F.max("context").alias("high"))
+        sizes = written(kinds.filter("low <> high").select("gram", "key", "m"), "repeat-sizes")
+        out.append(_sorted_found(rows.join(sizes.filter(F.col("m") <= GROUP), ["gram", "key"]), parts))
+        many = sizes.filter(F.col("m") > GROUP)
+        if many.isEmpty():
+            drop_written(rows, sizes)
             break
-        many = rows.join(large, "key")
+        open_ = rows.join(many, ["gram", "key"]).drop("m")
         # keys of whole windows: being in a group of several decides
-        whole = many.filter(F.col("known_b") + F.col("known_a") >= SIDE)
+        whole = open_.filter(F.col("known_b") + F.col("known_a") >= SIDE)
         out.append(written(whole.select("gram", "context", F.col("known_b").alias("low"), F.col("known_b").alias("high")), "repeat-found"))
-        following = written(_split(many.filter(F.col("known_b") + F.col("known_a") < SIDE).drop("m")), "repeat-rows")
-        # only one level's bytes stay on disk
-        drop_written(rows if len(out) > 2 else contexts, sizes)
+        following = written(_split(open_.filter(F.col("known_b") + F.col("known_a") < SIDE)), "repeat-rows")
+        drop_written(rows, sizes)  # only one level's bytes stay on disk
         rows = following
     found = out[0]
     for more in out[1:]:
@@ -394,23 +435,28 @@ def _repeated(contexts: DataFrame) -> DataFrame:
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """(row_id, at): per document its repeated anchors with their ranges of a."""
+    """(row_id, at): per document its repeated anchors with their ranges of a; a written table."""
     rows = written(anchor_rows(docs), "repeat-anchors")
-    by_context = written(rows.groupBy("gram", "context").agg(F.count("*").alias("m"), F.min(F.struct("row_id", "place")).alias("one")), "repeat-contexts")
-    by_gram = by_context.groupBy("gram").agg(F.sum("m").alias("total"), F.count("*").alias("kinds")).filter("total > 1")
-    kept = written(by_context.join(by_gram, "gram"), "repeat-kept")
-    drop_written(by_context)
-    several = kept.filter("kinds > 1")
-    wanted = several.select("gram", "context", "one.*").groupBy("row_id").agg(F.collect_list(F.struct("place", "gram", "context")).alias("at"))
+    repeated = rows.groupBy("gram").agg(F.count("*").alias("total")).filter("total > 1").select("gram")
+    hits = written(rows.join(repeated, "gram", "left_semi").select("row_id", "place", "gram", "context"), "repeat-hits")
+    drop_written(rows)
+    by_context = written(hits.groupBy("gram", "context").agg(F.count("*").alias("m"), F.min(F.struct("row_id", "place")).alias("one")), "repeat-contexts")
+    kinds = by_context.groupBy("gram").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    several = by_context.join(kinds, "gram").select("gram", "context", "one.*", (F.col("kinds") > GROUP).alias("large"))
+    wanted = several.groupBy("row_id").agg(F.collect_list(F.struct("place", "gram", "context", "large")).alias("at"))
     # a context comes more than once only from rows that share their id and text
-    bytes_ = _with_context(docs, written(wanted, "repeat-wanted"))
-    found = _repeated(written(bytes_, "repeat-bytes"))
+    bytes_ = written(_with_context(docs, wanted), "repeat-bytes")
+    found = _repeated(bytes_)
     # a context that occurs twice repeats all its windows; the document's ends cut it where ``of`` is applied
-    whole = kept.filter("m > 1").select("gram", "context", F.lit(0).alias("low"), F.lit(SIDE).alias("high"))
+    whole = by_context.filter("m > 1").select("gram", "context", F.lit(0).alias("low"), F.lit(SIDE).alias("high"))
     ranges = found.join(whole.select("gram", "context"), ["gram", "context"], "left_anti").unionByName(whole)
-    ranges = written(ranges.groupBy("gram", "context").agg(F.collect_list(F.struct("low", "high")).alias("ranges")), "repeat-ranges")
-    hit = rows.join(ranges, ["gram", "context"])
-    return hit.groupBy("row_id").agg(F.collect_list(F.struct("place", "ranges")).alias("at"))
+    ranges = ranges.groupBy("gram", "context").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
+    ranges = written(ranges, "repeat-ranges")
+    drop_written(bytes_, by_context, found)
+    hit = hits.join(ranges, ["gram", "context"])
+    out = written(hit.groupBy("row_id").agg(F.collect_list(F.struct("place", "ranges")).alias("at")), "repeat-spans")
+    drop_written(hits, ranges)
+    return out
 
 
 def covered(n: int, at: list) -> list[tuple[int, int]]:
@@ -437,8 +483,7 @@ def apply(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept binary) of each row of ``docs``."""
     # rows that share an id and a text share their spans
     rows = docs.select(F.col("doc_id").cast("long"), "text").withColumn("row_id", F.xxhash64("doc_id", "text"))
-    at = written(spans(rows), "repeat-spans")
-    both = rows.join(small(at), "row_id", "left")
+    both = rows.join(spans(rows), "row_id", "left")
 
     def make():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
