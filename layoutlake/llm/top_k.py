@@ -1,24 +1,39 @@
-"""Exact BM25 top-k search over a sharded inverted index with block-max pruning.
-
-Documents are indexed in shards of ``SHARD_DOCS``: for each term its postings in
-document order, cut into blocks of ``BLOCK_DOCS`` consecutive documents with the
-greatest term weight of each block.  A query is evaluated per shard in two phases,
-without WAND's pivot and rising threshold: a block's bound is the sum of its terms' greatest weights;
-the blocks with the highest bounds are scored first, and then only those whose
-bound reaches the k-th best score so far.  Document frequencies, document count
-and mean length are those of the whole corpus, so shards' lists merge exactly.
-
-Queries are rows of the corpus (doc_id divisible by ``EVERY``), taken in batches of
-at most ``QUERY_BATCH`` that are broadcast against all shards.  A document isn't a
-result of its own query.  Terms are runs without ASCII white space, A-Z
-lower-cased; a term counts as often as the query has it.  Ties go to the smaller
-doc_id.  Texts without terms (or null) are never found and find nothing; rows that
-share a doc_id are found separately; a null doc_id is found last.
+"""Exact BM25 top-k search over a sharded inverted index with block-max WAND pruning.
+
+Documents are indexed in shards, closed at SHARD_POSTINGS postings or SHARD_DOCS
+documents.  In a shard documents stand by their most frequent term and by length, so
+that those of a block are alike; each term has its postings in this order, cut into blocks of BLOCK_DOCS
+consecutive documents with the term's greatest weight in the block.
+
+A query is evaluated shard by shard.  Its terms' cursors are moved block by block,
+all at once with numpy:
+
+* a block's bound is the sum of its terms' greatest weights; blocks are visited by
+  descending bound in steps of growing width, the threshold (the k-th best score
+  so far) rises after each step, and the first bound below it ends the search;
+* the pivot: terms in ascending order of their greatest weight in the shard, as many
+  as add up to less than the threshold, can't bring a document into the result by
+  themselves.  A step scores the other terms first, and the former ones only in
+  blocks where some document can still reach the threshold.
+
+Document frequencies, document count and mean length are those of the whole corpus,
+so shards' lists merge exactly.
+
+Queries are rows of the corpus (doc_id divisible by ``EVERY``); their term vectors
+are taken in parts of at most QUERY_BYTES (or one query) that are broadcast against
+all shards.  Every query row has its own result, also if rows share a doc_id.  A
+document isn't a result of its own query: rows with the query's doc_id are left
+out.  Terms are runs without ASCII white space, A-Z lower-cased; a term counts as
+often as the query has it.  Ties go to the smaller doc_id.  Texts without terms (or
+null) are never found and find nothing; texts of any length are taken whole; rows
+that share a doc_id are found separately; a null doc_id is found last.  An empty
+table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,79 +41,118 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from layoutlake.llm.common import map_batches, table, written
+from layoutlake.llm.common import bounded, released, shared_dir, table, written
 
 K = 10
 K1, B = 1.2, 0.75
-SHARD_DOCS = 8_192
+SHARD_POSTINGS = 1_500_000
+SHARD_DOCS = 16_384
 BLOCK_DOCS = 64
+#: Blocks of a query's first step; every step takes twice as many as the one before.
 FIRST_BLOCKS = 4
 EVERY = 100
-QUERY_BATCH = 4_000
-
-
-@lru_cache(maxsize=500_000)
-def _term(word: bytes) -> int:
-    return xxhash.xxh3_64_intdigest(word)
-
-
-def terms(text: str | None) -> np.ndarray:
-    """Hashes of a text's terms in order."""
-    return np.fromiter(map(_term, (text or "").encode().lower().split()), np.uint64)
-
-
-_INDEX = "doc_ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary"
+QUERY_BYTES = 32 << 20
+#: Words kept with their hashes in a task; beyond it the store starts afresh.
+STORE_WORDS = 200_000
+LAST = np.iinfo(np.int64).max
+
+
+class Terms:
+    """Texts to the hashes of their terms, ascending, with counts."""
+
+    def __init__(self) -> None:
+        self.store: dict[bytes, int] = {}
+
+    def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        words = (text or "").encode().lower().split()
+        store = self.store
+        if len(store) > STORE_WORDS:
+            store.clear()
+        for w in words:
+            if w not in store:
+                store[w] = xxhash.xxh3_64_intdigest(w)
+        names, counts = np.unique(np.fromiter(map(store.__getitem__, words), np.uint64, len(words)), return_counts=True)
+        return names, counts.astype(np.int32)
+
+
+_INDEX = "n long, words long, doc_ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary"
+_ARRAYS = {"doc_ids": np.int64, "lengths": np.int64, "terms": np.uint64, "starts": np.int64, "docs": np.int32, "counts": np.int32}
+
+
+class _Open:
+    """A shard that documents are added to."""
+
+    def __init__(self) -> None:
+        self.ids: list[int] = []
+        self.lengths: list[int] = []
+        self.terms: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.postings = 0
+
+    def add(self, doc_id: int | None, terms: np.ndarray, counts: np.ndarray) -> None:
+        self.ids.append(LAST if doc_id is None else doc_id)
+        self.lengths.append(int(counts.sum()))
+        self.terms.append(terms)
+        self.counts.append(counts)
+        self.postings += len(terms)
+
+    def full(self) -> bool:
+        return self.postings >= SHARD_POSTINGS or len(self.ids) >= SHARD_DOCS
+
+    def close(self) -> pa.RecordBatch:
+        common = [int(t[np.argmax(c)]) if len(t) else 0 for t, c in zip(self.terms, self.counts, strict=True)]
+        order = np.lexsort((self.lengths, np.array(common, np.uint64)))
+        lengths = np.array(self.lengths, np.int64)[order]
+        flat = np.concatenate([self.terms[k] for k in order])
+        counts = np.concatenate([self.counts[k] for k in order])
+        docs = np.repeat(np.arange(len(order), dtype=np.int32), [len(self.terms[k]) for k in order])
+        by_term = np.argsort(flat, kind="stable")
+        flat, counts, docs = flat[by_term], counts[by_term], docs[by_term]
+        starts = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1]))) if len(flat) else np.empty(0, np.int64)
+        arrays = (np.array(self.ids, np.int64)[order], lengths, flat[starts], np.append(starts, len(flat)).astype(np.int64), docs, counts)
+        columns = [pa.array([len(order)], pa.int64()), pa.array([int(lengths.sum())], pa.int64()), *(pa.array([a.tobytes()], pa.binary()) for a in arrays)]
+        return pa.RecordBatch.from_arrays(columns, names=["n", "words", *_ARRAYS])
 
 
 def build(docs: DataFrame) -> DataFrame:
     """The written index: one row for each shard, its arrays as binary columns."""
 
-    def run(batches):
-        ids: list[int] = []
-        found: list[np.ndarray] = []
-
-        def close() -> pa.RecordBatch:
-            lengths = np.array([len(t) for t in found], np.int64)
-            flat = np.concatenate(found) if found else np.empty(0, np.uint64)
-            doc = np.repeat(np.arange(len(found), dtype=np.int64), lengths)
-            names, which = np.unique(flat, return_inverse=True)
-            pair, counts = np.unique(which * len(found) + doc, return_counts=True)
-            starts = np.searchsorted(pair, np.arange(len(names) + 1) * len(found))
-            arrays = (np.array(ids, np.int64), lengths, names, starts.astype(np.int64), (pair % max(1, len(found))).astype(np.int32), counts.astype(np.int32))
-            ids.clear()
-            found.clear()
-            return pa.RecordBatch.from_arrays([pa.array([a.tobytes()], pa.binary()) for a in arrays], names=[c.split()[0] for c in _INDEX.split(", ")])
-
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, shard = Terms(), _Open()
         for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids.append(np.iinfo(np.int64).max if doc_id is None else doc_id)
-                found.append(terms(text))
-                if len(ids) >= SHARD_DOCS:
-                    yield close()
-        if ids:
-            yield close()
+            for doc_id, text in zip(batch.column("doc_id"), batch.column("text"), strict=True):
+                shard.add(doc_id.as_py(), *terms(text.as_py()))
+                if shard.full():
+                    yield shard.close()
+                    shard = _Open()
+        if shard.ids:
+            yield shard.close()
+
+    return written(bounded(docs.select(F.col("doc_id").cast("long"), "text")).mapInArrow(lambda batches: released(run(batches)), _INDEX), "topk-index")
+
 
-    return written(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _INDEX), "topk-index")
+def _arrays(batch: pa.RecordBatch, k: int, *names: str) -> list[np.ndarray]:
+    """Arrays of row ``k``, without a copy."""
+    return [np.frombuffer(batch.column(c)[k].as_buffer(), _ARRAYS[c]) for c in names]
 
 
 class Shard:
-    def __init__(self, row: dict, mean_length: float = 1.0):
-        self.ids = np.frombuffer(row["doc_ids"], np.int64)
-        lengths = np.frombuffer(row["lengths"], np.int64)
-        self.terms = np.frombuffer(row["terms"], np.uint64)
-        self.starts = np.frombuffer(row["starts"], np.int64)
-        self.docs = np.frombuffer(row["docs"], np.int32)
-        count = np.frombuffer(row["counts"], np.int32).astype(np.float64)
-        self.weight = count * (K1 + 1) / (count + K1 * (1 - B + B * lengths[self.docs] / mean_length))
-        self.blocks = -(-len(self.ids) // BLOCK_DOCS)
+    def __init__(self, doc_ids, lengths, terms, starts, docs, counts, mean_length: float = 1.0):
+        self.ids, self.terms, self.starts, self.docs = doc_ids, terms, starts, docs
+        norm = K1 * (1 - B + B * lengths / mean_length)
+        self.weight = counts * (K1 + 1) / (counts + norm[docs])
+        self.blocks = -(-len(doc_ids) // BLOCK_DOCS)
         # runs of postings of one term in one block
-        term_of = np.repeat(np.arange(len(self.terms)), np.diff(self.starts))
-        cell = term_of * self.blocks + self.docs // BLOCK_DOCS
+        cell = np.repeat(np.arange(len(terms)) * self.blocks, np.diff(starts)) + docs // BLOCK_DOCS
         self.cell_start = np.flatnonzero(np.diff(cell, prepend=-1))
         self.cell_size = np.diff(self.cell_start, append=len(cell))
-        self.cell_block = cell[self.cell_start] % max(1, self.blocks)
+        place = cell[self.cell_start]
+        self.cell_block = place % max(1, self.blocks)
         self.cell_most = np.maximum.reduceat(self.weight, self.cell_start) if len(cell) else np.empty(0)
-        self.term_cells = np.searchsorted(cell[self.cell_start], np.arange(len(self.terms) + 1) * self.blocks)
+        self.term_cells = np.searchsorted(place, np.arange(len(terms) + 1) * self.blocks)
+        self.term_most = np.maximum.reduceat(self.weight, starts[:-1]) if len(cell) else np.empty(0)
+        #: Blocks with a term of a query, and those of them that were scored.
+        self.met = self.scored = 0
 
     def places(self, names: np.ndarray) -> np.ndarray:
         """The place of each term, -1 if the shard hasn't it."""
@@ -107,36 +161,70 @@ class Shard:
         at = np.minimum(np.searchsorted(self.terms, names), len(self.terms) - 1)
         return np.where(self.terms[at] == names, at, -1)
 
-    def _score(self, cells: np.ndarray, factor: np.ndarray) -> np.ndarray:
+    def _add(self, score: np.ndarray, cells: np.ndarray, factor: np.ndarray) -> None:
         sizes = self.cell_size[cells]
         at = _ranges(self.cell_start[cells], sizes)
-        return np.bincount(self.docs[at], self.weight[at] * np.repeat(factor, sizes), minlength=len(self.ids))
+        score += np.bincount(self.docs[at], self.weight[at] * np.repeat(factor, sizes), minlength=len(score))
 
-    def search(self, names: np.ndarray, factors: np.ndarray, own: int, k: int = K) -> list[tuple[int, float]]:
+    def search(self, names: np.ndarray, factors: np.ndarray, own: int | None, k: int = K) -> list[tuple[int, float]]:
         """The best k (doc_id, score), highest score first."""
         place = self.places(names)
         has = place >= 0
         place, factors = place[has], factors[has]
         sizes = self.term_cells[place + 1] - self.term_cells[place]
         cells = _ranges(self.term_cells[place], sizes)
-        factor = np.repeat(factors, sizes)
         block = self.cell_block[cells]
-        bound = np.bincount(block, self.cell_most[cells] * factor, minlength=self.blocks)
+        bound = np.bincount(block, self.cell_most[cells] * np.repeat(factors, sizes), minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
-        live = np.zeros(self.blocks, bool)
-        live[order[:FIRST_BLOCKS]] = True
-        score = self._score(cells[live[block]], factor[live[block]])
-        score[self.ids == own] = 0
-        best = np.partition(score, -k)[-k] if len(score) >= k else 0.0
-        more = ~live & (bound > 0) & (bound * (1 + 1e-9) >= best)
-        if more.any():
-            score += self._score(cells[more[block]], factor[more[block]])
-            score[self.ids == own] = 0
+        last = int(np.searchsorted(-bound[order], 0))  # blocks without a term come last
+        bound = bound[order] * (1 + 1e-9) + 1e-9  # sums differ in their last bits
+        rank = np.empty(self.blocks, np.int16)
+        rank[order] = np.arange(self.blocks)
+        # cells by the rank of their block, in a block by term: each step is a slice
+        visit = np.argsort(rank[block], kind="stable")
+        cells, block, term = cells[visit], block[visit], np.repeat(np.arange(len(place)), sizes)[visit]
+        factor = factors[term]
+        ends = np.cumsum(np.bincount(rank[block], minlength=self.blocks))
+        most = factors * self.term_most[place]
+        ascending = np.argsort(most, kind="stable")
+        reach = np.cumsum(most[ascending]) * (1 + 1e-9) + 1e-9
+        level = np.empty(len(place), np.int64)
+        level[ascending] = np.arange(len(place))
+        level = level[term]
+        score = np.zeros(len(self.ids))
+        mine = np.flatnonzero(self.ids == own) if own is not None else np.empty(0, np.int64)
+        best, at, width = 0.0, 0, FIRST_BLOCKS
+        self.met += last
+        while at < last:
+            # what has a lower bound than the k-th best score so far is skipped
+            stop = at + int((bound[at : min(at + width, last)] >= best).sum())
+            if stop == at:
+                break
+            step = slice(ends[at - 1] if at else 0, ends[stop - 1])
+            pivot = int(np.searchsorted(reach, best))  # terms before it can't reach the threshold
+            if pivot:
+                late = level[step] < pivot
+                self._add(score, cells[step][~late], factor[step][~late])
+                rows, weights, blocks = cells[step][late], factor[step][late], block[step][late]
+                rest = np.bincount(blocks, self.cell_most[rows] * weights, minlength=self.blocks)
+                highest = np.maximum.reduceat(score, np.arange(0, len(score), BLOCK_DOCS))
+                able = ((highest + rest) * (1 + 1e-9) + 1e-9 >= best)[blocks]
+                self._add(score, rows[able], weights[able])
+            else:
+                self._add(score, cells[step], factor[step])
+            score[mine] = 0
+            self.scored += stop - at
+            if len(score) > k:
+                best = float(np.partition(score, -k)[-k])
+            at, width = stop, 2 * width
         found = np.flatnonzero(score > 0)
         if len(found) > k:
-            least = np.partition(score[found], -k)[-k]
-            found = found[score[found] >= least]
-        ranked = sorted(((float(score[i]), int(self.ids[i])) for i in found), key=lambda x: (-x[0], x[1]))[:k]
+            found = found[score[found] >= np.partition(score[found], -k)[-k] * (1 - 1e-9) - 1e-9]
+        # scores tie if they agree to nine places; terms are added up in one order
+        again = np.isin(block, found // BLOCK_DOCS)
+        score[:] = 0
+        self._add(score, cells[again], factor[again])
+        ranked = sorted(((round(float(score[i]), 9), int(self.ids[i])) for i in found), key=lambda x: (-x[0], x[1]))[:k]
         return [(i, s) for s, i in ranked]
 
 
@@ -146,59 +234,76 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _vectors(queries: DataFrame) -> DataFrame:
+    """The written queries: number, doc_id, terms, counts, bytes."""
+    schema = "number long, doc_id long, terms binary, counts binary, bytes long"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms = Terms()
+        for batch in batches:
+            made = [terms(t.as_py()) for t in batch.column("text")]
+            columns = [batch.column("number"), batch.column("doc_id"), pa.array([n.tobytes() for n, _ in made], pa.binary()), pa.array([c.tobytes() for _, c in made], pa.binary()), pa.array([64 + 12 * len(n) for n, _ in made], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[x.split()[0] for x in schema.split(", ")])
+
+    numbered = queries.select(F.monotonically_increasing_id().alias("number"), F.col("doc_id").cast("long"), "text")
+    return written(bounded(numbered).mapInArrow(run, schema), "topk-queries")
+
+
 def search(index: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, doc_id, score) for the rows (doc_id, text) of ``queries``."""
     spark = index.sparkSession
-
-    def sizes(batches):
+    n, words = index.agg(F.sum("n"), F.sum("words")).first()
+    n, mean = n or 0, max(1.0, (words or 0) / max(1, n or 0))
+    vectors = _vectors(queries)
+    taken = vectors.agg(F.sum("bytes")).first()[0] or 0
+    # hashed numbers fill the parts evenly: a half of QUERY_BYTES on average
+    parts = max(1, -(-taken // (QUERY_BYTES // 2)))
+    at = f"{shared_dir(spark)}/topk-found-{uuid.uuid4().hex}"
+    for part in range(parts):
+        rows = vectors.filter(F.pmod(F.xxhash64("number"), F.lit(parts)) == part).select("number", "doc_id", "terms", "counts").toArrow()
+        asked = [(q, own, np.frombuffer(t, np.uint64), np.frombuffer(c, np.int32)) for q, own, t, c in zip(*(rows.column(c).to_pylist() for c in rows.column_names), strict=True)]
+        _search_part(index, asked, n, mean, k).write.mode("append").parquet(at)
+    best = Window.partitionBy("number").orderBy(F.col("score").desc(), "doc_id")
+    out = spark.read.schema(_FOUND).parquet(at).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    return out.select("query_id", "rank", F.when(F.col("doc_id") < LAST, F.col("doc_id")).alias("doc_id"), F.round("score", 6).alias("score"))
+
+
+_FOUND = "number long, query_id long, doc_id long, score double"
+
+
+def _search_part(index: DataFrame, asked: list[tuple], n: int, mean: float, k: int) -> DataFrame:
+    """Every shard's best k for each of the queries (number, doc_id, terms, counts)."""
+    context = index.sparkSession.sparkContext
+    names = np.unique(np.concatenate([x[2] for x in asked])) if asked else np.empty(0, np.uint64)
+    shared_names = context.broadcast(names)
+
+    def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = shared_names.value
+        df = np.zeros(len(names), np.int64)
         for batch in batches:
-            lengths = [np.frombuffer(x, np.int64) for x in batch.column("lengths").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array([sum(len(x) for x in lengths)], pa.int64()), pa.array([int(sum(x.sum() for x in lengths))], pa.int64())], names=["n", "words"])
-
-    total = index.select("lengths").mapInArrow(sizes, "n long, words long").agg(F.sum("n"), F.sum("words")).first()
-    n, mean = total[0] or 0, max(1.0, (total[1] or 0) / max(1, total[0] or 0))
-    numbered = written(queries.select(F.col("doc_id").cast("long"), "text"), "topk-queries")
-    parts = -(-numbered.count() // QUERY_BATCH)
-    out = None
-    for part in range(max(1, parts)):
-        # at most about QUERY_BATCH rows: the documented bound of what is broadcast
-        rows = numbered.filter(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, parts))) == part).collect()
-        asked = [(r["doc_id"], *np.unique(terms(r["text"]), return_counts=True)) for r in sorted(rows, key=lambda r: (r["doc_id"] is None, r["doc_id"]))]
-        names = np.unique(np.concatenate([x[1] for x in asked])) if asked else np.empty(0, np.uint64)
-        shared_names = spark.sparkContext.broadcast(names)
-
-        def frequencies(batches, shared=shared_names):
-            df = np.zeros(len(shared.value), np.int64)
-            for batch in batches:
-                for row in batch.to_pylist():
-                    own, starts = np.frombuffer(row["terms"], np.uint64), np.frombuffer(row["starts"], np.int64)
-                    at = np.minimum(np.searchsorted(own, shared.value), max(0, len(own) - 1))
-                    if len(own):
-                        df += np.where(own[at] == shared.value, np.diff(starts)[at], 0)
-            has = np.flatnonzero(df)
-            yield pa.RecordBatch.from_arrays([pa.array(has, pa.int64()), pa.array(df[has], pa.int64())], names=["term", "df"])
+            for row in range(batch.num_rows):
+                own, starts = _arrays(batch, row, "terms", "starts")
+                if len(own):
+                    at = np.minimum(np.searchsorted(own, names), len(own) - 1)
+                    df += np.where(own[at] == names, np.diff(starts)[at], 0)
+        has = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(has, pa.int64()), pa.array(df[has], pa.int64())], names=["term", "df"])
+
+    counted = index.select("terms", "starts").mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    df = np.zeros(len(names), np.int64)
+    df[counted.column("term").to_numpy()] = counted.column("df").to_numpy()
+    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+    shared = context.broadcast([(q, own, t, c * idf[np.searchsorted(names, t)]) for q, own, t, c in asked])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                shard = Shard(*_arrays(batch, row, *_ARRAYS), mean)
+                found = [(q, own, i, s) for q, own, t, factors in shared.value for i, s in shard.search(t, factors, own, k)]
+                columns = list(zip(*found, strict=True)) or [(), (), (), ()]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.float64())], names=["number", "query_id", "doc_id", "score"])
 
-        df = np.zeros(len(names), np.int64)
-        for r in index.select("terms", "starts").mapInArrow(frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df")).toArrow().to_pylist():
-            df[r["term"]] = r["df"]
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-        shared = spark.sparkContext.broadcast([(q, t, c * idf[np.searchsorted(names, t)]) for q, t, c in asked])
-
-        def make(shared=shared):
-            def each(batch: pa.RecordBatch) -> pa.RecordBatch:
-                rows = []
-                for row in batch.to_pylist():
-                    shard = Shard(row, mean)
-                    for q, t, factors in shared.value:
-                        rows += [(q, i, s) for i, s in shard.search(t, factors, q, k)]
-                return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.float64())], names=["query_id", "doc_id", "score"])
-
-            return each
-
-        found = map_batches(index, make, "query_id long, doc_id long, score double")
-        out = found if out is None else out.unionByName(found)
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "doc_id")
-    return out.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", F.when(F.col("doc_id") < np.iinfo(np.int64).max, F.col("doc_id")).alias("doc_id"), F.round("score", 6).alias("score"))
+    return index.select(*_ARRAYS).mapInArrow(lambda batches: released(run(batches)), _FOUND)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

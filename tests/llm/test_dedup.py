@@ -7,7 +7,9 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from layoutlake.llm import line_runs, mixing, near_dup, repeats, top_k
 
@@ -136,6 +138,7 @@ def test_mixing(spark):
 
 def test_search(spark, monkeypatch):
     monkeypatch.setattr(top_k, "SHARD_DOCS", 16)
+    monkeypatch.setattr(top_k, "QUERY_BYTES", 4_000)
     monkeypatch.setattr(top_k, "BLOCK_DOCS", 4)
     texts = [prose(RNG.randint(0, 40)) for _ in range(80)] + [None, ""]
     df = frame(spark, texts)
@@ -149,3 +152,38 @@ def test_search(spark, monkeypatch):
         scores = {i: sum(m * math.log(1 + (n - df_[w] + 0.5) / (df_[w] + 0.5)) * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * sum(c.values()) / mean)) for w, m in tf[q].items() if w in c) for i, c in enumerate(tf) if i != q}
         want = sorted(((i, s) for i, s in scores.items() if s > 0), key=lambda x: (-x[1], x[0]))[:10]
         assert [i for i, _ in got[q]] == [i for i, _ in want] and all(abs(a[1] - b[1]) < 1e-5 for a, b in zip(got[q], want, strict=True))
+
+
+def test_search_rows_with_one_id_and_odd_rows(spark):
+    twin = prose(30)
+    rows = [(100, twin + " left"), (100, "right " * 3), (None, twin), (3, "right " + prose(5000)), (4, twin), (200, None), (300, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("rank", F.lit(7)).withColumn("number", F.lit("x"))
+    out = top_k.search(top_k.build(df), df.filter("doc_id % 100 = 0")).collect()
+    lists = collections.Counter((r.query_id, r["rank"]) for r in out)
+    assert lists[100, 1] == 2 and {r.query_id for r in out} == {100}
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in out if r["rank"] == 1) == [(False, 3), (False, 4)]
+    assert all(r.doc_id != 100 for r in out) and any(r.doc_id is None and r["rank"] == 2 for r in out)
+    none = df.limit(0)
+    assert top_k.search(top_k.build(none), none).count() == 0
+
+
+def test_search_skips_blocks(monkeypatch):
+    """Pruning leaves blocks out and the result alone."""
+    monkeypatch.setattr(top_k, "BLOCK_DOCS", 8)
+    docs = [[f"{group}{RNG.randint(0, 60)}" for _ in range(RNG.randint(1, 60))] for group in "abcdefgh" * 200]
+    shard, terms = top_k._Open(), top_k.Terms()
+    for k, words in enumerate(docs):
+        shard.add(k, *terms(" ".join(words)))
+    made = top_k.Shard(*top_k._arrays(shard.close(), 0, *top_k._ARRAYS), 30.0)
+    for q in range(0, len(docs), 40):
+        names, counts = terms(" ".join(docs[q]))
+        full = np.zeros(len(docs))
+        place = made.places(names)
+        for p, c in zip(place, counts, strict=True):
+            span = slice(made.starts[p], made.starts[p + 1])
+            full[made.ids[made.docs[span]]] += c * made.weight[span]
+        full[q] = 0
+        want = sorted(((i, s) for i, s in enumerate(full) if s > 0), key=lambda x: (-round(x[1], 9), x[0]))[:10]
+        got = made.search(names, counts.astype(float), q)
+        assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([s for _, s in got], [s for _, s in want])
+    assert made.scored < 0.7 * made.met
