@@ -21,9 +21,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructType
 
-from layoutlake.llm.common import drop_written, map_batches, small, table, written
+from layoutlake.llm.common import drop_written, fresh, map_batches, small, table, written
 
 LEAST_CHARS = 40
 LEAST_DOCS = 5
@@ -129,22 +129,25 @@ def drops(docs: DataFrame, batches: int = BATCHES) -> DataFrame:
     return lost.groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("dropped"))
 
 
-def apply(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` with ``text`` without the dropped lines, n_lines and n_dropped.
+def apply(docs: DataFrame, dropped: DataFrame, counts: bool = True) -> DataFrame:
+    """``docs`` with ``text`` without the dropped lines and, with ``counts``, n_lines and n_dropped.
 
     A text that loses all its lines becomes empty; a null one without loss stays null.
+    Columns of ``docs`` pass through; n_lines and n_dropped are replaced if they are added.
     """
-    new = ("n_lines", "n_dropped")
+    new = ("n_lines", "n_dropped") if counts else ()
     kept = [c for c in docs.columns if c not in new]
-    both = docs.select(kept).join(dropped.select(F.col("doc_id").alias("its_doc"), "dropped"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)) == F.col("its_doc"), "left").drop("its_doc").withColumnRenamed("dropped", "lines_dropped")
-    from pyspark.sql.types import LongType
-
-    schema = StructType([docs.schema[c] for c in kept]).add("n_lines", LongType()).add("n_dropped", LongType())
+    own, lost_lines = fresh(docs, "its_doc"), fresh(docs, "lost_lines")
+    lost = dropped.select(F.col("doc_id").alias(own), F.col("dropped").alias(lost_lines))
+    both = docs.select(kept).join(lost, F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST)) == F.col(own), "left").drop(own)
+    schema = StructType([docs.schema[c] for c in kept])
+    for c in new:
+        schema = schema.add(c, LongType())
 
     def make():
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts, n, gone = [], [], []
-            for text, lost in zip(batch.column("text").to_pylist(), batch.column("lines_dropped").to_pylist(), strict=True):
+            for text, lost in zip(batch.column("text").to_pylist(), batch.column(lost_lines).to_pylist(), strict=True):
                 lines = (text or "").split("\n")
                 n.append(len(lines))
                 if lost:
@@ -156,7 +159,9 @@ def apply(docs: DataFrame, dropped: DataFrame) -> DataFrame:
                     gone.append(0)
                 texts.append(text)
             columns = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in kept]
-            return pa.RecordBatch.from_arrays([*columns, pa.array(n, pa.int64()), pa.array(gone, pa.int64())], names=[*kept, *new])
+            if counts:
+                columns += [pa.array(n, pa.int64()), pa.array(gone, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, names=[*kept, *new])
 
         return each
 
