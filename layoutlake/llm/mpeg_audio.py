@@ -3,18 +3,21 @@
 ``encode_media`` stores bytes in an MPEG-1 Layer III stream.  Every frame has
 empty granules (a player hears silence), a CRC over header and side
 information, and carries bytes in its ancillary area, which players skip.  The
-stream starts with an ID3v2 tag (the payload's length) and an information frame
+stream starts with an ID3v2 tag (the payload's length and CRC-32) and an information frame
 with a Xing table (frames, bytes, a 100-entry seek table); the last frame takes
 the least bit rate that holds the rest, so bit rates may vary.
 
 ``parse`` reads any Layer I, II or III stream: it skips tags, finds the next
 header that a second header (or the end) confirms, checks the CRCs of Layer III and
-counts those of Layers I and II as unchecked, reads Xing, Info and VBRI tables, and gives the exact duration in samples and the byte
-offset of every frame.
+counts those of Layers I and II as unchecked, reads Xing, Info and VBRI tables, and
+gives the exact duration in samples and the byte offset of every frame.  Damage never
+raises there: it is counted (``skipped``, ``crc_wrong``, ``cut``).  ``read_payload``
+raises a ValueError if a stream is damaged or isn't one of ``encode_media``'s.
 
 Payload rule: the text's UTF-8 bytes (null: none), then bytes 0 up to a positive
-multiple of 64.  Equal texts give equal media.  Repeated rows, ties and further
-columns don't matter: each row is handled by itself.
+multiple of 64.  Texts of any length are stored whole; equal texts give equal media.
+Repeated rows, null ids, ties and further columns don't matter: each row is handled
+by itself.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -126,12 +129,14 @@ def _frames(payload: np.ndarray, rate_index: int) -> np.ndarray:
     return out
 
 
-def _tag(payload_bytes: int) -> bytes:
-    """An ID3v2.3 tag with the payload's length in a TXXX frame."""
-    body = b"\x00payload\x00" + str(payload_bytes).encode()
-    frame = b"TXXX" + struct.pack(">I", len(body)) + b"\x00\x00" + body
-    n = len(frame)
-    return b"ID3\x03\x00\x00" + bytes((n >> 21 & 127, n >> 14 & 127, n >> 7 & 127, n & 127)) + frame
+def _tag(**values: int) -> bytes:
+    """An ID3v2.3 tag with each value in a TXXX frame."""
+    frames = b""
+    for name, value in values.items():
+        body = b"\x00" + name.encode() + b"\x00" + str(value).encode()
+        frames += b"TXXX" + struct.pack(">I", len(body)) + b"\x00\x00" + body
+    n = len(frames)
+    return b"ID3\x03\x00\x00" + bytes((n >> 21 & 127, n >> 14 & 127, n >> 7 & 127, n & 127)) + frames
 
 
 def encode_media(payload: bytes) -> bytes:
@@ -155,7 +160,7 @@ def encode_media(payload: bytes) -> bytes:
     # the Xing table stands right behind the side information; its frame has no CRC
     information[1] |= 1
     information[4 : 4 + SIDE_BYTES + len(table_)] = bytes(SIDE_BYTES) + table_
-    return _tag(len(payload)) + bytes(information) + body
+    return _tag(payload=len(payload), crc32=zlib.crc32(payload)) + bytes(information) + body
 
 
 @dataclass
@@ -227,11 +232,15 @@ def parse(data: bytes) -> Stream:
     """Read a stream; damage is counted, never raised."""
     out = Stream()
     at = _read_tags(data, out)
-    end = len(data) - 128 if len(data) - at >= 128 and data[-128:-125] == b"TAG" else len(data)
-    if end != len(data):
-        out.tags["id3v1"] = data[-125:-95].split(b"\0")[0].decode("latin-1")
+    end = len(data)
+    # the last 128 bytes are an ID3v1 tag only if no frame reaches into them
+    tag = end - 128 if end >= 128 and data[-128:-125] == b"TAG" else end
     first, locked = True, False
     while at + 4 <= end:
+        if at == tag:
+            out.tags["id3v1"] = data[-125:-95].split(b"\0")[0].decode("latin-1")
+            at = end
+            break
         raw = data[at : at + 4]
         header = out.headers.get(raw) or read_header(data, at)
         good = header is not None
@@ -241,8 +250,9 @@ def parse(data: bytes) -> Stream:
             good = after == end or following is not None and (following.version, following.layer, following.sample_rate) == (header.version, header.layer, header.sample_rate)
         if not good:
             locked = False
-            found = data.find(b"\xff", at + 1, end)
-            step = (found if found >= 0 else end) - at
+            stop = tag if at < tag else end
+            found = data.find(b"\xff", at + 1, stop)
+            step = (found if found >= 0 else stop) - at
             out.skipped, at = out.skipped + step, at + step
             continue
         if at + header.size > end:
@@ -283,7 +293,10 @@ def read_payload(data: bytes, stream: Stream) -> bytes:
     if stream.crc_wrong or stream.skipped or stream.cut or stream.table.get("frames") != len(stream.offsets):
         raise ValueError("damaged stream")
     parts = [data[a + OVERHEAD : a + n] for a, n in zip(stream.offsets, stream.sizes, strict=True)]
-    return b"".join(parts)[: int(stream.tags["payload"])]
+    payload = b"".join(parts)[: int(stream.tags["payload"])]
+    if zlib.crc32(payload) != int(stream.tags["crc32"]):
+        raise ValueError("damaged payload")
+    return payload
 
 
 def padded(text: str | None) -> tuple[bytes, int]:
