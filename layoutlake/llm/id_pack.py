@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layoutlake.llm.common import map_batches, table, written
+from layoutlake.llm.common import bounded, map_batches, released, table, written
 
 VOCABULARY_FILE = "word_bpe_49k.json"
 END_ID = 1
@@ -189,7 +189,7 @@ def write_shards(df: DataFrame, tokenizer_path: str, shards: int, end_id: int =
         if held:
             yield close()
 
-    return written(ranged.mapInArrow(run, "shard int, number long, doc_ids array<long>, n_ids long, block binary"), "idpack")
+    return written(bounded(ranged).mapInArrow(lambda batches: released(run(batches)), "shard int, number long, doc_ids array<long>, n_ids long, block binary"), "idpack")
 
 
 def read_documents(blocks: DataFrame) -> DataFrame:
