@@ -1,8 +1,14 @@
 """The corpus pipeline: raw documents to a clean, balanced, tokenised corpus.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
-return the columns of ``documents``.  ``run`` writes every stage's rows as Parquet
-and reads them again as the next one's input.  A document is what shares a doc_id.
+return the columns of ``documents`` (further columns pass through, whatever their
+names).  ``run`` writes every stage's rows as Parquet and reads them again as the
+next one's input.
+
+Rows without a doc_id take part like others; empty tables give empty results.
+A null text counts as empty: the classifier gives it its training share of label 1,
+and no other stage takes it out.  Repeated rows are copies of each other, so the
+near-duplicate stage keeps one of them.
 """
 
 from __future__ import annotations
@@ -11,33 +17,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layoutlake.llm import byte_bpe, line_runs, mixing, near_dup, quality
-from layoutlake.llm.common import small, table, written
+from layoutlake.llm.common import fresh, table, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go; it learns from the raw documents."""
     model = quality.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return quality.score(docs, model).filter(F.col("score") >= quality.THRESHOLD).select(docs.columns)
+    name = fresh(docs, "score")
+    return quality.score(docs, model, name).filter(F.col(name) >= quality.THRESHOLD).select(docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of many documents stay in one of them."""
-    out = line_runs.apply(docs, line_runs.drops(docs))
+    """Lines of many documents stay in one of them; n_chars follows."""
+    out = line_runs.apply(docs, line_runs.drops(docs), counts=False)
     return out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast("long")).select(docs.columns)
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays."""
-    kept = near_dup.classes(docs).filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("kept_id")).distinct()
-    return docs.join(small(written(kept, "pipeline-kept")), F.col("doc_id") == F.col("kept_id"), "left_semi").select(docs.columns)
+    return near_dup.one_of_each(docs).select(docs.columns)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's weight asks for."""
-    sized = mixing.with_size(docs)
+    sized = mixing.with_size(docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("document"))).drop("text")
     planned = mixing.plan(written(sized.select("doc_id", "source", "size"), "pipeline-sizes"))
     mixed = mixing.apply(sized, planned).filter(F.col("copies") > 0)
-    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(docs.columns)
+    return mixed.select(F.explode(F.sequence(F.lit(1), F.col("copies"))), "document").select("document.*")
 
 
 def tokens_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
