@@ -449,8 +449,7 @@ def spans(docs: DataFrame) -> DataFrame:
     found = _repeated(bytes_)
     # a context that occurs twice repeats all its windows; the document's ends cut it where ``of`` is applied
     whole = by_context.filter("m > 1").select("gram", "context", F.lit(0).alias("low"), F.lit(SIDE).alias("high"))
-    ranges = found.join(whole.select("gram", "context"), ["gram", "context"], "left_anti").unionByName(whole)
-    ranges = ranges.groupBy("gram", "context").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
+    ranges = found.unionByName(whole).groupBy("gram", "context").agg(F.collect_set(F.struct("low", "high")).alias("ranges"))
     ranges = written(ranges, "repeat-ranges")
     drop_written(bytes_, by_context, found)
     hit = hits.join(ranges, ["gram", "context"])
