@@ -16,6 +16,12 @@ def ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, a, b).ratio() if a and b else 0.0 for a, b in zip(left, right, strict=True)], dtype=float)
 
 
+@F.pandas_udf(DoubleType())
+def plain_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
+    """``ratio`` with frequent characters counted too."""
+    return pd.Series([SequenceMatcher(None, a, b, autojunk=False).ratio() if a and b else 0.0 for a, b in zip(left, right, strict=True)], dtype=float)
+
+
 @F.pandas_udf(StringType())
 def fold(text: pd.Series) -> pd.Series:
     """Case-folded and decomposed, combining marks removed."""
