@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from statistics import median
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
@@ -125,43 +126,54 @@ def reading_order(regions: DataFrame) -> DataFrame:
     return regions.groupBy("document_id", "pdf_page").applyInPandas(lambda page: page_order(page), schema)
 
 
-def _pair_score(a, b, s: ContinuationSettings) -> float:
-    """How well body ``b`` continues body ``a``; 0 for a veto."""
-    shift, gap = abs(a.x0 - b.x0), max(0.0, b.y0 - a.y1, a.y0 - b.y1)
-    width = min(a.x1 - a.x0, b.x1 - b.x0)
-    overlap = max(0.0, min(a.x1, b.x1) - max(a.x0, b.x0)) / width if width > 0 else 0.0
-    if shift > s.largest_shift or gap > s.largest_gap or overlap < s.least_overlap:
-        return 0.0
-    wide = width / max(a.x1 - a.x0, b.x1 - b.x0)
-    return round(s.alignment * (1 - shift / s.largest_shift) + s.overlap * overlap + s.proximity * (1 - gap / s.largest_gap) + s.width * wide + s.style * 0.5 + s.order * (b.y0 >= a.y0), 4)
+def _scores(boxes: np.ndarray, a: int, s: ContinuationSettings) -> np.ndarray:
+    """How well each box continues box ``a``; 0 for a veto."""
+    x0, y0, x1, y1 = boxes.T
+    own = boxes[a]
+    shift = np.abs(own[0] - x0)
+    gap = np.maximum(0.0, np.maximum(y0 - own[3], own[1] - y1))
+    wide, own_wide = x1 - x0, own[2] - own[0]
+    width = np.minimum(wide, own_wide)
+    overlap = np.where(width > 0, np.maximum(0.0, np.minimum(own[2], x1) - np.maximum(own[0], x0)) / np.where(width > 0, width, 1), 0.0)
+    whole = np.maximum(wide, own_wide)
+    score = s.alignment * (1 - shift / s.largest_shift) + s.overlap * overlap + s.proximity * (1 - gap / s.largest_gap) + s.width * width / np.where(whole > 0, whole, 1) + s.style * 0.5 + s.order * (y0 >= own[1])
+    return np.where((shift > s.largest_shift) | (gap > s.largest_gap) | (overlap < s.least_overlap), 0.0, np.round(score, 4))
 
 
 def page_membership(page: pd.DataFrame, settings: ContinuationSettings = ContinuationSettings()) -> pd.DataFrame:
     """Spread owners to open bodies, best pair first, until nothing more is decided.
 
-    A new owner makes a body a reference for the next ones.  A body whose two best
+    A new owner makes a body a reference for the next ones: only its own pairs are
+    scored then, each owner keeps its best score for every body.  A body whose two best
     owners are closer than the margin stays open.
     """
-    rows = list(page.sort_values(["y0", "x0", "region_ord"], kind="stable").itertuples(index=False))
-    owner = {r.region_ord: r.article_id for r in rows if isinstance(r.article_id, str)}
-    score = {r.region_ord: 1.0 for r in rows if r.region_ord in owner}
-    while True:
-        best = []
-        for r in rows:
-            if r.region_ord in owner or r.kind != "body":
-                continue
-            by_owner: dict[str, float] = {}
-            for a in rows:
-                if a.region_ord in owner and (v := _pair_score(a, r, settings)) > by_owner.get(owner[a.region_ord], 0.0):
-                    by_owner[owner[a.region_ord]] = v
-            ranked = sorted(by_owner.items(), key=lambda x: (-x[1], x[0]))
-            if ranked and ranked[0][1] >= settings.threshold and ranked[0][1] - (ranked[1][1] if len(ranked) > 1 else 0.0) >= settings.margin:
-                best.append((-ranked[0][1], r.y0, r.region_ord, ranked[0][0]))
-        if not best:
-            break
-        value, _, ord_, who = min(best)
-        owner[ord_], score[ord_] = who, -value
-    return page.assign(article_id=[owner.get(o) for o in page.region_ord], score=[score.get(o) for o in page.region_ord])
+    boxes = page[["x0", "y0", "x1", "y1"]].to_numpy(float)
+    names = [a if isinstance(a, str) else None for a in page.article_id]
+    owners = sorted({a for a in names if a is not None})
+    place = {o: k for k, o in enumerate(owners)}
+    open_ = np.array([a is None and kind == "body" for a, kind in zip(names, page.kind, strict=True)], bool)
+    score = [1.0 if a is not None else None for a in names]
+    if owners and open_.any():
+        best = np.zeros((len(owners) + 1, len(page)))  # a row of zeros stands for nobody
+
+        def refer(a: int) -> None:
+            row = best[place[names[a]]]
+            np.maximum(row, _scores(boxes, a, settings), out=row)
+
+        for a in [k for k, name in enumerate(names) if name is not None]:
+            refer(a)
+        order = np.lexsort((page.region_ord.to_numpy(), boxes[:, 1]))
+        while open_.any():
+            two = np.partition(best, len(owners) - 1, axis=0)[-2:]
+            fits = open_ & (two[1] >= settings.threshold) & (two[1] - two[0] >= settings.margin)
+            if not fits.any():
+                break
+            value = np.where(fits, two[1], -1.0)[order]
+            k = int(order[int(np.argmax(value))])
+            names[k], score[k] = owners[int(np.argmax(best[:, k]))], float(two[1][k])
+            open_[k] = False
+            refer(k)
+    return page.assign(article_id=names, score=score)
 
 
 def membership(regions: DataFrame) -> DataFrame:
