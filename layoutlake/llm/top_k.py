@@ -10,14 +10,17 @@ all at once with numpy:
 
 * a block's bound is the sum of its terms' greatest weights; blocks are visited by
   descending bound in steps of growing width, the threshold (the k-th best score
-  so far) rises after each step, and the first bound below it ends the search;
+  so far) rises after each step, and the first bound below it ends the search; the
+  next shard of a task begins with the threshold that the ones before have reached;
 * the pivot: terms in ascending order of their greatest weight in the shard, as many
   as add up to less than the threshold, can't bring a document into the result by
   themselves.  A step scores the other terms first, and the former ones only in
   blocks where some document can still reach the threshold.
 
-Document frequencies, document count and mean length are those of the whole corpus,
-so shards' lists merge exactly.
+Pruning works on single-precision weights with a margin for their error; what may be
+in the result then is scored anew in double precision, term by term in one order, so
+equal documents get equal scores.  Document frequencies, document count and mean
+length are those of the whole corpus, so tasks' lists merge exactly.
 
 Queries are rows of the corpus (doc_id divisible by ``EVERY``); their term vectors
 are taken in parts of at most QUERY_BYTES (or one query) that are broadcast against
@@ -33,6 +36,7 @@ table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import uuid
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,9 +49,9 @@ from layoutlake.llm.common import bounded, released, shared_dir, table, written
 
 K = 10
 K1, B = 1.2, 0.75
-SHARD_POSTINGS = 1_500_000
-SHARD_DOCS = 16_384
-BLOCK_DOCS = 64
+SHARD_POSTINGS = 4_000_000
+SHARD_DOCS = 32_768
+BLOCK_DOCS = 128
 #: Blocks of a query's first step; every step takes twice as many as the one before.
 FIRST_BLOCKS = 4
 EVERY = 100
@@ -64,15 +68,16 @@ class Terms:
         self.store: dict[bytes, int] = {}
 
     def __call__(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        words = (text or "").encode().lower().split()
+        found = Counter((text or "").encode().lower().split())
         store = self.store
         if len(store) > STORE_WORDS:
             store.clear()
-        for w in words:
+        for w in found:
             if w not in store:
                 store[w] = xxhash.xxh3_64_intdigest(w)
-        names, counts = np.unique(np.fromiter(map(store.__getitem__, words), np.uint64, len(words)), return_counts=True)
-        return names, counts.astype(np.int32)
+        names = np.fromiter(map(store.__getitem__, found), np.uint64, len(found))
+        order = np.argsort(names)
+        return names[order], np.fromiter(found.values(), np.int32, len(found))[order]
 
 
 _INDEX = "n long, words long, doc_ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary"
@@ -136,24 +141,35 @@ def _arrays(batch: pa.RecordBatch, k: int, *names: str) -> list[np.ndarray]:
     return [np.frombuffer(batch.column(c)[k].as_buffer(), _ARRAYS[c]) for c in names]
 
 
+#: Share by which single-precision sums may be off.
+SLACK = 1e-5
+
+
 class Shard:
     def __init__(self, doc_ids, lengths, terms, starts, docs, counts, mean_length: float = 1.0):
-        self.ids, self.terms, self.starts, self.docs = doc_ids, terms, starts, docs
-        norm = K1 * (1 - B + B * lengths / mean_length)
-        self.weight = counts * (K1 + 1) / (counts + norm[docs])
+        self.ids, self.terms, self.starts, self.docs, self.counts = doc_ids, terms, starts, docs, counts
+        self.norm = K1 * (1 - B + B * lengths / mean_length)
+        self.weight = self._weights(slice(None)).astype(np.float32)
         self.blocks = -(-len(doc_ids) // BLOCK_DOCS)
         # runs of postings of one term in one block
-        cell = np.repeat(np.arange(len(terms)) * self.blocks, np.diff(starts)) + docs // BLOCK_DOCS
-        self.cell_start = np.flatnonzero(np.diff(cell, prepend=-1))
-        self.cell_size = np.diff(self.cell_start, append=len(cell))
-        place = cell[self.cell_start]
-        self.cell_block = place % max(1, self.blocks)
-        self.cell_most = np.maximum.reduceat(self.weight, self.cell_start) if len(cell) else np.empty(0)
-        self.term_cells = np.searchsorted(place, np.arange(len(terms) + 1) * self.blocks)
-        self.term_most = np.maximum.reduceat(self.weight, starts[:-1]) if len(cell) else np.empty(0)
+        block = (docs // BLOCK_DOCS).astype(np.int16)
+        new = np.empty(len(docs), bool)
+        new[:1] = True
+        new[1:] = block[1:] != block[:-1]
+        new[starts[:-1]] = True
+        self.cell_start = np.flatnonzero(new).astype(np.int32)
+        self.cell_size = np.diff(self.cell_start, append=np.int32(len(docs)))
+        self.cell_block = block[self.cell_start]
+        self.cell_most = np.maximum.reduceat(self.weight, self.cell_start) if len(docs) else np.empty(0, np.float32)
+        self.term_cells = np.searchsorted(self.cell_start, starts)
+        self.term_most = np.maximum.reduceat(self.weight, starts[:-1]) if len(docs) else np.empty(0, np.float32)
         #: Blocks with a term of a query, and those of them that were scored.
         self.met = self.scored = 0
 
+    def _weights(self, at) -> np.ndarray:
+        counts = self.counts[at]
+        return counts * (K1 + 1) / (counts + self.norm[self.docs[at]])
+
     def places(self, names: np.ndarray) -> np.ndarray:
         """The place of each term, -1 if the shard hasn't it."""
         if not len(self.terms):
@@ -166,35 +182,41 @@ class Shard:
         at = _ranges(self.cell_start[cells], sizes)
         score += np.bincount(self.docs[at], self.weight[at] * np.repeat(factor, sizes), minlength=len(score))
 
-    def search(self, names: np.ndarray, factors: np.ndarray, own: int | None, k: int = K) -> list[tuple[int, float]]:
-        """The best k (doc_id, score), highest score first."""
+    def search(self, names: np.ndarray, factors: np.ndarray, own: int | None, k: int = K, least: float = 0.0) -> list[tuple[int, float]]:
+        """The best k (doc_id, score) that reach ``least``, highest score first."""
         place = self.places(names)
         has = place >= 0
-        place, factors = place[has], factors[has]
+        place, double = place[has], factors[has].astype(float)
+        factors = double.astype(np.float32)
         sizes = self.term_cells[place + 1] - self.term_cells[place]
         cells = _ranges(self.term_cells[place], sizes)
         block = self.cell_block[cells]
         bound = np.bincount(block, self.cell_most[cells] * np.repeat(factors, sizes), minlength=self.blocks)
         order = np.argsort(-bound, kind="stable")
-        last = int(np.searchsorted(-bound[order], 0))  # blocks without a term come last
-        bound = bound[order] * (1 + 1e-9) + 1e-9  # sums differ in their last bits
+        bound = bound[order] * (1 + SLACK)
+        last = int(np.searchsorted(-bound, 0))  # blocks without a term come last
+        self.met += last
+        if not last or bound[0] < least:
+            return []
         rank = np.empty(self.blocks, np.int16)
         rank[order] = np.arange(self.blocks)
-        # cells by the rank of their block, in a block by term: each step is a slice
-        visit = np.argsort(rank[block], kind="stable")
-        cells, block, term = cells[visit], block[visit], np.repeat(np.arange(len(place)), sizes)[visit]
-        factor = factors[term]
-        ends = np.cumsum(np.bincount(rank[block], minlength=self.blocks))
+        # only cells of blocks that can reach ``least``, by the rank of their block: each step is a slice
+        last = int((bound[:last] >= least).sum())
+        ranks = rank[block]
+        live = np.flatnonzero(ranks < last)
+        live = live[np.argsort(ranks[live], kind="stable")]
+        term = np.repeat(np.arange(len(place), dtype=np.int32), sizes)[live]
+        cells, block, factor = cells[live], block[live], factors[term]
+        ends = np.cumsum(np.bincount(ranks[live], minlength=last))
         most = factors * self.term_most[place]
         ascending = np.argsort(most, kind="stable")
-        reach = np.cumsum(most[ascending]) * (1 + 1e-9) + 1e-9
-        level = np.empty(len(place), np.int64)
+        reach = np.cumsum(most[ascending].astype(float)) * (1 + SLACK)
+        level = np.empty(len(place), np.int32)
         level[ascending] = np.arange(len(place))
         level = level[term]
         score = np.zeros(len(self.ids))
         mine = np.flatnonzero(self.ids == own) if own is not None else np.empty(0, np.int64)
-        best, at, width = 0.0, 0, FIRST_BLOCKS
-        self.met += last
+        best, at, width = least, 0, FIRST_BLOCKS
         while at < last:
             # what has a lower bound than the k-th best score so far is skipped
             stop = at + int((bound[at : min(at + width, last)] >= best).sum())
@@ -208,24 +230,31 @@ class Shard:
                 rows, weights, blocks = cells[step][late], factor[step][late], block[step][late]
                 rest = np.bincount(blocks, self.cell_most[rows] * weights, minlength=self.blocks)
                 highest = np.maximum.reduceat(score, np.arange(0, len(score), BLOCK_DOCS))
-                able = ((highest + rest) * (1 + 1e-9) + 1e-9 >= best)[blocks]
+                able = ((highest + rest) * (1 + SLACK) >= best)[blocks]
                 self._add(score, rows[able], weights[able])
             else:
                 self._add(score, cells[step], factor[step])
             score[mine] = 0
             self.scored += stop - at
-            if len(score) > k:
-                best = float(np.partition(score, -k)[-k])
+            above = score[score > best]
+            if len(above) >= k:
+                best = float(np.partition(above, -k)[-k]) * (1 - SLACK)
             at, width = stop, 2 * width
-        found = np.flatnonzero(score > 0)
-        if len(found) > k:
-            found = found[score[found] >= np.partition(score[found], -k)[-k] * (1 - 1e-9) - 1e-9]
-        # scores tie if they agree to nine places; terms are added up in one order
-        again = np.isin(block, found // BLOCK_DOCS)
-        score[:] = 0
-        self._add(score, cells[again], factor[again])
-        ranked = sorted(((round(float(score[i]), 9), int(self.ids[i])) for i in found), key=lambda x: (-x[0], x[1]))[:k]
-        return [(i, s) for s, i in ranked]
+        found = np.flatnonzero((score > 0) & (score * (1 + SLACK) >= best))
+        ranked = sorted(zip((-np.round(self._exact(found, place, double), 9)).tolist(), self.ids[found].tolist(), strict=True))[:k]
+        return [(i, -s) for s, i in ranked if -s >= least]
+
+    def _exact(self, found: np.ndarray, place: np.ndarray, factors: np.ndarray) -> np.ndarray:
+        """Scores of documents in ``found``, their terms added up in one order."""
+        blocks = np.zeros(self.blocks, bool)
+        blocks[found // BLOCK_DOCS] = True
+        sizes = self.term_cells[place + 1] - self.term_cells[place]
+        cells = _ranges(self.term_cells[place], sizes)
+        here = blocks[self.cell_block[cells]]
+        cells, factor = cells[here], np.repeat(factors, sizes)[here]
+        sizes = self.cell_size[cells]
+        at = _ranges(self.cell_start[cells], sizes)
+        return np.bincount(self.docs[at], self._weights(at) * np.repeat(factor, sizes), minlength=len(self.ids))[found]
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -296,14 +325,23 @@ def _search_part(index: DataFrame, asked: list[tuple], n: int, mean: float, k: i
     shared = context.broadcast([(q, own, t, c * idf[np.searchsorted(names, t)]) for q, own, t, c in asked])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = shared.value
+        best: list[list[tuple[float, int]]] = [[] for _ in asked]
         for batch in batches:
             for row in range(batch.num_rows):
                 shard = Shard(*_arrays(batch, row, *_ARRAYS), mean)
-                found = [(q, own, i, s) for q, own, t, factors in shared.value for i, s in shard.search(t, factors, own, k)]
-                columns = list(zip(*found, strict=True)) or [(), (), (), ()]
-                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.float64())], names=["number", "query_id", "doc_id", "score"])
-
-    return index.select(*_ARRAYS).mapInArrow(lambda batches: released(run(batches)), _FOUND)
+                for held, (_, own, names, factors) in zip(best, asked, strict=True):
+                    held += [(-s, i) for i, s in shard.search(names, factors, own, k, -held[-1][0] if len(held) == k else 0.0)]
+                    held.sort()
+                    del held[k:]
+        for at in range(0, len(asked), 1_000):
+            found = [(q, own, i, -s) for (q, own, _, _), held in zip(asked[at : at + 1_000], best[at : at + 1_000], strict=True) for s, i in held]
+            columns = list(zip(*found, strict=True)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.float64())], names=["number", "query_id", "doc_id", "score"])
+
+    # several shards for each task: what it has found prunes the next ones
+    tasks = max(1, 2 * context.defaultParallelism)
+    return index.select(*_ARRAYS).coalesce(tasks).mapInArrow(lambda batches: released(run(batches)), _FOUND)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
