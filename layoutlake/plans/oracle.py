@@ -83,7 +83,7 @@ SQL = {
       FROM g JOIN (SELECT source AS document_id, count(DISTINCT doc_id) AS n_pages FROM documents GROUP BY 1) USING (document_id)""",
     "q06_rights_notice": f"WITH {LINES}, t AS (SELECT document_id, {NOTICE} AS n FROM lines), m AS (SELECT document_id, {MARKER} AS marker, ({PART}) AS part FROM t) SELECT document_id, CASE WHEN marker IS NOT NULL THEN 'accepted' WHEN part THEN 'ambiguous' ELSE 'none' END AS status, coalesce(marker, '') AS marker, count(*) AS n FROM m GROUP BY 1, 2, 3",
     "q07_rights_scrub": f"WITH b AS (SELECT doc_id, text || ' © Riproduzione riservata.' AS body FROM documents) SELECT doc_id, length({TIDY}) AS n_chars, md5({TIDY}) AS body_md5 FROM b",
-    "q09_geometry_pairs": f"WITH {REGIONS} SELECT a.document_id, a.pdf_page, count(*) AS n_pairs, CAST(round(sum({overlap('a.', 'b.')}), 4) AS DOUBLE) AS sum_overlap, CAST(round(max({gap('a.', 'b.')}), 4) AS DOUBLE) AS largest_gap FROM regions a JOIN regions b USING (document_id, pdf_page) WHERE a.region_ord < b.region_ord AND b.region_ord < 40 AND {overlap('a.', 'b.')} >= 0.2 AND {gap('a.', 'b.')} <= 24 GROUP BY ALL",
+    "q09_geometry_pairs": f"WITH {REGIONS} SELECT a.document_id, a.pdf_page, count(*) AS n_pairs, CAST(round(sum({overlap('a.', 'b.')}), 4) AS DOUBLE) AS sum_overlap, CAST(round(max({gap('a.', 'b.')}), 4) AS DOUBLE) AS largest_gap FROM regions a JOIN regions b USING (document_id, pdf_page) WHERE a.region_ord < b.region_ord AND {overlap('a.', 'b.')} >= 0.2 AND {gap('a.', 'b.')} <= 24 GROUP BY ALL",
     "q10_nearest_body": f"WITH {PAIRS} SELECT document_id, pdf_page, title, arg_min(body, (gap, body)) AS body, CAST(min(gap) AS DOUBLE) AS gap FROM pairs GROUP BY ALL",
     "q11_title_barrier": f"WITH {PAIRS} SELECT document_id, pdf_page, count(*) AS n_pairs, CAST(round(sum(gap), 4) AS DOUBLE) AS sum_gap FROM pairs p WHERE NOT EXISTS (SELECT 1 FROM kinds c WHERE c.kind = 'title' AND c.document_id = p.document_id AND c.pdf_page = p.pdf_page AND c.region_ord <> p.title AND c.x0 = p.t_x0 AND c.y0 > p.t_y0 AND c.y0 < p.b_y0) GROUP BY ALL",
     "q12_title_score": f"WITH {SCORES} SELECT * FROM scores",
@@ -94,10 +94,11 @@ SQL = {
       r AS (SELECT doc_id, unnest({SHINGLES}) AS s FROM (SELECT doc_id, {WORDS.format('text')} AS w FROM documents) WHERE len(w) >= 8),
       h AS (SELECT item_id, doc_id, count(*) AS shared FROM l JOIN r USING (s) GROUP BY 1, 2 HAVING count(*) >= 5), b AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY shared DESC, doc_id) AS rn FROM h)
       SELECT item_id, doc_id, shared, round(shared / n, 6) AS share FROM b JOIN (SELECT item_id, count(*) AS n FROM l GROUP BY 1) USING (item_id) WHERE rn = 1""",
-    "q17_dup_self_join": f"WITH h AS (SELECT source AS document_id, doc_id, array_to_string(({WORDS.format('text')})[1:12], ' ') AS t FROM documents) SELECT a.document_id, a.doc_id AS left_page, b.doc_id AS right_page FROM h a JOIN h b ON a.document_id = b.document_id AND a.t = b.t AND a.doc_id < b.doc_id WHERE a.t <> ''",
-    "q18_pull_quote": f"""WITH {LINES}, t AS (SELECT document_id, pdf_page, region_ord, list_distinct(list_filter({WORDS.format('text')}, lambda w: length(w) >= 5)) AS w FROM lines),
+    "q17_dup_self_join": f"""WITH h AS (SELECT source AS document_id, doc_id AS pdf_page, array_to_string({WORDS.format('string_split(text, chr(10))[1]')}, ' ') AS t FROM documents), c AS (SELECT document_id, t, min(pdf_page) AS first_page, count(*) AS n_pages FROM h WHERE t <> '' GROUP BY 1, 2 HAVING count(*) >= 2)
+      SELECT h.document_id, h.pdf_page, first_page, n_pages, EXISTS (SELECT 1 FROM h p WHERE p.document_id = h.document_id AND p.t = h.t AND p.pdf_page = h.pdf_page - 1) AS follows FROM h JOIN c ON h.document_id = c.document_id AND h.t = c.t""",
+    "q18_pull_quote": f"""WITH {LINES}, t AS (SELECT document_id, pdf_page, region_ord, list_distinct(list_filter({WORDS.format('text')}, lambda w: length(w) >= 4)) AS w FROM lines),
       e AS (SELECT document_id, pdf_page, region_ord, len(w) AS n, unnest(w) AS t FROM t),
-      c AS (SELECT a.document_id, a.pdf_page, a.region_ord, b.region_ord AS other, a.n, count(*) AS shared FROM e a JOIN e b USING (document_id, pdf_page, t) WHERE a.n BETWEEN 3 AND 12 AND a.region_ord <> b.region_ord GROUP BY ALL HAVING count(*) >= 0.78 * a.n)
+      c AS (SELECT a.document_id, a.pdf_page, a.region_ord, b.region_ord AS other, a.n, count(*) AS shared FROM e a JOIN e b USING (document_id, pdf_page, t) WHERE a.n BETWEEN 6 AND 40 AND a.region_ord <> b.region_ord GROUP BY ALL HAVING count(*) >= 0.78 * a.n)
       SELECT document_id, pdf_page, region_ord, other, shared, n FROM (SELECT *, row_number() OVER (PARTITION BY document_id, pdf_page, region_ord ORDER BY shared DESC, other) AS rn FROM c) WHERE rn = 1""",
     "q19_url_canonical": rf"""SELECT page_id, CASE WHEN lower({url_part(1, CANDIDATE)}) IN ('http', 'https') AND {url_part(2, CANDIDATE)} <> '' AND NOT contains({url_part(2, CANDIDATE)}, '@') AND NOT ({JUNK}) THEN {CANDIDATE} END AS candidate,
       {url_part(3)} NOT IN ('', '/') AS has_path, lower({url_part(1)}) || '://' || lower({url_part(2)}) || regexp_replace({url_part(3)}, '/+$', '') || {url_part(4)} AS article_key,
@@ -105,7 +106,7 @@ SQL = {
       trim(regexp_replace(translate(regexp_replace(regexp_extract(regexp_replace({url_part(3)}, '/+$', ''), '([^/]*)$', 1), '\.[A-Za-z]{{2,5}}$', ''), '-_', '  '), ' +', ' ', 'g')) AS slug FROM pages""",
     "q20_web_text_gate": r"""WITH b AS (SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '<[^>]*>', ' ', 'g'), '[ \t\r\n]+', ' ', 'g')) AS body FROM pages)
       SELECT page_id, length(body) AS n_chars, len(string_split(body, ' ')) AS n_words, CASE WHEN length(body) < 650 THEN 'too_short' WHEN len(string_split(body, ' ')) < 90 THEN 'too_few_words' ELSE 'accepted' END AS reason FROM b""",
-    "q21_index_top1_margin": f"""WITH e AS (SELECT item_id, list_distinct(({WORDS.format('text')})[1:12]) AS e FROM benchmark), p AS (SELECT page_id, list_distinct({WORDS.format("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")}) AS p FROM pages),
+    "q21_index_top1_margin": f"""WITH e AS (SELECT item_id, list_distinct({WORDS.format('text')}) AS e FROM benchmark), p AS (SELECT page_id, list_distinct({WORDS.format("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")}) AS p FROM pages),
       scored AS (SELECT item_id, page_id, round(len(list_intersect(e, p)) / (len(e) + len(p) - len(list_intersect(e, p))), 6) AS score FROM e, p WHERE len(list_intersect(e, p)) > 0) """ + winner("scored", "item_id", "page_id", 0.30, 0.10),
     "q23_entity_exact_alias": r"""WITH lex AS (SELECT 'nation' AS kind, n_name AS canonical FROM nation UNION ALL SELECT 'region', r_name FROM region),
       al AS (SELECT kind, canonical, unnest([canonical, substring(canonical, 1, 3)]) AS alias FROM lex), k AS (SELECT canonical, array_to_string(regexp_extract_all(lower(alias), '[\p{L}\p{N}_]+'), ' ') AS k, alias = canonical AS is_name FROM al),
@@ -116,6 +117,11 @@ SQL = {
     "q26_adjacent_pages": f"WITH {ADJACENT} SELECT conv_id, turn, step, shared FROM adjacent WHERE step IS NOT NULL",
     "q27_sheet_sequence": "WITH s AS (SELECT l_orderkey, l_linenumber - lag(l_linenumber) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) = 1 AS nxt FROM lineitem) SELECT l_orderkey, count(*) AS sheets, count_if(coalesce(nxt, false)) AS pairs FROM s GROUP BY 1",
     "q28_flow_score": f"WITH {ADJACENT}, c AS (SELECT conv_id, turn, round(0.4 + 0.3 * CAST(step = 1 AS INT) + 0.06 * least(shared, 5), 4) AS score FROM adjacent WHERE step IS NOT NULL) SELECT conv_id, turn, CAST(score AS DOUBLE) AS score, CASE WHEN score >= 0.82 THEN 'accepted' WHEN score >= 0.60 THEN 'candidate' ELSE 'rejected' END AS status FROM c",
+    "q29_chain_state": f"""WITH RECURSIVE t AS (SELECT conv_id, turn, list_distinct(list_filter({WORDS.format('text')}, lambda w: length(w) >= 4)) AS w, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS rn FROM conversations),
+      c AS (SELECT conv_id, turn, w, rn, turn AS chain_start, CAST(1 AS BIGINT) AS place FROM t WHERE rn = 1 UNION ALL
+        SELECT t.conv_id, t.turn, t.w, t.rn, CASE WHEN t.turn = c.turn + 1 AND c.place < 6 AND len(list_intersect(t.w, c.w)) >= 2 THEN c.chain_start ELSE t.turn END, CASE WHEN t.turn = c.turn + 1 AND c.place < 6 AND len(list_intersect(t.w, c.w)) >= 2 THEN c.place + 1 ELSE 1 END
+        FROM c JOIN t ON t.conv_id = c.conv_id AND t.rn = c.rn + 1)
+      SELECT conv_id AS document_id, turn AS pdf_page, chain_start, place FROM c""",
     "q30_columns": f'WITH {ORDERED} SELECT document_id, pdf_page, CAST(dense_rank() OVER (PARTITION BY document_id, pdf_page ORDER BY col) - 1 AS BIGINT) AS "column", n_regions, first_region FROM (SELECT document_id, pdf_page, col, count(*) AS n_regions, min(region_ord) AS first_region FROM ordered GROUP BY ALL)',
     "q31_reading_order": f"WITH {ORDERED}, g AS (SELECT *, CASE WHEN lag(col) OVER w = col THEN y0 - lag(y1) OVER w END AS gap FROM ordered WINDOW w AS (PARTITION BY document_id, pdf_page ORDER BY place)) SELECT document_id, pdf_page, region_ord, place, CAST(gap AS DOUBLE) AS gap, CAST(CASE WHEN gap > 120 THEN 0.55 ELSE 0.85 END AS DOUBLE) AS confidence FROM g",
     "q32_running_offsets": f'WITH {ORDERED}, o AS (SELECT *, CAST(coalesce(sum(length(text) + 2) OVER (PARTITION BY document_id, pdf_page ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS st FROM ordered) SELECT document_id, pdf_page, region_ord, st AS "start", st + length(text) AS "end" FROM o',
@@ -129,7 +135,7 @@ SQL = {
     "q37_corpus_rollup": "SELECT year(o_orderdate) AS year, month(o_orderdate) AS month, count(*) AS n, count_if(o_orderstatus = 'F') AS n_success, round(sum(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END), 2) AS price_success FROM orders GROUP BY ROLLUP (1, 2)",
     "q38_audit_rates": "WITH u AS (SELECT source, unnest(['quality', 'toxic']) AS verdict, unnest([quality, toxic]) AS value FROM labels JOIN documents USING (doc_id)) SELECT source, verdict, count(value) AS reviewed, round(avg(value), 6) AS rate FROM u GROUP BY 1, 2",
     "q39_unmatched_entries": "SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
-    "q41_image_coverage": f"WITH {REGIONS}, c AS (SELECT document_id, pdf_page, unnest(range(CAST(greatest(0, least(31, floor(x0 / 600 * 32))) AS BIGINT), CAST(greatest(0, least(31, floor((x1 - 1e-6) / 600 * 32))) AS BIGINT) + 1)) AS gx, y0, y1 FROM regions WHERE region_ord % 5 = 0), d AS (SELECT document_id, pdf_page, gx, unnest(range(CAST(greatest(0, least(31, floor(y0 / 1400 * 32))) AS BIGINT), CAST(greatest(0, least(31, floor((y1 - 1e-6) / 1400 * 32))) AS BIGINT) + 1)) AS gy FROM c) SELECT document_id, pdf_page, round(count(DISTINCT (gx, gy)) / 1024, 6) AS coverage FROM d GROUP BY 1, 2",
+    "q41_image_coverage": f"WITH {REGIONS}, c AS (SELECT document_id, pdf_page, unnest(range(CAST(greatest(0, least(31, floor(x0 / 600 * 32))) AS BIGINT), CAST(greatest(0, least(31, floor((x1 - 1e-6) / 600 * 32))) AS BIGINT) + 1)) AS gx, y0, y1 FROM regions), d AS (SELECT document_id, pdf_page, gx, unnest(range(CAST(greatest(0, least(31, floor(y0 / 1400 * 32))) AS BIGINT), CAST(greatest(0, least(31, floor((y1 - 1e-6) / 1400 * 32))) AS BIGINT) + 1)) AS gy FROM c) SELECT document_id, pdf_page, round(count(DISTINCT (gx, gy)) / 1024, 6) AS coverage FROM d GROUP BY 1, 2",
     "q42_page_type": f"WITH {LINES}, p AS (SELECT document_id, pdf_page, count_if(regexp_matches(lower(text), '\\bfoglio\\b') OR regexp_matches(lower(text), '\\btiratura\\b')) AS clip, count_if({flag('share')} OR {flag('navigation')} OR {flag('cookie')}) AS web, sum(length(text)) AS chars, bool_or({URL}) AS url FROM lines GROUP BY ALL) SELECT document_id, pdf_page, CASE WHEN clip >= 2 THEN 'press_clipping' WHEN web >= 2 OR url THEN 'web' WHEN chars >= 500 AND web = 0 THEN 'pure_text' ELSE 'unknown' END AS page_type FROM p",
     "q43_date_extract": "SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS found, CASE WHEN o_orderkey % 2 = 0 THEN 2 END AS sheet, CASE WHEN o_orderkey % 2 = 0 THEN 7 END AS sheets, CASE WHEN o_orderkey % 2 <> 0 THEN 12 END AS original_page FROM orders",
     "q44_source_continuity": f"WITH {SPANS}, j AS (SELECT l_orderkey, s - lag(e) OVER (PARTITION BY l_orderkey ORDER BY s, e) AS jump FROM spans) SELECT l_orderkey, count(*) AS n_continuations FROM j WHERE jump BETWEEN 0 AND 3 GROUP BY 1",

@@ -24,13 +24,18 @@ def query(sql: str | None = None):
     return add
 
 
-@query()
+TIDY_CODES = r"trim(regexp_replace(text, '[ \t]{2,}', ' ', 'g'))"
+
+
+@query(rf"""SELECT doc_id, length({TIDY_CODES}) AS n_chars, md5({TIDY_CODES}) AS body_md5, CASE WHEN regexp_matches(text, '^[a-z]+ ') THEN 'fused' ELSE 'alone' END AS place FROM documents""")
 def q08_code_scrub(spark, sf):
-    """Register codes attested in a document's last lines go from its other lines."""
-    docs = src.read(spark, sf, "documents").select("doc_id", F.concat(F.lit("DS"), 1000 + F.col("doc_id") % 9000).alias("code"), "text")
-    fused = docs.select("doc_id", F.array("code").alias("codes"), F.concat(F.regexp_replace("text", r"^(\S+)", F.lit("$1")), F.lit(" "), F.col("code")).alias("body"))
-    clean = text.scrub_codes(F.col("body"), F.col("codes"))
-    return fused.select("doc_id", F.length(clean).cast("long").alias("n_chars"), F.contains(clean, F.col("codes")[0]).alias("left_over"))
+    """A register code that a page's stamp attests goes from its text, fused to a word or alone."""
+    docs = src.read(spark, sf, "documents").select("doc_id", "text", F.concat(F.lit("DS"), 1000 + F.col("doc_id") % 9000).alias("stamp"))
+    fused = F.col("text").rlike("^[a-z]+ ")
+    body = F.when(fused, F.concat(F.regexp_extract("text", "^([a-z]+) ", 1), "stamp", F.regexp_replace("text", "^[a-z]+", ""))).otherwise(F.concat("text", F.lit(" "), "stamp"))
+    attested = F.when(text.stamp_code(F.col("stamp")), F.array_distinct(F.regexp_extract_all("stamp", F.lit(text.CODE_TOKEN), F.lit(0)))).otherwise(F.array().cast("array<string>"))
+    clean = text.scrub_codes(body, attested)
+    return docs.select("doc_id", F.length(clean).cast("long").alias("n_chars"), F.md5(clean).alias("body_md5"), F.when(fused, "fused").otherwise("alone").alias("place"))
 
 
 @query()
@@ -161,8 +166,10 @@ def q58_header_zone(spark, sf):
 def q59_watermark_score(spark, sf):
     """Print-watermark score of each region, by document and value."""
     t = F.col("text")
-    same = F.count("*").over(Window.partitionBy("document_id", "text"))
-    r = src.lines(spark, sf).withColumn("same", same)
+    lines = src.lines(spark, sf)
+    # counted and joined back: an empty line may be a third of all lines
+    again = lines.groupBy("document_id", "text").agg(F.count("*").alias("same"))
+    r = lines.join(again, ["document_id", "text"])
     when = lambda c, v: F.when(c, v).otherwise(0.0)
     score = when(F.contains(F.lower(t), F.lit("data stampa")) & (F.length(t) <= 120), 0.70) + when(text.flags(t)["has_watermark"] & (F.length(t) <= 200), 0.30) + when(F.col("same") >= 2, 0.16) + when(F.col("region_ord") == 0, 0.09) - when(F.length(t) > 240, 0.35)
     return r.select("document_id", F.round(score, 4).alias("score")).groupBy("document_id", "score").agg(F.count("*").alias("n"))

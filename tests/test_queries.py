@@ -32,7 +32,7 @@ def same(a, b):
     return len(a) == len(b) and all(x == y or isinstance(x, (int, float)) and isinstance(y, (int, float)) and math.isclose(x, y, abs_tol=1e-6) or str(x) == str(y) for r, s in zip(a, b) for x, y in zip(r, s))
 
 
-@pytest.mark.parametrize("name", sorted(set(SQL) - {"q16_shingle_overlap"}))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_oracle(spark, duck, name):
     df = QUERIES[name](spark, SF)
     cur = duck.execute(SQL[name])

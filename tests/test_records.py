@@ -19,8 +19,10 @@ def test_two_columns_read_left_to_right(spark):
     assert len(r) == 1 and r[0].title == "Titolo della pagina" and r[0].article_id.startswith("article_")
     body = r[0].body
     assert "riservata" not in body and "sinistra 0" in body
-    if "destra 0" in body:
-        assert body.index("sinistra 3") < body.index("destra 0")
+    left = [body.index(f"sinistra {k}") for k in range(4)]
+    assert left == sorted(left)
+    # the right column is no part of the title's lane: it stays open or follows the whole left one
+    assert "destra" not in body or body.index("destra 0") > left[-1]
 
 
 def test_status_follows_coverage(spark):
