@@ -30,9 +30,9 @@ def fold(text: pd.Series) -> pd.Series:
 
 @F.pandas_udf(StringType())
 def compose(text: pd.Series) -> pd.Series:
-    """Composed characters, ligatures and odd spaces resolved."""
+    """Composed characters, ligatures and no-break spaces resolved, byte-order marks dropped."""
     return text.map(lambda s: None if s is None else unicodedata.normalize("NFC", s.translate(LIGATURES)))
 
 
-# Ligatures, spaces and invisible characters of extracted text.
-LIGATURES = {0xFB00: "ff", 0xFB01: "fi", 0xFB02: "fl", 0xFB03: "ffi", 0xFB04: "ffl", 0x00A0: " ", 0x00AD: None, 0x200B: None, 0xFEFF: None}
+# Ligatures, the no-break space and the byte-order mark.
+LIGATURES = {0xFB00: "ff", 0xFB01: "fi", 0xFB02: "fl", 0xFB03: "ffi", 0xFB04: "ffl", 0x00A0: " ", 0xFEFF: None}
