@@ -49,7 +49,8 @@ from layoutlake.llm.common import bounded, released, shared_dir, table, written
 
 K = 10
 K1, B = 1.2, 0.75
-SHARD_POSTINGS = 4_000_000
+SHARD_POSTINGS = 3_000_000
+#: At most 65,536: documents are numbered in 16 bits.
 SHARD_DOCS = 32_768
 BLOCK_DOCS = 128
 #: Blocks of a query's first step; every step takes twice as many as the one before.
@@ -81,7 +82,7 @@ class Terms:
 
 
 _INDEX = "n long, words long, doc_ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary"
-_ARRAYS = {"doc_ids": np.int64, "lengths": np.int64, "terms": np.uint64, "starts": np.int64, "docs": np.int32, "counts": np.int32}
+_ARRAYS = {"doc_ids": np.int64, "lengths": np.int64, "terms": np.uint64, "starts": np.int64, "docs": np.uint16, "counts": None}
 
 
 class _Open:
@@ -110,11 +111,12 @@ class _Open:
         lengths = np.array(self.lengths, np.int64)[order]
         flat = np.concatenate([self.terms[k] for k in order])
         counts = np.concatenate([self.counts[k] for k in order])
-        docs = np.repeat(np.arange(len(order), dtype=np.int32), [len(self.terms[k]) for k in order])
+        docs = np.repeat(np.arange(len(order), dtype=np.uint16), [len(self.terms[k]) for k in order])
         by_term = np.argsort(flat, kind="stable")
         flat, counts, docs = flat[by_term], counts[by_term], docs[by_term]
         starts = np.flatnonzero(np.concatenate(([True], flat[1:] != flat[:-1]))) if len(flat) else np.empty(0, np.int64)
-        arrays = (np.array(self.ids, np.int64)[order], lengths, flat[starts], np.append(starts, len(flat)).astype(np.int64), docs, counts)
+        narrow = counts.astype(np.uint8 if len(counts) and counts.max() < 256 else np.uint32)
+        arrays = (np.array(self.ids, np.int64)[order], lengths, flat[starts], np.append(starts, len(flat)).astype(np.int64), docs, narrow)
         columns = [pa.array([len(order)], pa.int64()), pa.array([int(lengths.sum())], pa.int64()), *(pa.array([a.tobytes()], pa.binary()) for a in arrays)]
         return pa.RecordBatch.from_arrays(columns, names=["n", "words", *_ARRAYS])
 
@@ -137,8 +139,10 @@ def build(docs: DataFrame) -> DataFrame:
 
 
 def _arrays(batch: pa.RecordBatch, k: int, *names: str) -> list[np.ndarray]:
-    """Arrays of row ``k``, without a copy."""
-    return [np.frombuffer(batch.column(c)[k].as_buffer(), _ARRAYS[c]) for c in names]
+    """Arrays of row ``k``, without a copy; ``counts`` has the width that its shard needs."""
+    out = {c: batch.column(c)[k].as_buffer() for c in names}
+    wide = lambda c: np.uint8 if out[c].size == out["docs"].size // 2 else np.uint32
+    return [np.frombuffer(out[c], _ARRAYS[c] or wide(c)) for c in names]
 
 
 #: Share by which single-precision sums may be off.
