@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -63,3 +63,31 @@ def position(cx: Column, cy: Column) -> tuple[Column, Column]:
 def prominence(page_score: Column, area_score: Column, vertical_score: Column) -> tuple[Column, Column]:
     score = F.round(0.4 * page_score + 0.4 * area_score + 0.2 * vertical_score, 4)
     return score, F.when(score >= 0.70, "high").when(score >= 0.40, "medium").otherwise("low")
+
+
+# Upper ends of original page numbers, lower ends of relative areas, and their scores.
+PAGE_SCORES = ((1, 1.0), (3, 0.85), (5, 0.70), (10, 0.50), (20, 0.30))
+AREA_SCORES = ((0.35, 1.0), (0.25, 0.85), (0.15, 0.65), (0.08, 0.45), (0.03, 0.25))
+
+
+def prominence_of(original_page: Column, area: Column, cy: Column) -> tuple[Column, Column]:
+    """Score and label from the original page, the relative area and the height of the centre."""
+    page = F.when(original_page.isNull(), 0.35)
+    for last, score in PAGE_SCORES:
+        page = page.when(original_page <= last, score)
+    size = F.when(F.lit(False), 0.0)
+    for least, score in AREA_SCORES:
+        size = size.when(area >= least, score)
+    high = F.when(cy < 0.33, 1.0).when(cy < 0.66, 0.60).otherwise(0.30)
+    return prominence(page.otherwise(0.20), size.otherwise(0.10), high)
+
+
+def union_box(prefix: str = "") -> list[Column]:
+    """Aggregates that give the box around all boxes of a group."""
+    return [F.min(f"{prefix}x0").alias("x0"), F.min(f"{prefix}y0").alias("y0"), F.max(f"{prefix}x1").alias("x1"), F.max(f"{prefix}y1").alias("y1")]
+
+
+def dark_box(pixels: DataFrame, key: list[str], threshold: int = 110) -> DataFrame:
+    """The half-open box around the pixels (x, y, v) that are as dark as ``threshold``; no row for an image without any."""
+    box_ = [F.min("x").alias("x0"), F.min("y").alias("y0"), (F.max("x") + 1).alias("x1"), (F.max("y") + 1).alias("y1")]
+    return pixels.filter(F.col("v") <= threshold).groupBy(*key).agg(*box_, F.count("*").alias("n_dark"))
