@@ -18,7 +18,8 @@ rows share their fate.
 
 Everything runs as DataFrame operations.  Null texts have size 0, a null source
 is a source of its own that stands last, a null doc_id is hashed like any value;
-documents of size 0 take one copy of no words.  Sources are assumed to be far
+documents of size 0 take one copy of no words (so do sources that have no others).
+An empty table gives an empty result; texts of any length are counted whole.  Sources are assumed to be far
 fewer than documents: one row for each source is sorted in one place.
 """
 
@@ -76,8 +77,8 @@ def tilts(counts: DataFrame, goals: DataFrame, near) -> DataFrame:
     sources for broadcast where their number allows it.
     """
     full = F.col("target") >= MOST * F.col("source_size") * (1 - 1e-12)
-    state = goals.select("place", "target", "source_size", (F.col("source_size") / F.col("documents")).alias("mean"), full.alias("full"))
-    state = state.withColumn("tilt", F.when(~F.col("full"), F.log(F.greatest(F.col("target") / F.col("source_size"), F.lit(1e-12)))))
+    state = goals.select("place", "target", "source_size", F.coalesce(F.try_divide("source_size", "documents"), F.lit(1.0)).alias("mean"), full.alias("full"))
+    state = state.withColumn("tilt", F.when(~F.col("full"), F.log(F.greatest(F.try_divide("target", "source_size"), F.lit(1e-12)))))
     # at the upper end even a document of one word has rate 2
     state = state.withColumn("low", F.lit(-700.0) * F.col("mean")).withColumn("high", F.lit(0.7) * F.col("mean") + 1)
     state = state.withColumn("open", ~F.col("full"))
@@ -90,7 +91,7 @@ def tilts(counts: DataFrame, goals: DataFrame, near) -> DataFrame:
         sums = moved.groupBy("place").agg(F.sum(words * F.least(F.lit(MOST), rate)).alias("words"), F.sum(F.when(rate < MOST, words * rate * F.col("size") / F.col("mean")).otherwise(0.0)).alias("slope"))
         both = near(sums).join(state, "place", "right").withColumn("gap", F.col("words") - F.col("target"))
         both = both.withColumn("low", F.when(F.col("gap") < 0, F.col("tilt")).otherwise(F.col("low"))).withColumn("high", F.when(F.col("gap") >= 0, F.col("tilt")).otherwise(F.col("high")))
-        newton = F.col("tilt") - F.col("gap") / F.col("slope")
+        newton = F.col("tilt") - F.try_divide("gap", "slope")
         inside = (F.col("slope") > 0) & (newton > F.col("low")) & (newton < F.col("high"))
         done = F.col("gap").isNull() | (F.abs("gap") <= TOLERANCE * F.col("target"))
         both = both.withColumn("open", ~done).withColumn("tilt", F.when(F.col("full"), None).when(done, F.col("tilt")).when(inside, newton).otherwise((F.col("low") + F.col("high")) / 2))
