@@ -33,7 +33,7 @@ RANKS_FILE = "byte_bpe_multi_50k.tiktoken"
 #: The characters with the Unicode property White_Space.
 SPACE = "\t-\r \x85\xa0  -     　"
 #: Words kept with their ids in a task; beyond it the store starts afresh.
-STORE_WORDS = 400_000
+STORE_WORDS = 250_000
 #: Words under one index.
 BLOCK_WORDS = 5_000
 #: Characters of text whose new words share one replay.
