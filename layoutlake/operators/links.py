@@ -9,7 +9,6 @@ exchange.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -223,6 +222,3 @@ def propagated(pages: DataFrame, links: DataFrame, fields: list[str]) -> DataFra
     for c in fields:
         agrees = agrees & compatible(F.col(c), F.col(f"a_{c}"))
     return out.withColumns({c: F.when(agrees, F.coalesce(c, f"a_{c}")).otherwise(F.col(c)) for c in fields} | {"from_anchor": agrees}).select(*pages.columns, "from_anchor")
-
-
-Scorer = Callable[[DataFrame], DataFrame]

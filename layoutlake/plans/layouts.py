@@ -25,7 +25,7 @@ def query(sql: str | None = None):
 
 
 #: Lines put in at fixed places, so that authors, places and teasers occur.
-PUT = ("di Mario Rossi", "Anna Maria Verdi", "ALGERIA", "Cronaca", "segue a pag. 12")
+PUT = ("di Mario Rossi", "Anna Maria Verdi", "NATION_3", "Cronaca", "segue a pag. 12")
 PUT_SQL = "[" + ", ".join(f"'{p}'" for p in PUT) + "]"
 TYPED = REGIONS + f""", typed AS (SELECT *, CASE WHEN length(text) < 30 THEN 'unknown' WHEN length(text) < 75 THEN 'article_title' ELSE 'article_body' END AS type FROM (SELECT * REPLACE (CASE WHEN region_ord BETWEEN 1 AND 4 AND pdf_page % 3 = 0 THEN {PUT_SQL}[1 + (pdf_page // 3 + region_ord) % 5] ELSE text END AS text) FROM regions)),
   owned AS (SELECT *, CASE WHEN type = 'article_body' THEN 'a' || CAST(region_ord % 2 AS VARCHAR) END AS article_id FROM typed)"""
