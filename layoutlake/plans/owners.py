@@ -132,3 +132,25 @@ def q131_membership_rounds(spark, sf):
     page = r.select(*DOC, "region_ord", kind.alias("kind"), "x0", "y0", "x1", "y1", "page_height", owner.alias("article_id"), F.lit(None).cast("string").alias("zone"), F.lit(None).cast("string").alias("candidate"), F.lit(10.0).alias("font"), F.length("text").cast("long").alias("chars"), (F.length("text") > 120).alias("seed"))
     out = membership.rounds(page, membership.REFINEMENT, membership.COLUMNS, membership.GLOBAL)
     return out.filter("article_id is not null").groupBy(*DOC, "article_id").agg(F.count("*").alias("n_regions"), F.round(F.avg("score"), 4).alias("score"))
+
+
+@query("""WITH g AS (SELECT user_id, ts, value, CASE WHEN coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE, false) THEN 0 ELSE 1 END AS s FROM events), i AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+  SELECT user_id, count(*) AS n, CAST(round(sum(value), 4) AS DOUBLE) AS total, epoch_ms(max(ts)) - epoch_ms(min(ts)) AS millis, k AS session FROM i GROUP BY user_id, k""")
+def q132_event_sessions(spark, sf):
+    """Events of a user in sessions without a break of half an hour."""
+    from layoutlake.streaming.resume import event_sessions
+
+    s = event_sessions(src.read(spark, sf, "events"))
+    w = Window.partitionBy("user_id").orderBy("started")
+    # a session's end is its last event and the gap
+    millis = F.unix_millis("ended") - F.unix_millis("started") - 1_800_000
+    return s.select("user_id", "n", F.round("total", 4).alias("total"), millis.alias("millis"), F.row_number().over(w).cast("long").alias("session"))
+
+
+@query("""SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n, CAST(round(sum(value), 4) AS DOUBLE) AS total FROM events GROUP BY 1, 2""")
+def q133_event_days(spark, sf):
+    """Events by day and type in tumbling windows."""
+    from layoutlake.streaming.resume import event_windows
+
+    d = event_windows(src.read(spark, sf, "events"))
+    return d.select(F.col("window.start").alias("day"), "event_type", "n", F.round("total", 4).alias("total"))

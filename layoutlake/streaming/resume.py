@@ -2,11 +2,13 @@
 
 ``new_files`` replays a folder once and remembers what it saw in its checkpoint.
 ``chain_state`` carries the running chain of each document from page to page.
-``event_windows`` is an extension: tumbling windows with a watermark.
+``event_windows`` and ``event_sessions`` are extensions: tumbling windows, and sessions
+that end after a time without events, both with a watermark.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Iterator
 
@@ -17,9 +19,14 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def new_files(spark: SparkSession, folder: str, schema: str, out: str, checkpoint: str, fingerprint: str) -> None:
-    """Append rows of files not seen under this checkpoint; ``fingerprint`` marks code and options."""
-    rows = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(folder).withColumn("fingerprint", F.lit(fingerprint))
-    rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out).awaitTermination()
+    """Append rows of files not seen under this fingerprint of code and options.
+
+    Each fingerprint has a checkpoint of its own, so a change of code or options reads
+    every file again; its rows go to a partition of ``out`` of their own.
+    """
+    rows = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(folder)
+    mark = hashlib.sha256(fingerprint.encode()).hexdigest()[:16]
+    rows.writeStream.format("parquet").option("checkpointLocation", f"{checkpoint}/{mark}").trigger(availableNow=True).start(f"{out}/fingerprint={mark}").awaitTermination()
 
 
 STATE = "page long, start long, place long, tokens string"
@@ -50,3 +57,9 @@ def chain_state(pages: DataFrame) -> DataFrame:
 
 def event_windows(events: DataFrame, width: str = "1 day", late: str = "1 hour") -> DataFrame:
     return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+
+
+def event_sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
+    """Runs of a user's events without a break of ``gap``: (user_id, started, ended, n, total)."""
+    s = events.withWatermark("ts", late).groupBy(F.session_window("ts", gap), "user_id").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    return s.select("user_id", F.col("session_window.start").alias("started"), F.col("session_window.end").alias("ended"), "n", "total")

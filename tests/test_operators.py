@@ -89,3 +89,19 @@ def test_resume_reads_each_file_once(spark, tmp_path):
     spark.range(3, 5).write.mode("append").parquet(args[0])
     new_files(spark, *args)
     assert spark.read.parquet(args[2]).agg(F.count("*"), F.countDistinct("id")).first()[:] == (5, 5)
+    # other code reads every file again
+    new_files(spark, *args[:4], "v2")
+    assert sorted(r["count"] for r in spark.read.parquet(args[2]).groupBy("fingerprint").count().collect()) == [5, 5]
+
+
+def test_event_windows_and_sessions(spark, tmp_path):
+    from layoutlake.streaming.resume import event_sessions, event_windows
+
+    rows = [(u, f"2024-01-01 {h:02d}:{m:02d}:00", "a", 1.0) for u, h, m in ((1, 0, 0), (1, 0, 20), (1, 2, 0), (2, 0, 5))]
+    df = spark.createDataFrame(rows, "user_id long, ts string, event_type string, value double").withColumn("ts", F.col("ts").cast("timestamp"))
+    assert sorted((r.user_id, r.n) for r in event_sessions(df).collect()) == [(1, 1), (1, 2), (2, 1)]
+    df.write.parquet(str(tmp_path / "in"))
+    stream = event_windows(spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")), "1 hour")
+    q = stream.writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(r.n for r in spark.table("windows").collect()) == [1, 3]
