@@ -163,13 +163,22 @@ def flags(c: Column) -> dict[str, Column]:
 
 def boilerplate_family(c: Column, longest: int = 180, least: int = 8, most_words: int = 12) -> tuple[Column, Column]:
     """Family and masked pattern of a repeated line; nulls if it has neither."""
-    text = collapse(F.lower(c))
-    masked = F.regexp_replace(text, r"\b\d+(?:[./:-]\d+)*\b", "<num>")
-    n_words = F.size(F.split(text, " "))
-    fits = (text != "") & (F.length(text) <= longest)
-    rights = text.rlike(r"^articolo +non +cedibile\b") | text.rlike(r"^uso +esclusivo\b")
-    stamp, label = text.rlike(r"^data +stampa\b"), text.isin("web", "stampa locale", "stampa nazionale")
-    generic = (F.length(text) >= least) & (n_words <= most_words)
-    family = F.when(fits & stamp, "data_stampa").when(fits & label, "section_label").when(fits & rights, "rights_candidate").when(fits & generic, "generic_exact")
-    pattern = F.when(fits & stamp, "data stampa <variabile>").when(fits & label, text).when(fits & rights, masked).when(fits & generic, text)
-    return family, pattern
+    found = boilerplate(c, longest, least, most_words)
+    return found["family"], found["pattern"]
+
+
+def boilerplate(c: Column, longest: int = 180, least: int = 8, most_words: int = 12) -> Column:
+    """``boilerplate_family`` as one struct, for which the line is collapsed once."""
+
+    def of(line: Column) -> Column:
+        fits = (line != "") & (F.length(line) <= longest)
+        rights = line.rlike(r"^articolo +non +cedibile\b") | line.rlike(r"^uso +esclusivo\b")
+        generic = (F.length(line) >= least) & (F.size(F.split(line, " ")) <= most_words)
+        family = F.when(~fits, None).when(line.rlike(r"^data +stampa\b"), "data_stampa").when(line.isin("web", "stampa locale", "stampa nazionale"), "section_label").when(rights, "rights_candidate").when(generic, "generic_exact")
+        return F.struct(family.alias("family"), line.alias("line"))
+
+    def masked(x: Column) -> Column:
+        pattern = F.when(x["family"] == "data_stampa", "data stampa <variabile>").when(x["family"] == "rights_candidate", F.regexp_replace(x["line"], r"\b\d+(?:[./:-]\d+)*\b", "<num>")).when(x["family"].isNotNull(), x["line"])
+        return F.struct(x["family"].alias("family"), pattern.alias("pattern"))
+
+    return bound(bound(collapse(F.lower(c)), of), masked)

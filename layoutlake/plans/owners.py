@@ -135,7 +135,7 @@ def q131_membership_rounds(spark, sf):
 
 
 @query("""WITH g AS (SELECT user_id, ts, value, CASE WHEN coalesce(ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE, false) THEN 0 ELSE 1 END AS s FROM events), i AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
-  SELECT user_id, count(*) AS n, CAST(round(sum(value), 4) AS DOUBLE) AS total, epoch_ms(max(ts)) - epoch_ms(min(ts)) AS millis, k AS session FROM i GROUP BY user_id, k""")
+  SELECT user_id, count(*) AS n, CAST(round(sum(value), 4) AS DOUBLE) AS total, epoch_us(max(ts)) - epoch_us(min(ts)) AS micros, k AS session FROM i GROUP BY user_id, k""")
 def q132_event_sessions(spark, sf):
     """Events of a user in sessions without a break of half an hour."""
     from layoutlake.streaming.resume import event_sessions
@@ -143,8 +143,8 @@ def q132_event_sessions(spark, sf):
     s = event_sessions(src.read(spark, sf, "events"))
     w = Window.partitionBy("user_id").orderBy("started")
     # a session's end is its last event and the gap
-    millis = F.unix_millis("ended") - F.unix_millis("started") - 1_800_000
-    return s.select("user_id", "n", F.round("total", 4).alias("total"), millis.alias("millis"), F.row_number().over(w).cast("long").alias("session"))
+    micros = F.unix_micros(F.col("ended").cast("timestamp")) - F.unix_micros(F.col("started").cast("timestamp")) - 1_800_000_000
+    return s.select("user_id", "n", F.round("total", 4).alias("total"), micros.alias("micros"), F.row_number().over(w).cast("long").alias("session"))
 
 
 @query("""SELECT date_trunc('day', ts) AS day, event_type, count(*) AS n, CAST(round(sum(value), 4) AS DOUBLE) AS total FROM events GROUP BY 1, 2""")

@@ -60,9 +60,10 @@ def q04_visible_chars(spark, sf):
 def q05_boilerplate_lines(spark, sf):
     """Lines that stand on at least two pages of a document, with their frequency."""
     rows = lines(spark, sf)
-    family, pattern = text.boilerplate_family(F.col("text"))
     total = src.read(spark, sf, "documents").groupBy(F.col("source").alias("document_id")).agg(F.countDistinct("doc_id").alias("n_pages"))
-    groups = rows.select(*DOC, family.alias("family"), pattern.alias("pattern")).filter("family is not null").groupBy("document_id", "family", "pattern").agg(F.countDistinct("pdf_page").alias("pages"))
+    # exploded, so that the filter doesn't evaluate the line once more
+    named = rows.select(*DOC, F.explode(F.filter(F.array(text.boilerplate(F.col("text"))), lambda x: x["family"].isNotNull())).alias("x"))
+    groups = named.groupBy("document_id", F.col("x.family").alias("family"), F.col("x.pattern").alias("pattern")).agg(F.countDistinct("pdf_page").alias("pages"))
     found = groups.filter("pages >= 2").join(total, "document_id")
     frequency = F.round(F.col("pages") / F.col("n_pages"), 6)
     return found.select("document_id", "family", "pattern", "pages", "n_pages", frequency.alias("frequency"), (F.col("pages") / F.col("n_pages") >= 0.5).alias("repeated"))
