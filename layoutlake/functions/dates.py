@@ -45,3 +45,12 @@ def original_page(c: Column) -> Column:
 
 def surface_percent(c: Column) -> Column:
     return F.replace(F.regexp_extract(c, r"(?i)\bSuperficie\s+([\d.,]+)\s*%", 1), F.lit(","), F.lit(".")).try_cast("double")
+
+
+def strict_date(c: Column) -> tuple[Column, Column]:
+    """Status (valid, invalid, none) and date of the first ``dd-MMM-yyyy``; a day that doesn't exist is invalid."""
+    first = F.regexp_extract(c, r"\b(\d{1,2}-[A-Za-z]{3}-\d{4})\b", 1)
+    day, name, year = (F.try_element_at(F.split(first, "-"), F.lit(k)) for k in (1, 2, 3))
+    month = F.nullif(F.array_position(F.array(*map(F.lit, MONTHS)), F.upper(name)), F.lit(0))
+    found = F.when(month.isNotNull(), _date(day, month.cast("string"), year))
+    return F.when((first == "") | month.isNull(), "none").when(found.isNull(), "invalid").otherwise("valid"), found

@@ -51,3 +51,18 @@ def slug(url: Column) -> Column:
     """Words of the last path segment."""
     last = F.regexp_extract(F.regexp_replace(part(url, 3), "/+$", ""), r"([^/]*)$", 1)
     return F.trim(F.regexp_replace(F.translate(F.regexp_replace(last, r"\.[A-Za-z]{2,5}$", ""), "-_", "  "), " +", " "))
+
+
+# Endings of names that aren't public, ports of the web, the longest address.
+PRIVATE = r"\.(?:local|localhost|internal|invalid|test|example)$"
+PORTS = ("", "80", "443")
+LONGEST = 2048
+
+
+def safe_key(url: Column) -> Column:
+    """An address that may be fetched, without fragment and port; null for credentials, number hosts and private names."""
+    host = F.lower(F.regexp_replace(part(url, 2), r":\d+$", ""))
+    port = F.regexp_extract(part(url, 2), r":(\d+)$", 1)
+    good = (F.length(url) <= LONGEST) & F.lower(part(url, 1)).isin("http", "https") & ~F.contains(part(url, 2), F.lit("@")) & port.isin(*PORTS) & F.contains(host, F.lit(".")) & ~host.rlike(r"^[0-9.]+$") & ~host.rlike(PRIVATE)
+    path = F.when(part(url, 3) == "", "/").otherwise(part(url, 3))
+    return F.when(good, F.concat(F.lower(part(url, 1)), F.lit("://"), host, path, part(url, 4)))

@@ -10,7 +10,7 @@ _ITEM = f"array<struct<self_ref:string,label:string,text:string,orig:string,prov
 COLLECTIONS = ("texts", "pictures", "tables", "key_value_items", "form_items")
 SCHEMA = "document_id string, pages map<string,struct<page_no:int,size:struct<width:double,height:double>>>, " + ", ".join(f"{c} {_ITEM}" for c in COLLECTIONS)
 # Item labels and the region types they become.
-LABELS = {"page_header": "page_header", "page_footer": "footer", "caption": "caption", "picture": "image", "table": "table", "document_index": "table"}
+LABELS = {"picture": "image", "caption": "caption", "section_header": "unknown", "page_header": "header_metadata", "page_footer": "footer", "text": "unknown"}
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -39,7 +39,8 @@ def regions(documents: DataFrame) -> DataFrame:
     known = bottom & F.col("page_height").isNotNull() | (b.coord_origin == "TOPLEFT")
     y0 = F.when(bottom, F.col("page_height") - F.greatest(b.t, b.b)).otherwise(F.least(b.t, b.b))
     y1 = F.when(bottom, F.col("page_height") - F.least(b.t, b.b)).otherwise(F.greatest(b.t, b.b))
-    kind = F.coalesce(F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv])[F.col("label")], F.when(F.col("collection") == 1, "image").when(F.col("collection") == 2, "table").otherwise("unknown"))
+    # tables and pictures are what their collection says, whatever their label
+    kind = F.when(F.col("collection") == 2, "table").when(F.col("collection") == 1, "image").otherwise(F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in LABELS.items() for x in kv]), F.col("label")), F.lit("unknown")))
     return each.select(
         "document_id",
         "pdf_page",
