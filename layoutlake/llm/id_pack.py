@@ -12,8 +12,10 @@ The blocks are the ``block`` column of a Parquet table (``shard``, ``number``,
 ``first_doc``, ``block``): Spark's committer makes the write safe against lost
 executors, and any store that Spark reaches will do.
 
-Texts: null counts as empty; an empty text has the end id alone.  Ties of
-doc_id: repeated ids are separate documents and stand next to each other.
+Texts: null counts as empty; an empty text has the end id alone; long texts are taken
+whole and may fill a block of their own.  Ties of doc_id: repeated ids are separate
+documents and stand next to each other, null ids come first.  An empty table gives
+no shard; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -46,9 +48,9 @@ PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[!#$%&()*+,
 TOGETHER = 2_000
 
 
-def bits_for(vocabulary: int) -> int:
-    """The least number of bits that holds ids 0 to ``vocabulary`` - 1."""
-    return max(1, (vocabulary - 1).bit_length())
+def bits_for(ids: int) -> int:
+    """The least number of bits that holds ids 0 to ``ids`` - 1."""
+    return max(1, (ids - 1).bit_length())
 
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
@@ -107,11 +109,17 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.store: dict[str, bytes] = {}
         #: Whether an id ends a letter run or mark run.
-        self.last = np.zeros(max(self.tokenizer.get_vocab(True).values()) + 1, bool)
-        self.last[[i for t, i in self.tokenizer.get_vocab(True).items() if t.endswith("</w>")]] = True
+        vocabulary = self.tokenizer.get_vocab(True)
+        #: One more than the largest id, whatever gaps the vocabulary has.
+        self.ids = max(vocabulary.values()) + 1
+        self.last = np.zeros(self.ids, bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        #: Bytes that an id stands for (a token has a character for each); a special token stands for none that we know.
+        self.bytes = np.zeros(len(self.last), np.int64)
+        for token, i in vocabulary.items():
+            self.bytes[i] = len(token.removesuffix("</w>")) if not token.startswith("<|") else -(1 << 40)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         store = self.store
@@ -135,7 +143,11 @@ class WordEncoder:
             parts = np.cumsum([1 if w[-1].isalpha() else 2 for w in part])
             if len(ends) != parts[-1]:
                 continue  # not as expected: each by itself
-            stops = ((ends[parts - 1] + 1) * 4).tolist()
+            last = ends[parts - 1]
+            # every word's ids stand for as many bytes as it has, so no id can have gone to its neighbour
+            if (np.diff(np.cumsum(self.bytes[ids])[last], prepend=0) != np.array([len(w.encode()) for w in part])).any():
+                continue
+            stops = ((last + 1) * 4).tolist()
             data, start = ids.tobytes(), 0
             for word, stop in zip(part, stops, strict=True):
                 self.store[word] = data[start:stop]
@@ -161,7 +173,7 @@ def write_shards(df: DataFrame, tokenizer_path: str, shards: int, end_id: int =
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = encoder_of(tokenizer_path)
-        bits, end = bits_for(encoder.vocabulary), np.array([end_id], np.uint32)
+        bits, end = bits_for(encoder.ids), np.array([end_id], np.uint32)
         held: list[np.ndarray] = []
         doc_ids: list[int] = []
         size = first = number = 0
