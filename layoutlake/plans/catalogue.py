@@ -1,6 +1,6 @@
 """All registered queries and their SQL."""
 
-from layoutlake.plans import basics, classes, finals, flows, layouts, oracle, owners, queries, records, resolvers, texts
+from layoutlake.plans import basics, belongings, classes, finals, flows, layouts, oracle, owners, queries, records, resolvers, texts
 from layoutlake.sources import tables
 
 
@@ -17,5 +17,5 @@ def q71_document_report(spark, sf):
     return records.document_report(records.records(tables.regions(spark, sf)))
 
 
-QUERIES = {**queries.QUERIES, **resolvers.QUERIES, **texts.QUERIES, **classes.QUERIES, **layouts.QUERIES, **flows.QUERIES, **finals.QUERIES, **owners.QUERIES, **basics.QUERIES, "q70_article_records": q70_article_records, "q71_document_report": q71_document_report}
-SQL = {**oracle.SQL, **resolvers.SQL, **texts.SQL, **classes.SQL, **layouts.SQL, **flows.SQL, **finals.SQL, **owners.SQL, **basics.SQL}
+QUERIES = {**queries.QUERIES, **resolvers.QUERIES, **texts.QUERIES, **classes.QUERIES, **layouts.QUERIES, **flows.QUERIES, **finals.QUERIES, **owners.QUERIES, **basics.QUERIES, **belongings.QUERIES, "q70_article_records": q70_article_records, "q71_document_report": q71_document_report}
+SQL = {**oracle.SQL, **resolvers.SQL, **texts.SQL, **classes.SQL, **layouts.SQL, **flows.SQL, **finals.SQL, **owners.SQL, **basics.SQL, **belongings.SQL}

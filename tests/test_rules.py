@@ -193,3 +193,19 @@ def test_membership_query(spark):
 
     rows = QUERIES["q131_membership_rounds"](spark, "/root/testdata/sf0.001").collect()
     assert rows and all(r.n_regions >= 1 and 0 < r.score <= 1 for r in rows)
+
+
+def test_leaders_by_place(spark):
+    from layoutlake.operators import claims
+
+    rows = [("d", page, "generic_exact", "a line", x, y, x + 100.0, y + 10.0) for page, x, y in ((1, 40.0, 20.0), (2, 45.0, 22.0), (3, 40.0, 700.0), (4, 42.0, 24.0), (5, 40.0, 720.0))]
+    df = spark.createDataFrame(rows, "document_id string, pdf_page long, family string, pattern string, x0 double, y0 double, x1 double, y1 double").withColumns({"page_width": F.lit(600.0), "page_height": F.lit(800.0)})
+    assert sorted((r.leader, r.pages, r.frequency, r.repeated) for r in claims.leaders(df).collect()) == [(0, 3, 0.6, True), (1, 2, 0.4, False)]
+
+
+def test_media_and_claims(spark):
+    from layoutlake.operators import claims
+
+    rows = [("d", "u", "a", True, True), ("d", "u", "b", True, False), ("d", "v", "a", False, False), ("d", "v", "b", True, False), ("d", "w", "a", True, True), ("d", "w", "b", True, True), ("d", "x", "a", False, False)]
+    df = spark.createDataFrame(rows, "document_id string, url string, owner string, has_record boolean, titled boolean")
+    assert {r.url: (r.owner, r.rule) for r in claims.claimants(df).collect()} == {"u": ("a", "unique_titled"), "v": ("b", "unique_with_record"), "w": (None, "ambiguous"), "x": ("a", "one_owner")}
