@@ -126,32 +126,34 @@ class WordEncoder:
         if len(store) > STORE_WORDS:
             store.clear()
         cut = [WORDS(t) for t in texts]
-        new = dict.fromkeys(w for words in cut for w in words if w not in store)
-        plain = [w for w in new if PLAIN(w)]
-        self._encode_plain(plain)
-        rest = [w for w in new if w not in store]
+        new = set().union(*cut).difference(store)
+        self._encode_plain(list(filter(PLAIN, new)))
+        rest = list(new.difference(store))
         for word, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
             store[word] = np.array(found.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join([store[w] for w in words]), "<u4") for words in cut]
+        return [np.frombuffer(b"".join(map(store.__getitem__, words)), "<u4") for words in cut]
 
     def _encode_plain(self, words: list[str]) -> None:
         """Encode words of letters and then marks together; their parts' last ids tell them apart."""
         for at in range(0, len(words), TOGETHER):
             part = words[at : at + TOGETHER]
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            text = " ".join(part)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(self.last[ids])
-            parts = np.cumsum([1 if w[-1].isalpha() else 2 for w in part])
+            raw = np.frombuffer(text.encode() + b" ", np.uint8)
+            spaces = np.flatnonzero(raw == 32)
+            # a plain word ends in a letter (ASCII or of two bytes) or in a mark
+            before = raw[spaces - 1] | 32
+            parts = np.cumsum(np.where((before >= 97) & (before <= 122) | (before >= 128), 1, 2))
             if len(ends) != parts[-1]:
                 continue  # not as expected: each by itself
             last = ends[parts - 1]
             # every word's ids stand for as many bytes as it has, so no id can have gone to its neighbour
-            if (np.diff(np.cumsum(self.bytes[ids])[last], prepend=0) != np.array([len(w.encode()) for w in part])).any():
+            if (np.cumsum(self.bytes[ids])[last] != spaces - np.arange(len(spaces))).any():
                 continue
+            data = ids.tobytes()
             stops = ((last + 1) * 4).tolist()
-            data, start = ids.tobytes(), 0
-            for word, stop in zip(part, stops, strict=True):
-                self.store[word] = data[start:stop]
-                start = stop
+            self.store.update(zip(part, [data[a:b] for a, b in zip([0, *stops], stops, strict=False)], strict=True))
 
 
 @lru_cache(maxsize=1)
