@@ -65,7 +65,7 @@ def test_pull_quote_by_sql(spark):
 
 def test_no_sql_cuts_rows():
     """No SQL of the catalogue has a cap on rows or reads a share of them to be cheap."""
-    for cut in ("region_ord < 40", "region_ord % 5", "[1:12]", "LIMIT", "USING SAMPLE"):
+    for cut in ("region_ord < 40", "WHERE region_ord %", "[1:12]", "LIMIT", "USING SAMPLE"):
         assert not [name for name, sql in SQL.items() if cut in sql]
 
 
