@@ -132,13 +132,13 @@ def q141_open_boundaries(spark, sf):
     return n.groupBy(*DOC).agg(F.count("*").alias("n"), F.count_if(F.coalesce(titles.open_boundary(F.col("text"), F.col("nxt"), ENDINGS), F.lit(False))).alias("open"))
 
 
-@query(f"""WITH {REGIONS}, k AS (SELECT *, trim(regexp_replace(lower(text), '[ \\t\\r\\n]+', ' ', 'g')) AS t FROM regions WHERE text <> ''), o AS (SELECT document_id, pdf_page, region_ord, t, x0 + CASE WHEN region_ord % 4 = 0 THEN 150 ELSE 5 END AS x0, y0, x1 + CASE WHEN region_ord % 4 = 0 THEN 150 ELSE 5 END AS x1, y1 FROM k WHERE region_ord % 2 = 0 OR pdf_page % 2 = 0)
+@query(f"""WITH {REGIONS}, k AS (SELECT *, trim(regexp_replace(lower(text), '[ \\t\\r\\n]+', ' ', 'g')) AS t FROM regions WHERE text <> ''), o AS (SELECT document_id, pdf_page, region_ord, t, x0 + CASE WHEN region_ord % 4 = 0 THEN 150 ELSE 5 END AS x0, y0, x1 + CASE WHEN region_ord % 4 = 0 THEN 150 ELSE 5 END AS x1, y1 FROM k)
   SELECT o.document_id, o.pdf_page, o.region_ord, CASE WHEN EXISTS (SELECT 1 FROM k n WHERE n.document_id = o.document_id AND n.pdf_page = o.pdf_page AND n.t = o.t AND greatest(0, least(n.x1, o.x1) - greatest(n.x0, o.x0)) * greatest(0, least(n.y1, o.y1) - greatest(n.y0, o.y0)) / ((o.x1 - o.x0) * (o.y1 - o.y0)) >= 0.6) THEN 'merged' ELSE 'appended' END AS status FROM o""")
 def q142_second_pass(spark, sf):
     """Regions of a second reading that equal one of the first in text and place are merged, others appended."""
     r = src.regions(spark, sf).filter("text <> ''").withColumn("t", text.collapse(F.lower("text")))
     shift = F.when(F.col("region_ord") % 4 == 0, 150).otherwise(5)
-    second = r.filter((F.col("region_ord") % 2 == 0) | (F.col("pdf_page") % 2 == 0)).withColumns({"x0": F.col("x0") + shift, "x1": F.col("x1") + shift})
+    second = r.withColumns({"x0": F.col("x0") + shift, "x1": F.col("x1") + shift})
     return styles.second_pass(r, second)
 
 
