@@ -1,17 +1,36 @@
 """Sequential kernels: results depend on the order of rows and on earlier results.
 
 Each takes the regions of one page (or document) as a pandas frame; a page is the
-unit, so groups stay small however large the corpus.
+unit and a block of pages the group, so groups stay small however large the corpus.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from statistics import median
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+#: Neighbouring page numbers of a document that one call of a kernel's worker gets.
+PAGES_TOGETHER = 1_024
+
+
+def by_page(rows: DataFrame, kernel: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """``kernel`` on the rows of each page.
+
+    A group costs more to hand over than a page takes, so pages of neighbouring numbers
+    are handed over together, PAGES_TOGETHER at most.
+    """
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        return pd.concat([kernel(page) for _, page in block.groupby("pdf_page", sort=False, dropna=False)])
+
+    return rows.groupBy("document_id", F.floor(F.col("pdf_page") / PAGES_TOGETHER)).applyInPandas(run, schema)
 
 
 @dataclass(frozen=True)
@@ -55,7 +74,7 @@ def page_columns(page: pd.DataFrame, settings: ColumnSettings = ColumnSettings()
 
 def columns(regions: DataFrame) -> DataFrame:
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in regions.schema.fields) + ", column long"
-    return regions.groupBy("document_id", "pdf_page").applyInPandas(lambda page: page_columns(page), schema)
+    return by_page(regions, page_columns, schema)
 
 
 @dataclass(frozen=True)
@@ -123,7 +142,7 @@ def page_order(page: pd.DataFrame, s: OrderSettings = OrderSettings()) -> pd.Dat
 
 def reading_order(regions: DataFrame) -> DataFrame:
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in regions.schema.fields) + ", column long, place long, confidence double"
-    return regions.groupBy("document_id", "pdf_page").applyInPandas(lambda page: page_order(page), schema)
+    return by_page(regions, page_order, schema)
 
 
 def _scores(boxes: np.ndarray, a: int, s: ContinuationSettings) -> np.ndarray:
@@ -179,7 +198,7 @@ def page_membership(page: pd.DataFrame, settings: ContinuationSettings = Continu
 def membership(regions: DataFrame) -> DataFrame:
     """``regions`` has kind and article_id (null where open); ``score`` is added."""
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in regions.schema.fields) + ", score double"
-    return regions.groupBy("document_id", "pdf_page").applyInPandas(lambda page: page_membership(page), schema)
+    return by_page(regions, page_membership, schema)
 
 
 @dataclass(frozen=True)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layoutlake.functions import geometry
+from layoutlake.operators.kernels import by_page
 
 PAGE = ["document_id", "pdf_page"]
 
@@ -210,4 +211,4 @@ def rounds(regions: DataFrame, *steps: Round) -> DataFrame:
             scores = page.score if scores is None else scores.reindex(page.index).fillna(page.score)
         return page.assign(score=scores)
 
-    return regions.groupBy(*PAGE).applyInPandas(run, schema)
+    return by_page(regions, run, schema)

@@ -152,7 +152,7 @@ def q89_layout_index(spark, sf):
 
 
 @query(f"""WITH p AS (SELECT page_id, CASE WHEN page_id % 3 = 0 THEN DATE '2024-01-17' WHEN page_id % 3 = 1 THEN DATE '2024-01-18' END AS d, CASE WHEN page_id % 2 = 0 THEN 'Gazzetta' ELSE 'Mattino' END AS s, page_id % 4 AS pg, list_distinct({WORDS.format("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")}) AS a FROM pages),
-  e AS (SELECT page_id AS eid, page_id // 5 AS g, DATE '2024-01-17' AS ed, 'gazzetta' AS es, page_id % 3 AS ep, list_distinct({WORDS.format("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")}) AS b FROM pages WHERE page_id % 5 < 3),
+  e AS (SELECT page_id AS eid, page_id // 5 AS g, DATE '2024-01-17' AS ed, 'gazzetta' AS es, page_id % 3 AS ep, list_distinct({WORDS.format("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")}) AS b FROM pages),
   j AS (SELECT page_id, eid, d, s, pg, ed, ep, CASE WHEN len(list_distinct(list_concat(a, b))) > 0 THEN len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) ELSE 0 END AS sim FROM p JOIN e ON page_id // 5 = g),
   x AS (SELECT *, round(least(1.0, 0.6 * sim + CASE WHEN d = ed THEN 0.15 ELSE 0 END + CASE WHEN s = 'Gazzetta' THEN 0.15 ELSE 0 END + CASE WHEN pg = ep THEN 0.10 ELSE 0 END), 4) AS score, (d IS NOT NULL AND d <> ed) OR pg <> ep OR sim < 0.68 AS contra, sim >= 0.5 AND coalesce(d = ed, false) AND s = 'Gazzetta' AND pg = ep AS backed FROM j),
   r AS (SELECT *, row_number() OVER w AS rn, coalesce(lead(score) OVER w, 0) AS nxt FROM x WINDOW w AS (PARTITION BY page_id ORDER BY score DESC, 'e' || CAST(eid AS VARCHAR)))
@@ -164,7 +164,7 @@ def q90_index_match(spark, sf):
     k = F.col("page_id")
     doc = F.floor(k / 5).cast("string")
     titles = p.select(doc.alias("document_id"), k.alias("pdf_page"), F.lit(0).alias("region_ord"), part("h1").alias("title"), F.when(k % 3 == 0, F.lit("2024-01-17")).when(k % 3 == 1, F.lit("2024-01-18")).cast("date").alias("publication_date"), F.when(k % 2 == 0, "Gazzetta").otherwise("Mattino").alias("source"), (k % 4).alias("original_page"))
-    entries = p.filter(k % 5 < 3).select(doc.alias("document_id"), F.concat(F.lit("e"), k).alias("id"), part("title").alias("title"), F.lit("2024-01-17").cast("date").alias("publication_date"), F.lit("gazzetta").alias("source"), (k % 3).alias("original_page"), F.lit(-1).cast("long").alias("index_pdf_page"))
+    entries = p.select(doc.alias("document_id"), F.concat(F.lit("e"), k).alias("id"), part("title").alias("title"), F.lit("2024-01-17").cast("date").alias("publication_date"), F.lit("gazzetta").alias("source"), (k % 3).alias("original_page"), F.lit(-1).cast("long").alias("index_pdf_page"))
     words = lambda c: F.array_distinct(text.words(F.lower(c)))
     found = index_tables.match(titles, entries, similarity=lambda a, b: text.token_jaccard(words(b), words(a)))
     return found.select("pdf_page", "entry_id", "similarity", "score", "status")

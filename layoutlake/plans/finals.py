@@ -52,13 +52,13 @@ def q107_agreed_fields(spark, sf):
     return finalize.fields(m, ["source", "date"]).select(*ARTICLE, "source", "date", F.array_join("field_warnings", ";").alias("warnings"))
 
 
-@query("""WITH r AS (SELECT l_orderkey AS d, CASE WHEN count(DISTINCT l_returnflag) = 1 THEN max(l_returnflag) END AS source, CASE WHEN count(DISTINCT l_linestatus) = 1 THEN max(l_linestatus) END AS category FROM lineitem GROUP BY 1), e AS (SELECT o_orderkey AS d, o_orderstatus AS es, CASE WHEN o_custkey % 2 = 0 THEN o_orderpriority END AS ec FROM orders WHERE o_orderkey % 3 = 0)
+@query("""WITH r AS (SELECT l_orderkey AS d, CASE WHEN count(DISTINCT l_returnflag) = 1 THEN max(l_returnflag) END AS source, CASE WHEN count(DISTINCT l_linestatus) = 1 THEN max(l_linestatus) END AS category FROM lineitem GROUP BY 1), e AS (SELECT o_orderkey AS d, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS es, CASE WHEN o_custkey % 2 = 0 THEN o_orderpriority END AS ec FROM orders)
   SELECT r.d AS document_id, coalesce(source, es) AS source, coalesce(category, ec) AS category, CASE WHEN source IS NOT NULL THEN 'pages' WHEN es IS NOT NULL THEN 'review_index' END AS source_origin, CASE WHEN category IS NOT NULL THEN 'pages' WHEN ec IS NOT NULL THEN 'review_index' END AS category_origin FROM r LEFT JOIN e ON r.d = e.d""")
 def q108_index_priors(spark, sf):
     """Fields that pages leave open come from the index entry that matches best."""
     key = [F.lit("a").alias("article_id")]
     li = src.read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("document_id"), *key, F.col("l_returnflag").alias("source"), F.col("l_linestatus").alias("category"))
-    o = src.read(spark, sf, "orders").filter("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("document_id"), *key, F.lit("e").alias("entry_id"), F.lit(0.9).alias("score"), F.col("o_orderstatus").alias("source"), F.when(F.col("o_custkey") % 2 == 0, F.col("o_orderpriority")).alias("category"))
+    o = src.read(spark, sf, "orders").select(F.col("o_orderkey").alias("document_id"), *key, F.lit("e").alias("entry_id"), F.lit(0.9).alias("score"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus")).alias("source"), F.when(F.col("o_custkey") % 2 == 0, F.col("o_orderpriority")).alias("category"))
     out = finalize.with_priors(finalize.fields(li, ["source", "category"]), o, ["source", "category"])
     return out.select("document_id", "source", "category", F.col("field_origins")["source"].alias("source_origin"), F.col("field_origins")["category"].alias("category_origin"))
 

@@ -454,7 +454,7 @@ def q45_claimants(spark, sf):
 @query
 def q46_assembled_text(spark, sf):
     """Body text by the assembly kernel."""
-    out = lines(spark, sf).filter("text <> ''").groupBy(*DOC).applyInPandas(kernels.assemble, "document_id string, pdf_page long, body string, joined long")
+    out = kernels.by_page(lines(spark, sf).filter("text <> ''"), kernels.assemble, "document_id string, pdf_page long, body string, joined long")
     return out.select(*DOC, F.length("body").cast("long").alias("n_chars"), "joined")
 
 
