@@ -6,6 +6,7 @@ unit and a block of pages the group, so groups stay small however large the corp
 
 from __future__ import annotations
 
+from bisect import insort
 from collections.abc import Callable
 from dataclasses import dataclass
 from statistics import median
@@ -56,20 +57,26 @@ class ContinuationSettings:
     margin: float = 0.12
 
 
+def _middle(ascending: list[float]) -> float:
+    """The median of numbers in order."""
+    n = len(ascending)
+    return (ascending[(n - 1) // 2] + ascending[n // 2]) / 2
+
+
 def page_columns(page: pd.DataFrame, settings: ColumnSettings = ColumnSettings()) -> pd.DataFrame:
     """``page`` with ``column``: regions by left edge, each to the nearest column within reach."""
-    found: list[list[float]] = []
-    owner = {}
-    for row in page.sort_values(["x0", "y0", "region_ord"], kind="stable").itertuples():
-        reach = settings.tolerance * row.page_width
-        near = [(abs(median(c) - row.x0), k) for k, c in enumerate(found) if abs(median(c) - row.x0) <= reach]
-        k = min(near)[1] if near else len(found)
+    found: list[list[float]] = []  # ascending left edges, as regions come by them
+    owner = [0] * len(page)
+    x0, width = page.x0.tolist(), page.page_width.tolist()
+    for i in np.lexsort((page.region_ord, page.y0, page.x0)).tolist():
+        distance = [abs(_middle(c) - x0[i]) for c in found]
+        near = [(d, k) for k, d in enumerate(distance) if d <= settings.tolerance * width[i]]
+        owner[i] = k = min(near)[1] if near else len(found)
         if not near:
             found.append([])
-        found[k].append(row.x0)
-        owner[row.Index] = k
-    order = {k: n for n, k in enumerate(sorted(range(len(found)), key=lambda k: median(found[k])))}
-    return page.assign(column=[order[owner[i]] for i in page.index])
+        found[k].append(x0[i])
+    order = {k: n for n, k in enumerate(sorted(range(len(found)), key=lambda k: _middle(found[k])))}
+    return page.assign(column=[order[k] for k in owner])
 
 
 def columns(regions: DataFrame) -> DataFrame:
@@ -103,19 +110,20 @@ def page_order(page: pd.DataFrame, s: OrderSettings = OrderSettings()) -> pd.Dat
     height = lambda k: (rows[k][1], rows[k][0], rows[k][4])
     bodies = [k for k in boxed if rows[k][5] == "body"]
     usual = median(rows[k][2] - rows[k][0] for k in bodies) if bodies else 0.0
-    found: list[list[int]] = []
-    for x0, _, x1, k in sorted((rows[k][0], rows[k][1], rows[k][2], k) for k in bodies if len(bodies) < 3 or rows[k][2] - rows[k][0] <= s.wide * usual):
+    found: list[tuple[list[float], list[float]]] = []  # left and right edges of each column, both in order
+    for x0, _, x1 in sorted(rows[k][:3] for k in bodies if len(bodies) < 3 or rows[k][2] - rows[k][0] <= s.wide * usual):
         best, into = 0.0, None
         for column in found:
-            left, right = median(rows[j][0] for j in column), median(rows[j][2] for j in column)
+            left, right = map(_middle, column)
             over = _overlap((x0, x1), (left, right))
             if abs(x0 - left) <= max(s.left_tolerance, s.width_tolerance * (x1 - x0)) and over >= s.least_overlap and over > best:
                 best, into = over, column
         if into is None:
-            found.append([k])
+            found.append(([x0], [x1]))
         else:
-            into.append(k)
-    spans = sorted((median(rows[j][0] for j in c), median(rows[j][2] for j in c)) for c in found)
+            into[0].append(x0)
+            insort(into[1], x1)
+    spans = sorted(tuple(map(_middle, column)) for column in found)
     width = median(b - a for a, b in spans) if spans else 0.0
     over = {k: [_overlap((rows[k][0], rows[k][2]), b) for b in spans] for k in boxed}
     spanning = sorted((k for k in boxed if len(spans) > 1 and rows[k][2] - rows[k][0] >= s.wide * width and sum(o >= s.spanning_overlap for o in over[k]) > 1), key=height)
