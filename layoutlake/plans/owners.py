@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from layoutlake.operators import membership, webzones
 from layoutlake.plans.finals import MARKED, _marked
 from layoutlake.plans.layouts import TYPED, typed
-from layoutlake.plans.oracle import LINES, REGIONS, overlap
+from layoutlake.plans.oracle import LINES, overlap
 from layoutlake.plans.queries import DOC
 from layoutlake.sources import artefacts
 from layoutlake.sources import tables as src
