@@ -4,13 +4,15 @@ The replay keeps one inverted index for all distinct words at hand, from the
 rank of a pair of neighbouring tokens to the positions where that pair stands.
 Ranks are taken in ascending order; a merge touches only its two neighbours.
 Words are independent of each other, so each task replays the merges over the
-distinct words of its own share of the corpus: the ids are those of a single
-index over everything, and neither words nor texts are shuffled.
+distinct words of its own share of the corpus, BLOCK_WORDS under one index (a word is
+replayed once for each task that has it): the ids are those of a single index over
+everything, and neither words nor texts are shuffled.
 
 Texts: null counts as empty; an empty text has no tokens.  Special tokens are
 not recognised, their strings are ordinary text.  Rows are encoded one by one,
-so repeated rows give repeated results; other columns pass through ``encode``
-unless they have the name of a new column, which is then replaced.
+so repeated rows give repeated results and null ids don't matter; texts of any length
+are taken whole.  Other columns pass through ``encode`` unless they have the name of a
+new column, which is then replaced.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -10,8 +10,9 @@ tree is trained here (``grow``) on ``LABELLED``, a small table of labelled block
 Character references are decoded, white space inside a block becomes one space,
 blocks are trimmed and joined in page order by one line break.  Null or empty
 html gives an empty text.  Unclosed tags, stray ends, attributes with ``>`` and
-unclosed comments are read as browsers do, so no page raises an error.  Each row
-is handled by itself: ties, repeated rows and further columns don't matter.
+unclosed comments are read as browsers do, so no page raises an error.  Pages of any
+length are read whole.  Each row is handled by itself: ties, repeated rows, null ids and
+further columns don't matter.  An empty table gives an empty result.
 """
 
 from __future__ import annotations

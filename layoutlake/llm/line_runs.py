@@ -12,7 +12,9 @@ A key is the line without ASCII white space at both ends, A-Z lower-cased.  Keys
 of at least ``LEAST_CHARS`` code points held by at least ``LEAST_DOCS`` documents
 lose all their lines but those of the keeper.  A null or empty text is one empty
 line.  Each row is a document: repeated rows count separately, and rows that
-share the keeper's doc_id all keep the line; a null doc_id is below every other.
+share the keeper's doc_id all keep the line; a null doc_id is below every other.  Texts of any
+length are split whole.  An empty table gives an empty result; further columns pass
+through ``apply``, whatever their names.
 """
 
 from __future__ import annotations
