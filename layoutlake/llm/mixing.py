@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from layoutlake.llm.common import small, table, written
+from layoutlake.llm.common import drop_written, small, table, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -96,7 +96,8 @@ def tilts(counts: DataFrame, goals: DataFrame, near) -> DataFrame:
         done = F.col("gap").isNull() | (F.abs("gap") <= TOLERANCE * F.col("target"))
         both = both.withColumn("open", ~done).withColumn("tilt", F.when(F.col("full"), None).when(done, F.col("tilt")).when(inside, newton).otherwise((F.col("low") + F.col("high")) / 2))
         # cut here: a step reads its state twice, so plans would double
-        state = written(both.select(*state.columns), "mix-state")
+        before, state = state, written(both.select(*state.columns), "mix-state")
+        drop_written(before)
         if state.filter("open").isEmpty():
             break
     return state.select("place", "tilt", "mean")
@@ -130,7 +131,8 @@ def _shift(steps: DataFrame, goals: DataFrame, near) -> DataFrame:
             F.when(none, F.col("base")).otherwise(F.col("c.through") - F.col("c.words")).alias("base"),
             F.when(none, F.col("reach")).otherwise(F.col("c.through")).alias("reach"),
         )
-        state = written(following, "mix-shift")
+        before, state = state, written(following, "mix-shift")
+        drop_written(before)
     nearer = F.abs(F.col("reach") - F.col("wanted")) < F.abs(F.col("base") - F.col("wanted"))
     return state.select("place", F.when(nearer, F.col("high")).otherwise(F.col("low")).alias("shift"))
 
@@ -163,7 +165,9 @@ def plan(docs: DataFrame) -> DataFrame:
     goal = inside.groupBy("place").agg((taken() + F.max("left")).alias("wanted"))
     fine = _shift(inside.select("place", "size", "mark"), goal, near).withColumnRenamed("shift", "small_shift")
     shifts = left.select("place", "shift", "limit").join(fine, "place", "left").select("place", "shift", F.when(F.col("small_shift").isNull(), -1).otherwise(F.col("limit")).alias("limit"), "small_shift")
-    return written(tilted.join(shifts, "place", "left"), "mix-plan")
+    out = written(tilted.join(shifts, "place", "left"), "mix-plan")
+    drop_written(counted, goals, counts, tilted, steps, left, inside)
+    return out
 
 
 def apply(docs: DataFrame, planned: DataFrame) -> DataFrame:
