@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layoutlake.llm import byte_bpe, line_runs, mixing, near_dup, quality
-from layoutlake.llm.common import fresh, table, written
+from layoutlake.llm.common import drop_written, fresh, table, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,7 +67,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    raw = docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before is not raw:
+            drop_written(before)
     return docs
