@@ -34,6 +34,7 @@ def _number(c: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(c, pattern, group), F.lit("")).try_cast("int")
 
 
+# The patterns below are fixed values: how clippings print sheets, pages and surfaces.
 def sheet(c: Column) -> tuple[Column, Column]:
     pattern = r"(?i)\bfoglio\s+(\d+)(?:\s*/\s*(\d+))?"
     return _number(c, pattern), _number(c, pattern, 2)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 ACCENTED = "àáâãäåèéêëìíîïòóôõöùúûüýÿçñ"
 PLAIN = "aaaaaaeeeeiiiiooooouuuuyycn"
 WORD = r"[\p{L}\p{N}_]+"
+# The rights phrase in a text, and a register code.
 RIGHTS_PHRASE = r"(?i)[\s(@©•_]*riproduzione[\s_]*riservata[\s).]*"
 CODE_TOKEN = r"\b[A-Z]{1,4}\.?[A-Z]?\.?\d{3,8}\b"
 

@@ -19,9 +19,12 @@ FUSED_CODES = (
     (r"(?<=[A-Za-zà-ù])\d{3,}(?=[A-Za-zà-ù])", " "),
     (r"(?<=,)\d{2,4}(?=\s)", ""),
 )
+# A repeated word, a code that stands alone, a site's name behind a title.
 REPEATED = r"(?i)(?<![\p{L}\p{N}_-])([\p{L}\p{N}_]+)\s+\1(?![\p{L}\p{N}_-])"
 STANDING_CODE = r"(?<![\p{L}\p{N}_-])(?:[A-Z]{1,4}\d{3,}|\d{4,})(?![\p{L}\p{N}_-])"
 SITE_SUFFIX = r"\s+[-–|]\s+[\p{L}\p{N}.]+\.[a-z]{2,4}$"
+# Letters that scans take for each other.
+CONFUSIONS = (("m", "rn"), ("rn", "m"), ("ii", "n"), ("n", "ii"))
 LEAST_PLACE = 4
 
 
@@ -83,8 +86,7 @@ def clean_title(c: Column) -> tuple[Column, Column]:
 
 def ocr_variants(word: Column) -> Column:
     """A word and what common scanning confusions make of it."""
-    pairs = (("m", "rn"), ("rn", "m"), ("ii", "n"), ("n", "ii"))
-    return F.array_distinct(F.array(word, *(F.replace(word, F.lit(a), F.lit(b)) for a, b in pairs)))
+    return F.array_distinct(F.array(word, *(F.replace(word, F.lit(a), F.lit(b)) for a, b in CONFUSIONS)))
 
 
 def corrected_places(tokens: DataFrame, places: DataFrame, attested: DataFrame) -> DataFrame:
@@ -94,7 +96,7 @@ def corrected_places(tokens: DataFrame, places: DataFrame, attested: DataFrame)
     folded; ``places`` has (place).  Places meet tokens through what the document
     attests, so no token is compared with the whole lexicon.
     """
-    here = attested.join(F.broadcast(places), attested.word == places.place).select("document_id", "place").distinct()
+    here = attested.join(places, attested.word == places.place).select("document_id", "place").distinct()
     odd = tokens.filter(F.length("token") >= LEAST_PLACE).join(attested.withColumnRenamed("word", "token"), ["document_id", "token"], "left_anti")
     near = F.array_contains(ocr_variants(F.col("token")), F.col("place")) | (F.levenshtein("token", "place") == 1)
     pairs = odd.join(here, "document_id").filter((F.length("place") >= LEAST_PLACE) & near)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Characters that end a sentence rather than an address.
 TRAILING = ".,;)]}\"'"
 # Hosts and parts of addresses that are never an article's.
 JUNK_HOSTS = ("youtube.com", "youtu.be", "facebook.com", "twitter.com", "x.com", "instagram.com", "linkedin.com", "google.", "gstatic.", "doubleclick.", "cedsdigital.", "adnkr.", "cloudflare.", "jsdelivr.", "w3.org")

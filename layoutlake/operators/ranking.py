@@ -1,4 +1,4 @@
-"""Best candidate with a threshold and a margin, nearest neighbours, barriers."""
+"""Best candidate with a threshold and a margin, nearest neighbours, lone partners."""
 
 from __future__ import annotations
 
@@ -36,18 +36,6 @@ def nearest(pairs: DataFrame, key: list[str], value: str, distance: str) -> Data
     return best.select(*key, F.col(f"_b.{value}").alias(value), F.col(f"_b.{distance}").alias(distance))
 
 
-def without_barrier(pairs: DataFrame, barriers: DataFrame, on: list[str], between: Column) -> DataFrame:
-    """Pairs for which no barrier row of the same ``on`` satisfies ``between``."""
-    return pairs.join(barriers, (between) & _same(pairs, barriers, on), "left_anti")
-
-
-def _same(a: DataFrame, b: DataFrame, on: list[str]) -> Column:
-    out = F.lit(True)
-    for c in on:
-        out = out & (a[c] == b[c])
-    return out
-
-
 def alone(pairs: DataFrame, key: list[str]) -> DataFrame:
     """Pairs whose key has exactly one partner."""
     return pairs.withColumn("_n", F.count("*").over(Window.partitionBy(*key))).filter("_n = 1").drop("_n")

@@ -103,9 +103,13 @@ def _kinds(spark, sf):
 def _title_bodies(spark, sf):
     r = _kinds(spark, sf)
     titles = r.filter("kind = 'title'").select(*DOC, F.col("region_ord").alias("title"), *(F.col(c).alias(f"t_{c}") for c in ("x0", "y0", "x1", "y1")), F.col("page_height"))
-    bodies = r.filter("kind = 'body'").select(*DOC, F.col("region_ord").alias("body"), *(F.col(c).alias(f"b_{c}") for c in ("x0", "y0", "x1", "y1")), F.length("text").alias("body_chars"))
+    bodies = r.filter("kind = 'body'").select(*DOC, F.col("region_ord").alias("body"), *(F.col(c).alias(f"b_{c}") for c in ("x0", "y0", "x1", "y1")), F.length("text").alias("body_chars"), F.col("page_height").alias("b_height"))
     gap = geometry.vertical_gap(geometry.box("t_"), geometry.box("b_"))
-    pairs = titles.join(bodies, DOC).filter((F.col("b_y0") >= F.col("t_y1")) & (geometry.horizontal_overlap(geometry.box("t_"), geometry.box("b_")) >= 0.2))
+    # bodies within reach begin in the band of the title's lower edge or in the next one
+    band = F.floor(F.col("t_y1") / (0.12 * F.col("page_height")))
+    titles = titles.withColumn("band", F.explode(F.array(band, band + 1)))
+    bodies = bodies.withColumn("band", F.floor(F.col("b_y0") / (0.12 * F.col("b_height")))).drop("b_height")
+    pairs = titles.join(bodies, [*DOC, "band"]).drop("band").filter((F.col("b_y0") >= F.col("t_y1")) & (geometry.horizontal_overlap(geometry.box("t_"), geometry.box("b_")) >= 0.2))
     return pairs.withColumn("gap", gap).filter(F.col("gap") <= 0.12 * F.col("page_height"))
 
 
@@ -163,9 +167,13 @@ def q15_media_caption(spark, sf):
     """Every seventh region is a medium; captions are scored by overlap and gap."""
     r = _kinds(spark, sf)
     media = r.filter("region_ord % 7 = 3").select(*DOC, F.col("region_ord").alias("medium"), *(F.col(c).alias(f"m_{c}") for c in ("x0", "y0", "x1", "y1")), "page_height")
-    captions = r.filter("region_ord % 7 <> 3").select(*DOC, F.col("region_ord").alias("caption"), *(F.col(c).alias(f"c_{c}") for c in ("x0", "y0", "x1", "y1")))
+    captions = r.filter("region_ord % 7 <> 3").select(*DOC, F.col("region_ord").alias("caption"), *(F.col(c).alias(f"c_{c}") for c in ("x0", "y0", "x1", "y1")), F.col("page_height").alias("c_height"))
     over, gap = geometry.horizontal_overlap(geometry.box("m_"), geometry.box("c_")), geometry.vertical_gap(geometry.box("m_"), geometry.box("c_")) / F.col("page_height")
-    scored = media.join(captions, DOC).filter((over >= 0.25) & (gap <= 0.04) & (F.col("c_y0") >= F.col("m_y1"))).withColumn("score", F.round(0.45 * over + 0.45 * (1 - gap / 0.04), 6))
+    # captions within reach begin in the band of the medium's lower edge or in the next one
+    band = F.floor(F.col("m_y1") / (0.04 * F.col("page_height")))
+    media = media.withColumn("band", F.explode(F.array(band, band + 1)))
+    captions = captions.withColumn("band", F.floor(F.col("c_y0") / (0.04 * F.col("c_height")))).drop("c_height")
+    scored = media.join(captions, [*DOC, "band"]).filter((over >= 0.25) & (gap <= 0.04) & (F.col("c_y0") >= F.col("m_y1"))).withColumn("score", F.round(0.45 * over + 0.45 * (1 - gap / 0.04), 6))
     return ranking.winner(scored, [*DOC, "medium"], "caption", "score", 0.62, 0.12)
 
 
@@ -252,7 +260,7 @@ def q23_entity_exact_alias(spark, sf):
     lex = src.lexicon(spark, sf).select("kind", "canonical", text.entity_key(F.col("alias")).alias("k"), (F.col("alias") == F.col("canonical")).alias("is_name"))
     keys = src.read(spark, sf, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.explode(F.array("n_name", F.substring("n_name", 1, 3))).alias("said"))
     k = keys.select("c_nationkey", "said", text.entity_key(F.col("said")).alias("k"))
-    hit = k.join(F.broadcast(lex), "k").groupBy("c_nationkey", "said").agg(F.max("is_name").alias("exact"), F.min("canonical").alias("canonical"), F.count("*").alias("n"))
+    hit = k.join(lex, "k").groupBy("c_nationkey", "said").agg(F.max("is_name").alias("exact"), F.min("canonical").alias("canonical"), F.count("*").alias("n"))
     return hit.select("c_nationkey", "said", F.when(F.col("exact"), "exact").when(F.col("n") > 1, "ambiguous").otherwise("alias").alias("method"), "canonical")
 
 
@@ -261,8 +269,10 @@ def q24_entity_fuzzy(spark, sf):
     """Nation names with a letter lost against the lexicon by ratio, lengths checked first."""
     names = src.read(spark, sf, "nation").select(F.col("n_name").alias("canonical"))
     said = names.select(F.col("canonical").alias("truth"), F.concat(F.substring("canonical", 1, 2), F.expr("substring(canonical, 4)")).alias("said"))
-    # the lexicon is a fixed list of 25 names
-    pairs = said.join(F.broadcast(names), text.can_reach(F.col("said"), F.col("canonical"), 0.80))
+    # a ratio of .80 needs lengths within two thirds and three halves: names meet by length
+    n = F.length("said")
+    reach = said.withColumn("n", F.explode(F.sequence(F.ceil(n * 2 / 3).cast("int"), F.floor(n * 3 / 2).cast("int"))))
+    pairs = reach.join(names.withColumn("n", F.length("canonical")), "n").drop("n").filter(text.can_reach(F.col("said"), F.col("canonical"), 0.80))
     scored = pairs.withColumn("score", F.round(similarity.ratio(F.lower("said"), F.lower("canonical")), 4))
     return ranking.winner(scored, ["truth", "said"], "canonical", "score", 0.80, 0.04)
 
@@ -271,8 +281,10 @@ def q24_entity_fuzzy(spark, sf):
 def q25_levenshtein_lexicon(spark, sf):
     """Pairs of names of the lexicon by edit distance."""
     a = src.read(spark, sf, "nation").select(F.col("n_name").alias("a"))
-    b = a.withColumnRenamed("a", "b")
-    return a.join(F.broadcast(b), F.col("a") < F.col("b")).withColumn("distance", F.levenshtein("a", "b").cast("long")).filter("distance <= 4")
+    # an edit changes the length by one at most: names meet by length
+    near = a.withColumn("n", F.explode(F.sequence(F.length("a") - 4, F.length("a") + 4)))
+    b = a.select(F.col("a").alias("b"), F.length("a").alias("n"))
+    return near.join(b, "n").drop("n").filter("a < b").withColumn("distance", F.levenshtein("a", "b").cast("long")).filter("distance <= 4")
 
 
 @query
