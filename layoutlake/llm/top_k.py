@@ -5,21 +5,22 @@ documents.  In a shard documents stand by their most frequent term and by length
 that those of a block are alike; each term has its postings in this order, cut into blocks of BLOCK_DOCS
 consecutive documents with the term's greatest weight in the block.
 
-A query is evaluated shard by shard.  Its terms' cursors are moved block by block,
-all at once with numpy:
-
-* a block's bound is the sum of its terms' greatest weights; blocks are visited by
-  descending bound in steps of growing width, the threshold (the k-th best score
-  so far) rises after each step, and the first bound below it ends the search; the
-  next shard of a task begins with the threshold that the ones before have reached;
-* the pivot: terms in ascending order of their greatest weight in the shard, as many
-  as add up to less than the threshold, can't bring a document into the result by
-  themselves.  A step scores the other terms first, and the former ones only in
-  blocks where some document can still reach the threshold.
-
-Pruning works on single-precision weights with a margin for their error; what may be
-in the result then is scored anew in double precision, term by term in one order, so
-equal documents get equal scores.  Document frequencies, document count and mean
+Queries are evaluated shard by shard, in groups of alike ones (by their most frequent
+term and length), so that numpy works on a group's cursors at once:
+
+* a block's bound for a query is the sum of its terms' greatest weights; each query
+  visits its blocks by descending bound in steps of growing width, its threshold (the
+  k-th best score so far) rises after each step, and the first bound below it ends its
+  search; the next shard of a task begins with the thresholds that the ones before
+  have reached;
+* the pivot: terms that many of the group's queries share with many documents are
+  scored first, in one matrix product for each block and the queries that visit it;
+  the postings of the other terms are added only in blocks where some document can
+  still reach the query's threshold.
+
+Pruning works on single-precision weights with a margin for their error that grows
+with the query's terms; what may be in the result then is scored anew in double
+precision, term by term in one order, so equal documents get equal scores.  Document frequencies, document count and mean
 length are those of the whole corpus, so tasks' lists merge exactly.
 
 Queries are rows of the corpus (doc_id divisible by ``EVERY``); their term vectors
@@ -38,6 +39,9 @@ from __future__ import annotations
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
+from itertools import pairwise
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -81,6 +85,12 @@ class Terms:
         return names[order], np.fromiter(found.values(), np.int32, len(found))[order]
 
 
+def _alike(terms: list[np.ndarray], counts: list[np.ndarray], lengths: list[int]) -> np.ndarray:
+    """The order of texts by their most frequent term and their length."""
+    common = [int(t[np.argmax(c)]) if len(t) else 0 for t, c in zip(terms, counts, strict=True)]
+    return np.lexsort((lengths, np.array(common, np.uint64)))
+
+
 _INDEX = "n long, words long, doc_ids binary, lengths binary, terms binary, starts binary, docs binary, counts binary"
 _ARRAYS = {"doc_ids": np.int64, "lengths": np.int64, "terms": np.uint64, "starts": np.int64, "docs": np.uint16, "counts": None}
 
@@ -106,8 +116,7 @@ class _Open:
         return self.postings >= SHARD_POSTINGS or len(self.ids) >= SHARD_DOCS
 
     def close(self) -> pa.RecordBatch:
-        common = [int(t[np.argmax(c)]) if len(t) else 0 for t, c in zip(self.terms, self.counts, strict=True)]
-        order = np.lexsort((self.lengths, np.array(common, np.uint64)))
+        order = _alike(self.terms, self.counts, self.lengths)
         lengths = np.array(self.lengths, np.int64)[order]
         flat = np.concatenate([self.terms[k] for k in order])
         counts = np.concatenate([self.counts[k] for k in order])
@@ -145,15 +154,36 @@ def _arrays(batch: pa.RecordBatch, k: int, *names: str) -> list[np.ndarray]:
     return [np.frombuffer(out[c], _ARRAYS[c] or wide(c)) for c in names]
 
 
-#: Share by which single-precision sums may be off.
-SLACK = 1e-5
+#: Share by which a single-precision sum may be off for each of its terms (twice the bound).
+SLACK = 2.0**-23
+#: What rounding to nine places may take from a threshold.
+ROUNDING = 1e-9
+#: Scores (queries by documents), terms and postings handled at once; they bound a task's memory.
+GROUP_CELLS, GROUP_TERMS, ADDED = 2 << 20, 150_000, 1 << 18
+#: A term is dense if at least one in so many pairs of a query and a document share it,
+#: as long as the dense weights (documents by terms) have no more than DENSE_CELLS.
+DENSE, DENSE_CELLS = 1_500, 6 << 20
+
+
+class Asked(NamedTuple):
+    """Queries: each one's doc_id, and its rows of terms (places in ``names``, ascending) with factors."""
+
+    number: np.ndarray
+    own: list[int | None]
+    starts: np.ndarray
+    names: np.ndarray
+    terms: np.ndarray
+    factors: np.ndarray
 
 
 class Shard:
     def __init__(self, doc_ids, lengths, terms, starts, docs, counts, mean_length: float = 1.0):
         self.ids, self.terms, self.starts, self.docs, self.counts = doc_ids, terms, starts, docs, counts
         self.norm = K1 * (1 - B + B * lengths / mean_length)
-        self.weight = self._weights(slice(None)).astype(np.float32)
+        self.weight = np.empty(len(docs), np.float32)
+        for at in range(0, len(docs), ADDED):
+            part = slice(at, at + ADDED)
+            self.weight[part] = _weighted(counts[part], self.norm[docs[part]])
         self.blocks = -(-len(doc_ids) // BLOCK_DOCS)
         # runs of postings of one term in one block
         block = (docs // BLOCK_DOCS).astype(np.int16)
@@ -166,13 +196,16 @@ class Shard:
         self.cell_block = block[self.cell_start]
         self.cell_most = np.maximum.reduceat(self.weight, self.cell_start) if len(docs) else np.empty(0, np.float32)
         self.term_cells = np.searchsorted(self.cell_start, starts)
-        self.term_most = np.maximum.reduceat(self.weight, starts[:-1]) if len(docs) else np.empty(0, np.float32)
+        self.by_id = np.argsort(doc_ids, kind="stable")
         #: Blocks with a term of a query, and those of them that were scored.
         self.met = self.scored = 0
 
-    def _weights(self, at) -> np.ndarray:
-        counts = self.counts[at]
-        return counts * (K1 + 1) / (counts + self.norm[self.docs[at]])
+    @cached_property
+    def by_doc(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each document's terms begin; their places, ascending; their counts."""
+        order = np.argsort(self.docs, kind="stable")
+        place = np.repeat(np.arange(len(self.terms), dtype=np.int32), np.diff(self.starts))
+        return np.concatenate(([0], np.cumsum(np.bincount(self.docs, minlength=len(self.ids))))), place[order], self.counts[order]
 
     def places(self, names: np.ndarray) -> np.ndarray:
         """The place of each term, -1 if the shard hasn't it."""
@@ -181,84 +214,145 @@ class Shard:
         at = np.minimum(np.searchsorted(self.terms, names), len(self.terms) - 1)
         return np.where(self.terms[at] == names, at, -1)
 
-    def _add(self, score: np.ndarray, cells: np.ndarray, factor: np.ndarray) -> None:
-        sizes = self.cell_size[cells]
-        at = _ranges(self.cell_start[cells], sizes)
-        score += np.bincount(self.docs[at], self.weight[at] * np.repeat(factor, sizes), minlength=len(score))
-
     def search(self, names: np.ndarray, factors: np.ndarray, own: int | None, k: int = K, least: float = 0.0) -> list[tuple[int, float]]:
-        """The best k (doc_id, score) that reach ``least``, highest score first."""
-        place = self.places(names)
+        """The best k (doc_id, score) of one query that reach ``least``, highest score first."""
+        one = np.zeros(len(names), np.int64), self.places(names), factors.astype(float)
+        return self.search_group(*one, [own], k, np.array([least]))[0]
+
+    def search_all(self, asked: Asked, best: list[list[tuple[float, int]]], k: int) -> None:
+        """Bring the shard into ``best``, each query's list of (-score, doc_id), group by group."""
+        place, at = self.places(asked.names), 0
+        while at < len(asked.own):
+            width = max(1, GROUP_CELLS // max(1, len(self.ids)))
+            stop = min(at + width, max(at + 1, int(np.searchsorted(asked.starts, asked.starts[at] + GROUP_TERMS, "right")) - 1), len(asked.own))
+            span = slice(asked.starts[at], asked.starts[stop])
+            query = np.repeat(np.arange(stop - at), np.diff(asked.starts[at : stop + 1]))
+            least = np.array([-held[-1][0] if len(held) == k else 0.0 for held in best[at:stop]])
+            found = self.search_group(query, place[asked.terms[span]], asked.factors[span], asked.own[at:stop], k, least)
+            for held, more in zip(best[at:stop], found, strict=True):
+                if more:
+                    held += [(-s, i) for i, s in more]
+                    held.sort()
+                    del held[k:]
+            at = stop
+
+    def search_group(self, query: np.ndarray, place: np.ndarray, factors: np.ndarray, own: list[int | None], k: int, least: np.ndarray) -> list[list[tuple[int, float]]]:
+        """For each of some queries the best k (doc_id, score) that reach its ``least``.
+
+        The queries' terms are rows (query, place, factor), ascending by query and place.
+        """
+        size, n = len(own), len(self.ids)
         has = place >= 0
-        place, double = place[has], factors[has].astype(float)
+        query, place, double = query[has], place[has], factors[has]
+        if not len(place):
+            return [[] for _ in own]
+        slack = ((np.bincount(query, minlength=size) + 8) * SLACK)[:, None]
         factors = double.astype(np.float32)
-        sizes = self.term_cells[place + 1] - self.term_cells[place]
-        cells = _ranges(self.term_cells[place], sizes)
-        block = self.cell_block[cells]
-        bound = np.bincount(block, self.cell_most[cells] * np.repeat(factors, sizes), minlength=self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        bound = bound[order] * (1 + SLACK)
-        last = int(np.searchsorted(-bound, 0))  # blocks without a term come last
-        self.met += last
-        if not last or bound[0] < least:
-            return []
-        rank = np.empty(self.blocks, np.int16)
-        rank[order] = np.arange(self.blocks)
-        # only cells of blocks that can reach ``least``, by the rank of their block: each step is a slice
-        last = int((bound[:last] >= least).sum())
-        ranks = rank[block]
-        live = np.flatnonzero(ranks < last)
-        live = live[np.argsort(ranks[live], kind="stable")]
-        term = np.repeat(np.arange(len(place), dtype=np.int32), sizes)[live]
-        cells, block, factor = cells[live], block[live], factors[term]
-        ends = np.cumsum(np.bincount(ranks[live], minlength=last))
-        most = factors * self.term_most[place]
-        ascending = np.argsort(most, kind="stable")
-        reach = np.cumsum(most[ascending].astype(float)) * (1 + SLACK)
-        level = np.empty(len(place), np.int32)
-        level[ascending] = np.arange(len(place))
-        level = level[term]
-        score = np.zeros(len(self.ids))
-        mine = np.flatnonzero(self.ids == own) if own is not None else np.empty(0, np.int64)
-        best, at, width = least, 0, FIRST_BLOCKS
-        while at < last:
+        # terms that many of the queries share with many documents: dense
+        sizes = np.diff(self.starts)
+        gain = np.bincount(place, minlength=len(sizes)) * sizes
+        dense = np.flatnonzero(gain * DENSE >= size * n)
+        most = max(1, DENSE_CELLS // n)
+        if len(dense) > most:
+            dense = np.sort(dense[np.argpartition(-gain[dense], most)[:most]])
+        column = np.full(len(sizes), -1, np.int32)
+        column[dense] = np.arange(len(dense))
+        is_dense = column[place] >= 0
+        asked = np.zeros((size, len(dense)), np.float32)
+        asked[query[is_dense], column[place[is_dense]]] = factors[is_dense]
+        weights = np.zeros((n, len(dense)), np.float32)
+        for a, b in _cuts(sizes[dense]):
+            of, at = _spread(self.starts[dense[a:b]], sizes[dense[a:b]])
+            weights[self.docs[at], of + a] = self.weight[at]
+        cells = np.diff(self.term_cells)
+        at = _ranges(self.term_cells[dense], cells[dense])
+        highest = np.zeros((len(dense), self.blocks), np.float32)
+        highest[np.repeat(np.arange(len(dense)), cells[dense]), self.cell_block[at]] = self.cell_most[at]
+        # the others: a row for each query and cell
+        query_, place_, factors_ = query[~is_dense], place[~is_dense], factors[~is_dense]
+        of, cell = _spread(self.term_cells[place_], cells[place_])
+        pair, factor = (query_ * self.blocks)[of] + self.cell_block[cell], factors_[of]  # query and block
+        rest = np.bincount(pair, self.cell_most[cell] * factor, minlength=size * self.blocks).reshape(size, self.blocks)
+        bound = (asked @ highest + rest) * (1 + slack)
+        order = np.argsort(-bound, axis=1, kind="stable")
+        rank = np.empty_like(order)
+        np.put_along_axis(rank, order, np.arange(self.blocks)[None, :], axis=1)
+        self.met += int((bound > 0).sum())
+        score = np.zeros((size, n), np.float32)
+        mine = self._own(own)
+        best = least.astype(float)[:, None]
+        at, width = 0, FIRST_BLOCKS
+        while at < self.blocks:
+            floor = best * (1 - slack) - ROUNDING
             # what has a lower bound than the k-th best score so far is skipped
-            stop = at + int((bound[at : min(at + width, last)] >= best).sum())
-            if stop == at:
+            live = (bound > 0) & (bound >= floor) & (rank >= at)
+            if not live.any():
                 break
-            step = slice(ends[at - 1] if at else 0, ends[stop - 1])
-            pivot = int(np.searchsorted(reach, best))  # terms before it can't reach the threshold
-            if pivot:
-                late = level[step] < pivot
-                self._add(score, cells[step][~late], factor[step][~late])
-                rows, weights, blocks = cells[step][late], factor[step][late], block[step][late]
-                rest = np.bincount(blocks, self.cell_most[rows] * weights, minlength=self.blocks)
-                highest = np.maximum.reduceat(score, np.arange(0, len(score), BLOCK_DOCS))
-                able = ((highest + rest) * (1 + SLACK) >= best)[blocks]
-                self._add(score, rows[able], weights[able])
-            else:
-                self._add(score, cells[step], factor[step])
+            live &= rank < at + width
+            self.scored += int(live.sum())
+            for b in np.flatnonzero(live.any(axis=0)).tolist():
+                rows, docs = np.flatnonzero(live[:, b]), slice(b * BLOCK_DOCS, (b + 1) * BLOCK_DOCS)
+                part = asked[rows] @ weights[docs].T
+                score[rows, docs] = part
+                # the pivot: no document of the block can reach the threshold by the terms left
+                live[rows, b] = (part.max(axis=1) + rest[rows, b]) * (1 + slack[rows, 0]) >= floor[rows, 0]
+            here = np.flatnonzero(live.ravel()[pair])
+            self._add(score, pair[here] // self.blocks, cell[here], factor[here])
             score[mine] = 0
-            self.scored += stop - at
-            above = score[score > best]
-            if len(above) >= k:
-                best = float(np.partition(above, -k)[-k]) * (1 - SLACK)
-            at, width = stop, 2 * width
-        found = np.flatnonzero((score > 0) & (score * (1 + SLACK) >= best))
-        ranked = sorted(zip((-np.round(self._exact(found, place, double), 9)).tolist(), self.ids[found].tolist(), strict=True))[:k]
-        return [(i, -s) for s, i in ranked if -s >= least]
-
-    def _exact(self, found: np.ndarray, place: np.ndarray, factors: np.ndarray) -> np.ndarray:
-        """Scores of documents in ``found``, their terms added up in one order."""
-        blocks = np.zeros(self.blocks, bool)
-        blocks[found // BLOCK_DOCS] = True
-        sizes = self.term_cells[place + 1] - self.term_cells[place]
-        cells = _ranges(self.term_cells[place], sizes)
-        here = blocks[self.cell_block[cells]]
-        cells, factor = cells[here], np.repeat(factors, sizes)[here]
-        sizes = self.cell_size[cells]
-        at = _ranges(self.cell_start[cells], sizes)
-        return np.bincount(self.docs[at], self._weights(at) * np.repeat(factor, sizes), minlength=len(self.ids))[found]
+            above, kth = _kth(score, best.astype(np.float32), k)
+            best[above, 0] = np.maximum(best[above, 0], kth * (1 - slack[above, 0]))
+            at, width = at + width, 2 * width
+        floor = ((best * (1 - slack) - ROUNDING) / (1 + slack)).astype(np.float32)
+        rows, docs = np.divmod(np.flatnonzero(score >= np.maximum(np.nextafter(floor, np.float32(-1)), np.finfo(np.float32).smallest_subnormal)), n)
+        out: list[list[tuple[int, float]]] = [[] for _ in own]
+        first = np.searchsorted(query, np.arange(size + 1))
+        cuts = np.searchsorted(rows, np.arange(size + 1))
+        wanted, by_place = np.zeros(len(sizes), bool), np.zeros(len(sizes))
+        for q in np.unique(rows).tolist():
+            found, terms = docs[cuts[q] : cuts[q + 1]], slice(first[q], first[q + 1])
+            wanted[place[terms]], by_place[place[terms]] = True, double[terms]
+            exact = -np.round(self._exact(found, wanted, by_place), 9)
+            wanted[place[terms]] = False
+            out[q] = [(i, -s) for s, i in sorted(zip(exact.tolist(), self.ids[found].tolist(), strict=True))[:k] if -s >= least[q]]
+        return out
+
+    def _add(self, score: np.ndarray, query: np.ndarray, cell: np.ndarray, factor: np.ndarray) -> None:
+        """Add the cells' postings to ``score`` (queries by documents)."""
+        flat, sizes, row = score.ravel(), self.cell_size[cell], query * score.shape[1]
+        for a, b in _cuts(sizes):
+            of, at = _spread(self.cell_start[cell[a:b]], sizes[a:b])
+            np.add.at(flat, row[a:b][of] + self.docs[at], self.weight[at] * factor[a:b][of])
+
+    def _own(self, own: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Queries and documents that have the same doc_id."""
+        there = np.flatnonzero([i is not None for i in own])
+        ids, wanted = self.ids[self.by_id], np.array([own[q] for q in there], np.int64)
+        low, high = np.searchsorted(ids, wanted), np.searchsorted(ids, wanted, "right")
+        return np.repeat(there, high - low), self.by_id[_ranges(low, high - low)]
+
+    def _exact(self, found: np.ndarray, wanted: np.ndarray, factors: np.ndarray) -> np.ndarray:
+        """Scores of documents in ``found``, their terms added up in one order; what is wanted and factors by place."""
+        starts, places, counts = self.by_doc
+        spans = list(zip(starts[found].tolist(), starts[found + 1].tolist(), strict=True))
+        place = np.concatenate([places[a:b] for a, b in spans])
+        at = np.flatnonzero(wanted[place])
+        row = np.searchsorted(np.cumsum([b - a for a, b in spans]), at, "right")
+        taken = np.concatenate([counts[a:b] for a, b in spans])[at]
+        return np.bincount(row, _weighted(taken, self.norm[found][row]) * factors[place[at]], minlength=len(found))
+
+
+def _kth(score: np.ndarray, best: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The rows with at least ``k`` scores above ``best``, and the k-th highest score of each."""
+    at = np.flatnonzero(score > best)
+    high, ends = score.ravel()[at], np.cumsum(np.bincount(at // score.shape[1], minlength=len(score)))
+    sizes = np.diff(ends, prepend=0)
+    rows = np.flatnonzero(sizes >= k)
+    kth = [np.partition(high[a:b], -k)[-k] for a, b in zip((ends - sizes)[rows].tolist(), ends[rows].tolist(), strict=True)]
+    return rows, np.array(kth, float)
+
+
+def _weighted(counts: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    return counts * (K1 + 1) / (counts + norm)
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -267,6 +361,22 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def _cuts(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Consecutive parts of ``sizes`` that add up to about ADDED."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    cuts = np.unique([0, *np.searchsorted(ends, np.arange(ADDED, ends[-1] if len(ends) else 0, ADDED)).tolist(), len(sizes)])
+    return pairwise(cuts.tolist())
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_ranges`` of sizes above 0, and for each integer the place of its range."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    new = np.zeros(ends[-1] if len(ends) else 0, np.int8)
+    new[ends[:-1]] = 1
+    of = np.cumsum(new, dtype=np.int64)
+    return of, (starts - (ends - sizes))[of] + np.arange(len(of))
+
+
 def _vectors(queries: DataFrame) -> DataFrame:
     """The written queries: number, doc_id, terms, counts, bytes."""
     schema = "number long, doc_id long, terms binary, counts binary, bytes long"
@@ -294,8 +404,10 @@ def search(index: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     at = f"{shared_dir(spark)}/topk-found-{uuid.uuid4().hex}"
     for part in range(parts):
         rows = vectors.filter(F.pmod(F.xxhash64("number"), F.lit(parts)) == part).select("number", "doc_id", "terms", "counts").toArrow()
-        asked = [(q, own, np.frombuffer(t, np.uint64), np.frombuffer(c, np.int32)) for q, own, t, c in zip(*(rows.column(c).to_pylist() for c in rows.column_names), strict=True)]
-        _search_part(index, asked, n, mean, k).write.mode("append").parquet(at)
+        # like queries side by side, as documents stand in a shard
+        names, counts = ([np.frombuffer(x, kind) for x in rows.column(c).to_pylist()] for c, kind in (("terms", np.uint64), ("counts", np.int32)))
+        rows = rows.take(pa.array(_alike(names, counts, [int(c.sum()) for c in counts]), pa.int64()))
+        _search_part(index, rows, n, mean, k).write.mode("append").parquet(at)
     best = Window.partitionBy("number").orderBy(F.col("score").desc(), "doc_id")
     out = spark.read.schema(_FOUND).parquet(at).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return out.select("query_id", "rank", F.when(F.col("doc_id") < LAST, F.col("doc_id")).alias("doc_id"), F.round("score", 6).alias("score"))
@@ -304,10 +416,13 @@ def search(index: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
 _FOUND = "number long, query_id long, doc_id long, score double"
 
 
-def _search_part(index: DataFrame, asked: list[tuple], n: int, mean: float, k: int) -> DataFrame:
+def _search_part(index: DataFrame, rows: pa.Table, n: int, mean: float, k: int) -> DataFrame:
     """Every shard's best k for each of the queries (number, doc_id, terms, counts)."""
     context = index.sparkSession.sparkContext
-    names = np.unique(np.concatenate([x[2] for x in asked])) if asked else np.empty(0, np.uint64)
+    flat = np.frombuffer(b"".join(rows.column("terms").to_pylist()), np.uint64)
+    counts = np.frombuffer(b"".join(rows.column("counts").to_pylist()), np.int32)
+    starts = np.concatenate(([0], np.cumsum([len(t) // 8 for t in rows.column("terms").to_pylist()], dtype=np.int64)))
+    names, terms = np.unique(flat, return_inverse=True)
     shared_names = context.broadcast(names)
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,20 +441,16 @@ def _search_part(index: DataFrame, asked: list[tuple], n: int, mean: float, k: i
     df = np.zeros(len(names), np.int64)
     df[counted.column("term").to_numpy()] = counted.column("df").to_numpy()
     idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-    shared = context.broadcast([(q, own, t, c * idf[np.searchsorted(names, t)]) for q, own, t, c in asked])
+    shared = context.broadcast(tuple(Asked(rows.column("number").to_numpy(), rows.column("doc_id").to_pylist(), starts, names, terms.astype(np.int32), counts * idf[terms])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = shared.value
-        best: list[list[tuple[float, int]]] = [[] for _ in asked]
+        asked = Asked(*shared.value)
+        best: list[list[tuple[float, int]]] = [[] for _ in asked.own]
         for batch in batches:
             for row in range(batch.num_rows):
-                shard = Shard(*_arrays(batch, row, *_ARRAYS), mean)
-                for held, (_, own, names, factors) in zip(best, asked, strict=True):
-                    held += [(-s, i) for i, s in shard.search(names, factors, own, k, -held[-1][0] if len(held) == k else 0.0)]
-                    held.sort()
-                    del held[k:]
-        for at in range(0, len(asked), 1_000):
-            found = [(q, own, i, -s) for (q, own, _, _), held in zip(asked[at : at + 1_000], best[at : at + 1_000], strict=True) for s, i in held]
+                Shard(*_arrays(batch, row, *_ARRAYS), mean).search_all(asked, best, k)
+        for at in range(0, len(best), 1_000):
+            found = [(q, own, i, -s) for q, own, held in zip(asked.number[at : at + 1_000].tolist(), asked.own[at : at + 1_000], best[at : at + 1_000], strict=True) for s, i in held]
             columns = list(zip(*found, strict=True)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:3]), pa.array(columns[3], pa.float64())], names=["number", "query_id", "doc_id", "score"])
 

@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -167,6 +168,31 @@ def test_search_rows_with_one_id_and_odd_rows(spark):
     assert top_k.search(top_k.build(none), none).count() == 0
 
 
+def test_search_takes_queries_together():
+    """A group of queries costs a part of what they cost one by one and finds the same, from shard to shard."""
+    rng, terms = np.random.default_rng(5), top_k.Terms()
+    texts = [" ".join(f"w{int(x)}" for x in rng.zipf(1.3, rng.integers(0, 200)) if x < 3_000) for _ in range(1_200)]
+    vectors, shards = [terms(t) for t in texts], []
+    for at in (0, 600):
+        shard = top_k._Open()
+        for k in range(at, at + 600):
+            shard.add(k, *vectors[k])
+        shards.append(top_k.Shard(*top_k._arrays(shard.close(), 0, *top_k._ARRAYS), 90.0))
+    asked = list(range(0, 1_200, 4))
+    names, places = np.unique(np.concatenate([vectors[q][0] for q in asked]), return_inverse=True)
+    factors = np.concatenate([vectors[q][1] * 0.5 for q in asked])
+    starts = np.cumsum([0, *(len(vectors[q][0]) for q in asked)])
+    best: list[list[tuple[float, int]]] = [[] for _ in asked]
+    before = time.process_time()
+    for shard in shards:
+        shard.search_all(top_k.Asked(np.array(asked), asked, starts, names, places, factors), best, 10)
+    together, before = time.process_time() - before, time.process_time()
+    for q, held in zip(asked, best, strict=True):
+        found = [x for shard in shards for x in shard.search(vectors[q][0], vectors[q][1] * 0.5, q)]
+        assert [(i, s) for s, i in sorted((-s, i) for i, s in found)[:10]] == [(i, s) for s, i in held]
+    assert sum(map(len, best)) > 2_000 and together < 0.6 * (time.process_time() - before)
+
+
 def test_search_skips_blocks(monkeypatch):
     """Pruning leaves blocks out and the result alone."""
     monkeypatch.setattr(top_k, "BLOCK_DOCS", 8)
