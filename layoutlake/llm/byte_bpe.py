@@ -2,7 +2,8 @@
 
 The replay keeps one inverted index for all distinct words at hand, from the
 rank of a pair of neighbouring tokens to the positions where that pair stands.
-Ranks are taken in ascending order; a merge touches only its two neighbours.
+Ranks are taken in ascending order, those that stand somewhere from a heap; a merge
+touches only its two neighbours.
 Words are independent of each other, so each task replays the merges over the
 distinct words of its own share of the corpus, BLOCK_WORDS under one index (a word is
 replayed once for each task that has it): the ids are those of a single index over
@@ -22,6 +23,8 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,8 @@ from layoutlake.llm.common import map_batches, table
 RANKS_FILE = "byte_bpe_multi_50k.tiktoken"
 #: The characters with the Unicode property White_Space.
 SPACE = "\t-\r \x85\xa0  -     　"
+#: How a pattern begins in which letters are one match, whatever follows them.
+LETTERS_MATCH = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+|"
 #: Words kept with their ids in a task; beyond it the store starts afresh.
 STORE_WORDS = 250_000
 #: Words under one index.
@@ -61,21 +66,21 @@ class MergeReplay:
         self.tokens = {i: b for b, i in ranks.items()}
         self.top = max(ranks.values()) + 1
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        #: Left id times ``top`` plus right id: the id that they merge to.
-        self.pairs: dict[int, int] = {}
+        #: By left id and by right id, the other id: the id that they merge to.
+        self.by_left: list[dict[int, int]] = [{} for _ in range(self.top)]
+        self.by_right: list[dict[int, int]] = [{} for _ in range(self.top)]
         for token, i in ranks.items():
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
-                    self.pairs[left * self.top + right] = i
-        self.index: list[list[int]] = [[] for _ in range(self.top)]
-        self.byte_pairs = np.array([self.pairs.get(a * self.top + b, -1) for a in self.byte_ids.tolist() for b in self.byte_ids.tolist()], np.int64)
+                    self.by_left[left][right] = self.by_right[right][left] = i
+        self.byte_pairs = np.array([self.by_left[a].get(b, -1) for a in self.byte_ids.tolist() for b in self.byte_ids.tolist()], np.int64)
 
-    def encode(self, words: list[bytes]) -> list[np.ndarray]:
+    def encode(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word, block by block: an index that fits a processor's cache."""
         return [ids for at in range(0, len(words), BLOCK_WORDS) for ids in self.encode_block(words[at : at + BLOCK_WORDS])]
 
-    def encode_block(self, words: list[bytes]) -> list[np.ndarray]:
+    def encode_block(self, words: list[bytes]) -> list[bytes]:
         """Ids of each word.  ``pair[i]`` is what the pair that begins at i merges to."""
         whole = [self.ranks.get(w, -1) for w in words]
         rest = [w for w, known in zip(words, whole, strict=True) if known < 0]
@@ -88,60 +93,59 @@ class MergeReplay:
         if len(text):
             some = ends > starts
             first[ends[some] - 1] = after_[ends[some] - 1] = before_[starts[some]] = -1
-        index = self.index  # empty again at the end
         order = np.argsort(first, kind="stable")
         order = order[np.searchsorted(first[order], 0) :]
-        cuts = np.flatnonzero(np.diff(first[order])) + 1
-        for places in np.split(order, cuts) if len(order) else ():
-            index[int(first[places[0]])] = places.tolist()
+        ranks, begin = np.unique(first[order], return_index=True)
+        cuts, order, waiting = [*begin.tolist(), len(order)], order.tolist(), ranks.tolist()
+        index = {r: order[a:b] for r, a, b in zip(waiting, cuts, cuts[1:], strict=False)}
         token, pair, after, before = self.byte_ids[text].tolist(), first.tolist(), after_.tolist(), before_.tolist()
-        get, top, r = self.pairs.get, self.top, 0
-        while r < top:
-            places = index[r]
-            if not places:
-                r += 1
-                continue
-            index[r] = []
+        # ranks in ``index``, as a heap
+        while waiting:
+            r = heappop(waiting)
+            places = index.pop(r)
             places.sort()
-            lowest = r
+            with_right, with_left, lowest = self.by_left[r].get, self.by_right[r].get, r
             for n, i in enumerate(places):
                 if pair[i] != r:
                     continue
                 j = after[i]
-                token[i], token[j], pair[j] = r, -1, -1
+                token[i] = r
+                token[j] = pair[j] = -1
                 after[i] = right = after[j]
                 if right >= 0:
                     before[right] = i
-                    pair[i] = new = get(r * top + token[right], -1)
+                    pair[i] = new = with_right(token[right], -1)
                     if new >= 0:
-                        index[new].append(i)
-                        if new < lowest:
-                            lowest = new
+                        if new in index:
+                            index[new].append(i)
+                        else:
+                            index[new] = [i]
+                            heappush(waiting, new)
+                            if new < lowest:
+                                lowest = new
                 else:
                     pair[i] = -1
                 left = before[i]
                 if left >= 0:
-                    pair[left] = new = get(token[left] * top + r, -1)
+                    pair[left] = new = with_left(token[left], -1)
                     if new >= 0:
-                        index[new].append(left)
-                        if new < lowest:
-                            lowest = new
+                        if new in index:
+                            index[new].append(left)
+                        else:
+                            index[new] = [left]
+                            heappush(waiting, new)
+                            if new < lowest:
+                                lowest = new
                 if lowest < r:  # an earlier merge became possible: it comes first
-                    index[r] += places[n + 1 :]
+                    index[r] = places[n + 1 :]
+                    heappush(waiting, r)
                     break
-            r = lowest if lowest < r else r + 1
         tokens = np.array(token, np.int64)
         alive = tokens >= 0
         counts = np.concatenate(([0], np.cumsum(alive)))
-        tokens, low, high = tokens[alive].astype("<u4"), counts[starts].tolist(), counts[ends].tolist()
-        out, k = [], 0
-        for known in whole:
-            if known >= 0:
-                out.append(np.array([known], "<u4"))
-            else:
-                out.append(tokens[low[k] : high[k]])
-                k += 1
-        return out
+        ids, low, high = tokens[alive].astype("<u4").tobytes(), (4 * counts[starts]).tolist(), (4 * counts[ends]).tolist()
+        spans = zip(low, high, strict=True)
+        return [known.to_bytes(4, "little") if known >= 0 else ids[slice(*next(spans))] for known in whole]
 
 
 def portions(texts: list[str]) -> Iterator[list[str]]:
@@ -167,6 +171,8 @@ class Codec:
         # A run of other characters with the space before it, or white space:
         # no match of the pattern crosses the end of such a unit.
         self.units = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+").findall
+        # Letters alone, with or without a space before them, then are one match.
+        self.letters_match = pattern.startswith(LETTERS_MATCH)
         self.store: dict[str, bytes] = {}
         self.token = self.replay.tokens.__getitem__
 
@@ -176,15 +182,20 @@ class Codec:
             self.store.clear()
         store = self.store
         cut = [self.units(t) for t in texts]
-        new: dict[str, None] = {}
-        for units in cut:
-            new.update(dict.fromkeys(u for u in units if u not in store))
-        parts = [self.split(u) for u in new]
-        words = list(dict.fromkeys(w for p in parts for w in p))
-        ids = {w: x.tobytes() for w, x in zip(words, self.replay.encode([w.encode() for w in words]), strict=True)}
-        for unit, p in zip(new, parts, strict=True):
-            store[unit] = b"".join([ids[w] for w in p])
-        return [b"".join([store[u] for u in units]) for units in cut]
+        new = [u for u in dict.fromkeys(chain.from_iterable(cut)) if u not in store]
+        whole: list[str] = []
+        split: dict[str, list[str]] = {}
+        for u in new:
+            if self.letters_match and u.removeprefix(" ").isalpha():
+                whole.append(u)
+            else:
+                split[u] = self.split(u)
+        words = list(dict.fromkeys(chain(whole, chain.from_iterable(split.values()))))
+        ids = dict(zip(words, self.replay.encode([w.encode() for w in words]), strict=True))
+        store.update(zip(whole, map(ids.__getitem__, whole), strict=True))
+        for unit, part in split.items():
+            store[unit] = b"".join([ids[w] for w in part])
+        return [b"".join(map(store.__getitem__, units)) for units in cut]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.token, np.frombuffer(ids, "<u4").tolist()))

@@ -18,6 +18,19 @@ def codec():
     return byte_bpe.codec_of(P.path(byte_bpe.RANKS_FILE), P.PATTERN)
 
 
+def test_letters_are_not_split_again(codec, monkeypatch):
+    """Units of letters alone go to the replay as they are, all others by the pattern; ids are the library's."""
+    own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=codec.replay.ranks, special_tokens={})
+    seen: list[str] = []
+    split = codec.split
+    monkeypatch.setattr(codec, "split", lambda u: seen.append(u) or split(u))
+    plain = "Zwiebelqvarn éclaterait  qzxünötig ǅungla 漢字かな 𐐀𐐨𝒳 ªºʰ ﬁnqvale"
+    odd = "it'sqv e\u0301qv q\u0663v ٣٤ 'tis'llama x1y2 Ⅷa ࢠ़ a\u200db \u3000qa\u3000 ''s q-v"
+    for text in (plain, odd):
+        assert np.frombuffer(codec.encode([text])[0], "<u4").tolist() == own.encode_ordinary(text)
+    assert not any(u.strip() and u.strip().isalpha() for u in seen) and "it'sqv" in seen
+
+
 def test_ids_equal_the_library(codec):
     own = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=codec.replay.ranks, special_tokens={})
     rng = random.Random(0)
