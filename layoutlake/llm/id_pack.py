@@ -20,17 +20,17 @@ no shard; further columns are ignored.
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layoutlake.llm.common import bounded, map_batches, released, table, written
+from layoutlake.llm.common import SLICE_ROWS, bounded, map_batches, released, table, written
 
 VOCABULARY_FILE = "word_bpe_49k.json"
 END_ID = 1
@@ -38,13 +38,11 @@ MAGIC = 0x6B6361_70_6469
 HEADER = struct.Struct("<5q")
 #: Ids after which a block is closed.
 BLOCK_IDS = 1 << 18
-#: Runs without ASCII white space.
-WORDS = re.compile(r"[^ \t-\r]+").findall
 #: Distinct words kept with their ids in a task; beyond it the store starts afresh.
 STORE_WORDS = 1_000_000
 #: Letters (ASCII, Latin-1), then marks other than apostrophes: one or two parts to the tokenizer.
-PLAIN = re.compile(r"[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+[!#$%&()*+,\-./:;=?@\[\]_|]*").fullmatch
-#: Plain words that the tokenizer takes as one text.
+PLAIN = r"\A(?P<letters>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!#$%&()*+,\-./:;=?@\[\]_|]*)\z"
+#: Runs of letters that the tokenizer takes as one text.
 TOGETHER = 2_000
 
 
@@ -98,17 +96,27 @@ class Block:
         return unpack(self.payload, self.bits, 0, self.n_ids)
 
 
+def strings(values: pa.Array) -> list[str]:
+    """As ``to_pylist``, several times as fast."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 class WordEncoder:
     """The tokenizer, with the ids of white-space separated words kept.
 
     This vocabulary's tokenizer drops white space and merges nothing across it,
-    so a text's ids are its words' ids one after the other.
+    so a text's ids are its words' ids one after the other.  It lowers capitals, and
+    letters and the marks behind them are separate parts.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # The same model for lower-case letters with spaces between them, which the rest of the rules leave as they are.
+        self.letters = Tokenizer.from_file(path)
+        self.letters.normalizer = None
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.store: dict[str, bytes] = {}
         #: Whether an id ends a letter run or mark run.
         vocabulary = self.tokenizer.get_vocab(True)
@@ -121,35 +129,48 @@ class WordEncoder:
         for token, i in vocabulary.items():
             self.bytes[i] = len(token.removesuffix("</w>")) if not token.startswith("<|") else -(1 << 40)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, texts: list[str] | pa.Array) -> list[np.ndarray]:
         store = self.store
         if len(store) > STORE_WORDS:
             store.clear()
-        cut = [WORDS(t) for t in texts]
-        new = set().union(*cut).difference(store)
-        self._encode_plain(list(filter(PLAIN, new)))
-        rest = list(new.difference(store))
-        for word, found in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            store[word] = np.array(found.ids, "<u4").tobytes()
-        return [np.frombuffer(b"".join(map(store.__getitem__, words)), "<u4") for words in cut]
-
-    def _encode_plain(self, words: list[str]) -> None:
-        """Encode words of letters and then marks together; their parts' last ids tell them apart."""
+        # at ASCII white space; an empty word at a text's ends has no ids
+        cut = pc.ascii_split_whitespace(pa.array(texts, pa.string()))
+        words = cut.flatten().dictionary_encode()
+        distinct = strings(words.dictionary)
+        self._add([w for w in distinct if w not in store])
+        ids = list(map(store.__getitem__, distinct))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts, at = np.cumsum(sizes) - sizes, words.indices.to_numpy()
+        # the words' ids one after the other: word by word from where its ids start
+        ends = np.concatenate(([0], np.cumsum(sizes[at])))
+        places = np.repeat(starts[at] - ends[:-1], sizes[at]) + np.arange(ends[-1])
+        every, bounds = np.frombuffer(b"".join(ids), "<u4")[places], ends[cut.offsets.to_numpy()].tolist()
+        return [every[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+
+    def _add(self, words: list[str]) -> None:
+        """Store the ids of ``words``; plain ones share those of their letters, in lower case, and of their marks."""
+        store = self.store
+        every = pa.array(words, pa.string())
+        found = pc.extract_regex(every, PLAIN)
+        plain, parts = strings(every.filter(found.is_valid())), found.drop_null()
+        letters, marks = strings(pc.utf8_lower(pc.struct_field(parts, "letters"))), strings(pc.struct_field(parts, "marks"))
+        self._encode_letters([a for a in dict.fromkeys(letters) if a not in store])
+        rest = {*letters, *marks, *strings(every.filter(found.is_null()))}.difference(store)
+        for word, one in zip(rest, self.tokenizer.encode_batch_fast(list(rest), add_special_tokens=False), strict=True):
+            store[word] = np.array(one.ids, "<u4").tobytes()
+        for word, a, b in zip(plain, letters, marks, strict=True):
+            store[word] = store[a] + store[b] if b else store[a]
+
+    def _encode_letters(self, words: list[str]) -> None:
+        """Encode words of letters together; their last ids tell them apart."""
         for at in range(0, len(words), TOGETHER):
             part = words[at : at + TOGETHER]
-            text = " ".join(part)
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.last[ids])
-            raw = np.frombuffer(text.encode() + b" ", np.uint8)
-            spaces = np.flatnonzero(raw == 32)
-            # a plain word ends in a letter (ASCII or of two bytes) or in a mark
-            before = raw[spaces - 1] | 32
-            parts = np.cumsum(np.where((before >= 97) & (before <= 122) | (before >= 128), 1, 2))
-            if len(ends) != parts[-1]:
+            ids = np.array(self.letters.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            last = np.flatnonzero(self.last[ids])
+            if len(last) != len(part):
                 continue  # not as expected: each by itself
-            last = ends[parts - 1]
             # every word's ids stand for as many bytes as it has, so no id can have gone to its neighbour
-            if (np.cumsum(self.bytes[ids])[last] != spaces - np.arange(len(spaces))).any():
+            if (np.cumsum(self.bytes[ids])[last] != np.cumsum(list(map(len, map(str.encode, part))))).any():
                 continue
             data = ids.tobytes()
             stops = ((last + 1) * 4).tolist()
@@ -192,9 +213,9 @@ def write_shards(df: DataFrame, tokenizer_path: str, shards: int, end_id: int =
             if not batch.num_rows:
                 continue
             shard = batch.column("shard")[0].as_py()
-            texts, ids = [t or "" for t in batch.column("text").to_pylist()], batch.column("doc_id").to_pylist()
-            for at in range(0, len(texts), 500):
-                for doc_id, found in zip(ids[at : at + 500], encoder.encode(texts[at : at + 500]), strict=True):
+            texts, ids = batch.column("text").fill_null(""), batch.column("doc_id").to_pylist()
+            for at in range(0, len(texts), SLICE_ROWS):
+                for doc_id, found in zip(ids[at : at + SLICE_ROWS], encoder.encode(texts.slice(at, SLICE_ROWS)), strict=True):
                     held.append(np.concatenate((found, end)))
                     doc_ids.append(doc_id)
                     size += len(found) + 1

@@ -67,6 +67,22 @@ def test_words_equal_the_library():
         assert ids.tolist() == lib.encode(text, add_special_tokens=False).ids
 
 
+def test_words_share_the_ids_of_their_letters(monkeypatch):
+    """Capitals and marks make no new letters, and letters take the short way; ids are the library's."""
+    from tokenizers import Tokenizer
+
+    path = P.path(id_pack.VOCABULARY_FILE)
+    own, lib = id_pack.WordEncoder(path), Tokenizer.from_file(path)
+    seen: list[str] = []
+    letters = own._encode_letters
+    monkeypatch.setattr(own, "_encode_letters", lambda words: seen.extend(words) or letters(words))
+    texts = ["Qvarnel qvarnel, QVARNEL.%%% qvarnel", "Élanqv élanqv; ÉLANQV ßtrÿ [élanqv]", "", " \t ", "x\x1fy\xa0z \u3000 don't"]
+    for text, ids in zip(texts, own.encode(texts), strict=True):
+        assert ids.tolist() == lib.encode(text, add_special_tokens=False).ids
+    assert sorted(seen) == ["qvarnel", "ßtrÿ", "élanqv"] and own.encode([]) == []
+    assert [len(x) for x in own.encode(["", ""])] == [0, 0]
+
+
 def test_shards_are_in_order(spark, monkeypatch):
     monkeypatch.setattr(id_pack, "BLOCK_IDS", 20)
     rows = [(i * 3 % 40, f"word{i} and more text {i}" if i % 5 else None) for i in range(40)]
