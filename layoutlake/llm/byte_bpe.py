@@ -45,6 +45,8 @@ STORE_WORDS = 250_000
 BLOCK_WORDS = 5_000
 #: Characters of text whose new words share one replay.
 PORTION = 8_000_000
+#: The same where memory counts for more than time: units of a text take about ten times its size.
+SMALL_PORTION = 1_000_000
 
 
 @lru_cache(maxsize=1)
@@ -148,14 +150,14 @@ class MergeReplay:
         return [known.to_bytes(4, "little") if known >= 0 else ids[slice(*next(spans))] for known in whole]
 
 
-def portions(texts: list[str]) -> Iterator[list[str]]:
-    """Consecutive parts of about PORTION characters, at least one text each."""
+def portions(texts: list[str], most: int = PORTION) -> Iterator[list[str]]:
+    """Consecutive parts of about ``most`` characters, at least one text each."""
     part: list[str] = []
     size = 0
     for text in texts:
         part.append(text)
         size += len(text)
-        if size >= PORTION:
+        if size >= most:
             yield part
             part, size = [], 0
     if part:
@@ -229,28 +231,41 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text") ->
     return map_batches(df.select([f.name for f in kept]), make, schema)
 
 
-def digest(df: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``encode`` reduced in the same pass to counts and digests."""
+def digest(df: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",), ids: bool = False, portion: int = PORTION) -> DataFrame:
+    """``encode`` reduced in the same pass to counts and digests, beside the columns ``keep`` and, if asked for, the ids.
+
+    Neither texts nor decoded bytes leave the worker.
+    """
+    from pyspark.sql.types import BinaryType, LongType, StringType, StructType
+
+    schema = StructType([df.schema[c] for c in keep]).add("n_tokens", LongType())
+    schema = schema.add("ids", BinaryType()) if ids else schema
+    schema = schema.add("ids_sha256", StringType()).add("decoded_sha256", StringType())
+    names = schema.names
 
     def make():
         codec = codec_of(ranks_path, pattern)
 
         def each(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = [t or "" for t in batch.column("text").to_pylist()]
-            n, ids_sha, text_sha = [], [], []
-            for part in portions(texts):
-                for ids in codec.encode(part):
-                    n.append(len(ids) // 4)
-                    ids_sha.append(hashlib.sha256(ids).hexdigest())
-                    text_sha.append(hashlib.sha256(codec.decode(ids)).hexdigest())
-            return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids_sha), pa.array(text_sha)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            n, kept, ids_sha, text_sha = [], [], [], []
+            for part in portions(texts, portion):
+                for found in codec.encode(part):
+                    n.append(len(found) // 4)
+                    if ids:
+                        kept.append(found)
+                    ids_sha.append(hashlib.sha256(found).hexdigest())
+                    text_sha.append(hashlib.sha256(codec.decode(found)).hexdigest())
+            columns = [batch.column(c) for c in keep] + [pa.array(n, pa.int64())]
+            columns += [pa.array(kept, pa.binary())] if ids else []
+            return pa.RecordBatch.from_arrays([*columns, pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())], names=names)
 
         return each
 
-    return map_batches(df.select(F.col("doc_id").cast("long"), "text"), make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_batches(df.select(*keep, "text"), make, schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return digest(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS_FILE), public_tokenizers.PATTERN)
+    return digest(table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id").cast("long")), public_tokenizers.path(RANKS_FILE), public_tokenizers.PATTERN)

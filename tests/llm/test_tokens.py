@@ -48,6 +48,22 @@ def test_encode_keeps_other_columns(spark):
     assert byte_bpe.digest(df.limit(0), P.path(byte_bpe.RANKS_FILE), P.PATTERN).count() == 0
 
 
+def test_tokens_stage_hands_back_no_texts(spark, monkeypatch):
+    """The pipeline's workers return ids and digests only, which are those of ``encode``."""
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    returned: list[list[str]] = []
+    real = byte_bpe.map_batches
+    monkeypatch.setattr(byte_bpe, "map_batches", lambda df, make, schema: returned.append(schema.names) or real(df, make, schema))
+    rows = [(k, "de", "s", k, f"Qvarnel {k} it's  {k * 7}" * k) for k in range(9)] + [(None, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, n_chars long, text string")
+    out = corpus_pipeline.tokens_stage(spark, docs, "")
+    assert returned == [["doc_id", "lang", "source", "n_chars", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]] and out.columns == returned[0]
+    whole = byte_bpe.encode(docs, P.path(byte_bpe.RANKS_FILE), P.PATTERN).withColumns({"ids_sha256": F.sha2("ids", 256), "decoded_sha256": F.sha2("decoded", 256)})
+    assert sorted(out.collect(), key=str) == sorted(whole.select(out.columns).collect(), key=str)
+
+
 @pytest.mark.parametrize("bits", [1, 5, 8, 13, 16, 17])
 def test_pack_round_trip(bits):
     x = np.random.default_rng(1).integers(0, 2**bits, 1001).astype(np.uint32)
