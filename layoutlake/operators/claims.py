@@ -93,30 +93,35 @@ def leaders(lines: DataFrame, position: float = 0.045, size: float = 0.06) -> Da
     """Repeated lines by pattern and place: (document_id, family, pattern, leader, pages, frequency, repeated).
 
     A line joins the first leader of its pattern, in the order of pages, whose box is close in
-    position and size, else it leads.  Boxes are reduced to distinct ones beforehand, so a
-    group's size is the number of places, not of lines.
+    position and size, else it leads.  A pattern of one page has no result, so most lines leave
+    before boxes are looked at.  The others are reduced to distinct boxes, which come sorted by
+    pattern, so that many patterns are one stream and a task holds one pattern's leaders.
     """
     import pandas as pd
 
     key = ["document_id", "family", "pattern"]
     box = ["rx", "ry", "rw", "rh"]
     rel = {"rx": F.col("x0") / F.col("page_width"), "ry": F.col("y0") / F.col("page_height"), "rw": (F.col("x1") - F.col("x0")) / F.col("page_width"), "rh": (F.col("y1") - F.col("y0")) / F.col("page_height")}
-    r = lines.withColumns({c: F.round(v, 6) for c, v in rel.items()})
+    often = lines.groupBy(*key).agg(F.min("pdf_page").alias("low"), F.max("pdf_page").alias("high")).filter("low < high").select(*key)
+    r = lines.join(often, key, "left_semi").withColumns({c: F.round(v, 6) for c, v in rel.items()})
     places = r.groupBy(*key, *box).agg(F.min("pdf_page").alias("first_page"))
 
-    def lead(group: pd.DataFrame) -> pd.DataFrame:
-        found: list[tuple[float, ...]] = []
-        chosen = []
-        group = group.sort_values(["first_page", "ry", "rx"], kind="stable")
-        for x, y, w, h in group[box].itertuples(index=False):
-            k = next((k for k, (a, b, c, d) in enumerate(found) if abs(a - x) <= position and abs(b - y) <= position and abs(c - w) <= size and abs(d - h) <= size), None)
-            if k is None:
-                k = len(found)
-                found.append((x, y, w, h))
-            chosen.append(k)
-        return group.assign(leader=chosen)[[*key, *box, "leader"]]
-
-    led = places.groupBy(*key).applyInPandas(lead, "document_id string, family string, pattern string, rx double, ry double, rw double, rh double, leader long")
+    def lead(batches):
+        pattern, found = None, []
+        for batch in batches:
+            chosen = []
+            for *of, x, y, w, h in batch[[*key, *box]].itertuples(index=False):
+                if of != pattern:
+                    pattern, found = of, []
+                k = next((k for k, (a, b, c, d) in enumerate(found) if abs(a - x) <= position and abs(b - y) <= position and abs(c - w) <= size and abs(d - h) <= size), None)
+                if k is None:
+                    k = len(found)
+                    found.append((x, y, w, h))
+                chosen.append(k)
+            yield batch[[*key, *box]].assign(leader=pd.Series(chosen, batch.index, "int64"))
+
+    by_place = places.repartition(*key).sortWithinPartitions(*key, F.col("first_page").asc_nulls_last(), "ry", "rx", "rw", "rh")
+    led = by_place.mapInPandas(lead, "document_id string, family string, pattern string, rx double, ry double, rw double, rh double, leader long")
     total = lines.groupBy("document_id").agg(F.countDistinct("pdf_page").alias("n_pages"))
     g = r.join(led, [*key, *box]).groupBy(*key, "leader").agg(F.countDistinct("pdf_page").alias("pages")).filter("pages >= 2").join(total, "document_id")
     return g.select(*key, "leader", "pages", "n_pages", F.round(F.col("pages") / F.col("n_pages"), 6).alias("frequency"), (F.col("pages") / F.col("n_pages") >= 0.5).alias("repeated"))
