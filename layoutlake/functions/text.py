@@ -36,9 +36,8 @@ def collapse(c: Column) -> Column:
 
 
 def uppercase_ratio(c: Column) -> Column:
-    letters = F.length(F.regexp_replace(c, r"[^\p{L}]", ""))
-    upper = F.length(F.regexp_replace(c, r"[^\p{Lu}]", ""))
-    return F.when(letters > 0, upper / letters).otherwise(0.0)
+    letters, upper = F.regexp_count(c, F.lit(r"\p{L}")), F.regexp_count(c, F.lit(r"\p{Lu}"))
+    return F.coalesce(F.try_divide(upper, letters), F.lit(0.0))
 
 
 def visible_chars(c: Column) -> Column:
@@ -106,16 +105,17 @@ def stamp_code(c: Column) -> Column:
 
 def rights_notice(c: Column) -> tuple[Column, Column]:
     """Status (accepted, ambiguous, none) and marker of a rights notice."""
-    text = F.lower(c)
-    text = F.regexp_replace(F.trim(F.regexp_replace(text, r"\s+", " ")), r"^[ .;:!\-–—…]+|[ .;:!\-–—…]+$", "")
-    whole = [(m, p) for m, p in NOTICES]
-    marker = F.lit(None).cast("string")
-    for m, p in reversed(whole):
-        marker = F.when(text.rlike(f"^(?:{p})$"), m).otherwise(marker)
-    part = F.lit(False)
-    for _, p in whole:
-        part = part | text.rlike(p)
-    return F.when(marker.isNotNull(), "accepted").when(part, "ambiguous").otherwise("none"), marker
+    low = F.trim(F.regexp_replace(F.lower(c), r"\s+", " "))
+
+    def of(line: Column) -> Column:
+        marker, part = F.lit(None).cast("string"), F.lit(False)
+        for m, p in reversed(NOTICES):
+            marker = F.when(line.rlike(f"^(?:{p})$"), m).otherwise(marker)
+            part = line.rlike(p) | part
+        return bound(marker, lambda m: F.struct(F.when(m.isNotNull(), "accepted").when(part, "ambiguous").otherwise("none").alias("status"), m.alias("marker")))
+
+    found = bound(F.regexp_replace(low, r"^[ .;:!\-–—…]+|[ .;:!\-–—…]+$", ""), of)
+    return found["status"], found["marker"]
 
 
 # Rights notices by name.
@@ -140,9 +140,9 @@ KEYWORDS = {
 }
 
 
-def flags(c: Column) -> dict[str, Column]:
-    """The keyword and pattern flags of a region's text."""
-    lower = F.lower(c)
+def flags(c: Column, lower: Column | None = None) -> dict[str, Column]:
+    """The keyword and pattern flags of a region's text; ``lower`` is that in lower case if a column has it already."""
+    lower = F.lower(c) if lower is None else lower
     line = F.trim(lower)
     out = {}
     for name, keys in KEYWORDS.items():

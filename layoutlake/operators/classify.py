@@ -2,8 +2,9 @@
 
 Each step takes regions and gives them back with ``type``, ``excluded`` and the reason
 of the step; a rule is one branch of a ``when`` chain and the first that fits decides.
-Only two steps look beyond a region: the header zone (an aggregate of its page) and
-thumbnails (a join within the page).
+Thumbnails, the header zone and the font of bodies look beyond a region.  They are windows
+over its page, never joins of a step's rows with themselves: each such join would run all
+steps before it once more.  A page without a number has no zone, thumbnail or font.
 """
 
 from __future__ import annotations
@@ -62,7 +63,12 @@ def complete(regions: DataFrame) -> DataFrame:
 
 
 def word_count(c: Column) -> Column:
-    return F.size(text.words(c))
+    return F.regexp_count(c, F.lit(text.WORD))
+
+
+def of_page(aggregate: Column) -> Column:
+    """``aggregate`` over a region's page; null without a page."""
+    return F.when(F.col("document_id").isNotNull() & F.col("pdf_page").isNotNull(), aggregate.over(Window.partitionBy(*PAGE)))
 
 
 def blocked() -> Column:
@@ -103,7 +109,7 @@ def watermark_score(pages: Column, s: WatermarkSettings = WatermarkSettings()) -
     score = (
         _points(strong, 0.70) + _points(weak, 0.30) + _points(sure(F.col("median_opacity") < s.opacity), 0.12) + _points(F.col("pale"), 0.08) + _points(repeated, 0.16)
         + _points(sure(sized & edge), 0.09) + _points(sure(sized & strip), 0.08)
-        - _points((word_count(line) >= s.long_words) | (F.length(line) > s.long_chars), 0.35) - _points(sure(F.col("raw_label") == "section_header"), 0.25)
+        - _points((F.length(line) > s.long_chars) | (word_count(line) >= s.long_words), 0.35) - _points(sure(F.col("raw_label") == "section_header"), 0.25)
     )
     return F.round(score, 4), strong | weak | repeated & sure(sized & strip)
 
@@ -119,11 +125,16 @@ def looks_like_thumbnail() -> Column:
 
 def technical(regions: DataFrame, s: WatermarkSettings = WatermarkSettings()) -> DataFrame:
     """Rights notices, watermarks, adverts and thumbnails; ``technical_reason`` says which rule decided."""
-    pages = regions.groupBy("document_id").agg(F.countDistinct("pdf_page").alias("_pages"))
-    r = complete(regions).join(pages, "document_id")
+    r = complete(regions)
+    if "boilerplate_frequency" in regions.columns:  # without it no line is known as repeated
+        pages = regions.groupBy("document_id").agg(F.countDistinct("pdf_page").alias("_pages"))
+        r = r.join(pages, "document_id", "left")
+    else:
+        r = r.withColumn("_pages", F.lit(None).cast("long"))
     status, _ = text.rights_notice(F.col("text"))
     score, supported = watermark_score(F.col("_pages"), s)
-    flags = text.flags(F.col("text"))
+    r = r.withColumn("_low", F.lower("text"))
+    flags = text.flags(F.col("text"), F.col("_low"))
     reason = (
         F.when(F.col("type") == "caption", "caption")
         .when(looks_like_thumbnail(), "thumbnail")
@@ -134,31 +145,36 @@ def technical(regions: DataFrame, s: WatermarkSettings = WatermarkSettings()) ->
         .when(flags["has_ad"], "advertisement")
     )
     kind = F.when(reason == "thumbnail", "article_position_thumbnail").when(reason.isin("rights_notice", "watermark", "advertisement"), reason).otherwise(F.col("type"))
-    out = r.withColumn("watermark_score", score).withColumn("technical_reason", reason).withColumn("excluded", F.col("excluded") | F.coalesce(reason.isin("known", "rights_notice", "watermark", "advertisement"), F.lit(False))).withColumn("type", kind).drop("_pages")
+    out = r.withColumn("watermark_score", score).withColumn("technical_reason", reason).withColumn("excluded", F.col("excluded") | F.coalesce(reason.isin("known", "rights_notice", "watermark", "advertisement"), F.lit(False))).withColumn("type", kind).drop("_pages", "_low")
     # what lies in a thumbnail is no text of the page
-    inner = F.col("type") == "article_position_thumbnail"
-    thumbs = out.filter(inner).select(*PAGE, F.col("region_ord").alias("_t"), *(F.col(c).alias(f"_t{c}") for c in ("x0", "y0", "x1", "y1")))
-    within = out.join(thumbs, PAGE).filter((F.col("region_ord") != F.col("_t")) & (geometry.containment(geometry.box(), geometry.box("_t"), 1.0) >= 0.80)).select(*PAGE, "region_ord", F.lit(True).alias("_in")).distinct()
-    out = out.join(within, [*PAGE, "region_ord"], "left")
+    box = ("x0", "y0", "x1", "y1")
+    inner = F.when(F.col("type") == "article_position_thumbnail", F.struct("region_ord", *box))
+    out = out.withColumn("_thumbs", of_page(F.collect_list(inner)))
+    within = F.exists("_thumbs", lambda t: (F.col("region_ord") != t["region_ord"]) & (geometry.containment(geometry.box(), tuple(t[c] for c in box), 1.0) >= 0.80))
+    out = out.withColumn("_in", within)
     found = F.coalesce("_in", F.lit(False))
-    return out.withColumns({"in_thumbnail": F.col("in_thumbnail") | found, "excluded": F.col("excluded") | found, "type": F.when(found & ~F.col("type").isin("watermark", "rights_notice", "article_position_thumbnail"), "unknown").otherwise(F.col("type"))}).drop("_in")
+    return out.withColumns({"in_thumbnail": F.col("in_thumbnail") | found, "excluded": F.col("excluded") | found, "type": F.when(found & ~F.col("type").isin("watermark", "rights_notice", "article_position_thumbnail"), "unknown").otherwise(F.col("type"))}).drop("_in", "_thumbs")
 
 
 def audience_metadata(s: SeedSettings = SeedSettings()) -> Column:
-    """A technical sheet (circulation, readers, editor) in the band at the top of a page."""
-    low = F.lower(text.collapse(F.col("text")))
+    """A technical sheet (circulation, readers, editor) in the band at the top of a page; ``_low`` is the text in lower case."""
     limit = F.least(F.lit(s.audience_points), s.audience_height * F.col("page_height"))
     placed = F.coalesce((F.col("page_height") > 0) & geometry.valid_box(geometry.box()) & (F.col("y0") >= 0) & (F.col("y1") <= limit), F.lit(False))
-    labelled = low.rlike(r"\b(?:tiratura|diffusione|lettori|superficie)\s*[:=]") | low.rlike(r"\bdir\.?\s*resp\.?\s*:") | low.rlike(r"^(?:quotidiano|settimanale|mensile)\s*[-–:]")
-    labels = F.size(F.array_distinct(F.regexp_extract_all(low, F.lit(r"\b(?:tiratura|diffusione|lettori)\b"), F.lit(0))))
-    absent = (labels >= 2) & low.rlike(r"\bnon disponibili\b|\bn\.?d\.?(?:$|[^a-z0-9])|\d")
-    marked = low.rlike(r"\b(?:superficie|tiratura|diffusione|lettori|quotidiano)\b") | low.rlike(r"\bdir\.?\s*resp\b")
-    return placed & marked & (labelled | absent)
+
+    def of(low: Column) -> Column:
+        labelled = low.rlike(r"\b(?:tiratura|diffusione|lettori|superficie)\s*[:=]") | low.rlike(r"\bdir\.?\s*resp\.?\s*:") | low.rlike(r"^(?:quotidiano|settimanale|mensile)\s*[-–:]")
+        labels = F.size(F.array_distinct(F.regexp_extract_all(low, F.lit(r"\b(?:tiratura|diffusione|lettori)\b"), F.lit(0))))
+        absent = (labels >= 2) & low.rlike(r"\bnon disponibili\b|\bn\.?d\.?(?:$|[^a-z0-9])|\d")
+        marked = low.rlike(r"\b(?:superficie|tiratura|diffusione|lettori|quotidiano)\b") | low.rlike(r"\bdir\.?\s*resp\b")
+        return marked & (labelled | absent)
+
+    return placed & text.bound(text.collapse(F.col("_low")), of)
 
 
 def seed_reason(s: SeedSettings = SeedSettings()) -> Column:
-    """Why a region is metadata of a clipping; null if it isn't."""
-    low, f = F.lower("text"), text.flags(F.col("text"))
+    """Why a region is metadata of a clipping; null if it isn't.  ``_low`` is the text in lower case."""
+    low = F.col("_low")
+    f = text.flags(F.col("text"), low)
     from_page = F.contains(low, F.lit("da pag"))
     known = lambda kind: F.coalesce((F.col("entity_kind") == kind) & ~F.col("entity_ambiguous"), F.lit(False))
     marks = from_page.cast("int") + f["has_foglio"].cast("int") + f["has_date"].cast("int")
@@ -180,13 +196,13 @@ SEED_TYPES = {"source": "source_name", "provider": "press_review_provider", "com
 
 def metadata_seeds(regions: DataFrame, s: SeedSettings = SeedSettings()) -> DataFrame:
     """Types of metadata for regions that are neither technical nor excluded; ``seed_reason`` says why."""
-    r = complete(regions)
+    r = complete(regions).withColumn("_low", F.lower("text"))
     open_ = ~F.col("type").isin(*TECHNICAL) & ~F.col("excluded") & (F.col("text") != "")
     reason = F.when(open_, F.when(F.col("type").isin(*SEEDS), "preexisting_type").otherwise(seed_reason(s)))
     r = r.withColumn("seed_reason", reason)
     types = F.create_map(*[F.lit(x) for pair in SEED_TYPES.items() for x in pair])
     kind = F.coalesce(F.try_element_at(types, F.col("seed_reason")), F.col("type"))
-    return r.withColumn("type", kind).withColumn("excluded", F.col("excluded") | F.coalesce(F.col("seed_reason") != "preexisting_type", F.lit(False)))
+    return r.withColumn("type", kind).withColumn("excluded", F.col("excluded") | F.coalesce(F.col("seed_reason") != "preexisting_type", F.lit(False))).drop("_low")
 
 
 def header_zone(regions: DataFrame, s: SeedSettings = SeedSettings()) -> DataFrame:
@@ -195,29 +211,30 @@ def header_zone(regions: DataFrame, s: SeedSettings = SeedSettings()) -> DataFra
     limit = s.zone_height * F.col("page_height")
     upright = (F.col("x1") - F.col("x0") < 30) & (F.col("y1") - F.col("y0") > 120)
     seed = F.col("type").isin(*SEEDS) & F.coalesce((F.col("y0") <= limit) & ~upright, F.lit(False))
-    zones = r.filter(seed).groupBy(*PAGE).agg(F.least(F.max("y1") + s.zone_padding, F.max(limit)).alias("zone_bottom"))
-    r = r.join(zones, PAGE, "left")
+    r = r.withColumns({"_low": F.lower("text"), "_bottom": of_page(F.max(F.when(seed, F.col("y1")))), "_limit": of_page(F.max(F.when(seed, limit)))})
+    r = r.withColumn("zone_bottom", F.least(F.col("_bottom") + s.zone_padding, "_limit")).drop("_bottom", "_limit")
     protected = F.col("type").isin(*TECHNICAL) | F.col("excluded") & ~F.col("type").isin(*SEEDS)
     inside = ~protected & F.coalesce(geometry.valid_box(geometry.box()) & (F.col("y0") >= 0) & (F.col("y1") <= F.col("zone_bottom")), F.lit(False))
-    low = F.lower("text")
+    low = F.col("_low")
     marked = F.coalesce(F.col("raw_label") == "page_header", F.lit(False))
     for m in ZONE_MARKERS:
         marked = marked | F.contains(low, F.lit(m))
     role = F.when(inside, F.when(F.col("type").isin(*SEEDS), "seed").when(marked, "metadata_marker").otherwise("unresolved_header_content"))
-    return r.withColumn("zone_role", role).withColumns({"in_zone": F.col("in_zone") | F.col("zone_role").isNotNull(), "type": F.when(F.col("zone_role") == "metadata_marker", "header_metadata").otherwise(F.col("type")), "excluded": F.col("excluded") | F.coalesce(F.col("zone_role") != "seed", F.lit(False))})
+    return r.withColumn("zone_role", role).withColumns({"in_zone": F.col("in_zone") | F.col("zone_role").isNotNull(), "type": F.when(F.col("zone_role") == "metadata_marker", "header_metadata").otherwise(F.col("type")), "excluded": F.col("excluded") | F.coalesce(F.col("zone_role") != "seed", F.lit(False))}).drop("_low")
 
 
 def like_location() -> Column:
-    low, f = F.lower("text"), text.flags(F.col("text"))
+    low = F.col("_low")
+    f = text.flags(F.col("text"), low)
     vetoes = f["has_url"] | f["has_foglio"] | f["has_superficie"] | f["has_tiratura"] | f["has_diffusione"] | f["has_lettori"] | f["has_quotidiano"] | f["has_newsletter"] | f["has_related"] | f["has_author"] | low.rlike(r"\bdir\.?\s*resp\b")
     named = F.coalesce((F.col("entity_kind") == "location") & ~F.col("entity_ambiguous"), F.lit(False))
-    return named & ~low.rlike("[,:]") & (word_count(F.col("text")) <= 5) & (F.length("text") <= 100) & ~vetoes
+    return named & ~low.rlike("[,:]") & (F.col("_words") <= 5) & (F.length("text") <= 100) & ~vetoes
 
 
 def seed_veto(body_font: Column, s: SeedSettings = SeedSettings()) -> Column:
-    """What speaks against a region as a seed of body text; null if nothing does."""
-    f, n = text.flags(F.col("text")), word_count(F.col("text"))
-    low = F.lower("text")
+    """What speaks against a region as a seed of body text; null if nothing does.  ``_low`` and ``_words`` are its text in lower case and its words' number."""
+    low, n = F.col("_low"), F.col("_words")
+    f = text.flags(F.col("text"), low)
     ratio = F.col("median_font_size") / body_font
     sure = lambda c: F.coalesce(c, F.lit(False))
     return (
@@ -236,11 +253,11 @@ def seed_veto(body_font: Column, s: SeedSettings = SeedSettings()) -> Column:
 
 def semantic(regions: DataFrame, s: SeedSettings = SeedSettings()) -> DataFrame:
     """Locations, navigation, related content and body seeds; ``seed_veto`` says why a text is no seed."""
-    r = complete(regions)
-    usual = (F.col("raw_label") == "text") & (F.col("text") != "") & ~F.col("excluded") & ~F.col("in_zone") & (F.col("type") == "unknown") & (word_count(F.col("text")) >= s.least_words) & (F.col("median_font_size") > 0)
-    fonts = r.filter(usual).groupBy(*PAGE).agg(F.median("median_font_size").alias("_body_font"))
-    r = r.join(fonts, PAGE, "left").withColumn("seed_veto", seed_veto(F.col("_body_font"), s))
-    f, n = text.flags(F.col("text")), word_count(F.col("text"))
+    r = complete(regions).withColumns({"_low": F.lower("text"), "_words": word_count(F.col("text"))})
+    usual = (F.col("raw_label") == "text") & (F.col("text") != "") & ~F.col("excluded") & ~F.col("in_zone") & (F.col("type") == "unknown") & (F.col("_words") >= s.least_words) & (F.col("median_font_size") > 0)
+    r = r.withColumn("_body_font", of_page(F.median(F.when(usual, F.col("median_font_size")))))
+    r = r.withColumn("seed_veto", seed_veto(F.col("_body_font"), s))
+    f, n = text.flags(F.col("text"), F.col("_low")), F.col("_words")
     fixed = F.col("excluded") | F.col("in_zone") | F.col("type").isin(*SEEDS) | F.col("type").isin(*TECHNICAL) | F.col("type").isin("article_section_header", "article_kicker")
     kind = (
         F.when(fixed, F.col("type"))
@@ -250,7 +267,7 @@ def semantic(regions: DataFrame, s: SeedSettings = SeedSettings()) -> DataFrame:
         .when((F.col("type") == "unknown") & F.col("seed_veto").isNull(), "article_body")
         .otherwise(F.col("type"))
     )
-    return r.withColumn("type", kind).drop("_body_font")
+    return r.withColumn("type", kind).drop("_body_font", "_low", "_words")
 
 
 def refined_pages(pages: DataFrame) -> DataFrame:

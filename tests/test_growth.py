@@ -1,8 +1,10 @@
 """Steps whose cost must follow the rows, not groups, copies of a plan or sizes of values."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from layoutlake.operators import claims
+from layoutlake.plans.catalogue import QUERIES
 
 
 def plan(df):
@@ -21,3 +23,9 @@ def test_leaders_stream_patterns(spark):
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     assert got == [("a", 0, 2, 5), ("a", 1, 2, 5), ("b", 0, 2, 5)]
+
+
+@pytest.mark.parametrize("name", ["q84_header_zone_roles", "q85_body_seeds", "q86_eligibility"])
+def test_classifier_reads_once(spark, name):
+    """The classifier's steps never join their own rows, so the tables are read once."""
+    assert plan(QUERIES[name](spark, "/root/testdata/sf0.001")).count("Relation [") == 1
