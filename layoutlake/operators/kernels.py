@@ -34,6 +34,31 @@ def by_page(rows: DataFrame, kernel: Callable[[pd.DataFrame], pd.DataFrame], sch
     return rows.groupBy("document_id", F.floor(F.col("pdf_page") / PAGES_TOGETHER)).applyInPandas(run, schema)
 
 
+def columns_by_page(rows: DataFrame, kernel: Callable[[dict[str, np.ndarray]], dict[str, list]], names: list[str], added: dict[str, str]) -> DataFrame:
+    """``rows`` with the columns ``added`` (name: pandas type) that ``kernel`` finds for each page.
+
+    The kernel gets the columns ``names`` of one page as arrays and gives a list for each
+    column.  Pages are slices of their block's arrays: a frame for each page would cost
+    more than most pages take.
+    """
+    kinds = {"Int64": "long", "int64": "long", "float64": "double", "object": "string"}
+    kept = [f for f in rows.schema.fields if f.name not in added]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept] + [f"`{c}` {kinds[t]}" for c, t in added.items()])
+
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        codes = pd.factorize(block.pdf_page, use_na_sentinel=False)[0]
+        order = np.argsort(codes, kind="stable")
+        arrays = {c: block[c].to_numpy()[order] for c in names}
+        edges = [0, *(np.flatnonzero(np.diff(codes[order])) + 1).tolist(), len(order)]
+        found: dict[str, list] = {c: [] for c in added}
+        for a, b in zip(edges, edges[1:]):
+            for c, values in kernel({n: v[a:b] for n, v in arrays.items()}).items():
+                found[c].extend(values)
+        return block.iloc[order].assign(**{c: pd.array(found[c], t) if t != "object" else np.array(found[c], object) for c, t in added.items()})[[*(f.name for f in kept), *added]]
+
+    return rows.groupBy("document_id", F.floor(F.col("pdf_page") / PAGES_TOGETHER)).applyInPandas(run, schema)
+
+
 @dataclass(frozen=True)
 class ColumnSettings:
     #: Largest distance of a left edge from a column's median, as a share of the page width.
@@ -63,12 +88,19 @@ def _middle(ascending: list[float]) -> float:
     return (ascending[(n - 1) // 2] + ascending[n // 2]) / 2
 
 
+COLUMN_INPUT = ["x0", "y0", "page_width", "region_ord"]
+
+
 def page_columns(page: pd.DataFrame, settings: ColumnSettings = ColumnSettings()) -> pd.DataFrame:
     """``page`` with ``column``: regions by left edge, each to the nearest column within reach."""
+    return page.assign(**_columns({c: page[c].to_numpy() for c in COLUMN_INPUT}, settings))
+
+
+def _columns(page: dict[str, np.ndarray], settings: ColumnSettings = ColumnSettings()) -> dict[str, list]:
     found: list[list[float]] = []  # ascending left edges, as regions come by them
-    owner = [0] * len(page)
-    x0, width = page.x0.tolist(), page.page_width.tolist()
-    for i in np.lexsort((page.region_ord, page.y0, page.x0)).tolist():
+    x0, width = page["x0"].tolist(), page["page_width"].tolist()
+    owner = [0] * len(x0)
+    for i in np.lexsort((page["region_ord"], page["y0"], page["x0"])).tolist():
         distance = [abs(_middle(c) - x0[i]) for c in found]
         near = [(d, k) for k, d in enumerate(distance) if d <= settings.tolerance * width[i]]
         owner[i] = k = min(near)[1] if near else len(found)
@@ -76,12 +108,11 @@ def page_columns(page: pd.DataFrame, settings: ColumnSettings = ColumnSettings()
             found.append([])
         found[k].append(x0[i])
     order = {k: n for n, k in enumerate(sorted(range(len(found)), key=lambda k: _middle(found[k])))}
-    return page.assign(column=[order[k] for k in owner])
+    return {"column": [order[k] for k in owner]}
 
 
 def columns(regions: DataFrame) -> DataFrame:
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in regions.schema.fields) + ", column long"
-    return by_page(regions, page_columns, schema)
+    return columns_by_page(regions, _columns, COLUMN_INPUT, {"column": "int64"})
 
 
 @dataclass(frozen=True)
@@ -99,13 +130,21 @@ def _overlap(a: tuple[float, float], b: tuple[float, float]) -> float:
     return max(0.0, min(a[1], b[1]) - max(a[0], b[0])) / width if width > 0 else 0.0
 
 
+ORDER_INPUT = ["x0", "y0", "x1", "y1", "region_ord", "kind"]
+
+
 def page_order(page: pd.DataFrame, s: OrderSettings = OrderSettings()) -> pd.DataFrame:
     """``page`` with ``column``, ``place`` in the reading order and its ``confidence``.
 
     Columns come from bodies of usual width.  Regions that span two columns cut the page
     into bands; the order is by band, column and height.  Regions without a box come last.
     """
-    rows = list(zip(*(page[c].tolist() for c in ("x0", "y0", "x1", "y1", "region_ord", "kind")), strict=True))
+    found = _order({c: page[c].to_numpy() for c in ORDER_INPUT}, s)
+    return page.assign(**{**found, "column": pd.array(found["column"], "Int64")})
+
+
+def _order(page: dict[str, np.ndarray], s: OrderSettings = OrderSettings()) -> dict[str, list]:
+    rows = list(zip(*(page[c].tolist() for c in ORDER_INPUT), strict=True))
     boxed = [k for k, (x0, y0, x1, y1, *_) in enumerate(rows) if all(c is not None and abs(c) < float("inf") for c in (x0, y0, x1, y1)) and x1 > x0 and y1 > y0]
     height = lambda k: (rows[k][1], rows[k][0], rows[k][4])
     bodies = [k for k in boxed if rows[k][5] == "body"]
@@ -145,18 +184,17 @@ def page_order(page: pd.DataFrame, s: OrderSettings = OrderSettings()) -> pd.Dat
             confidence = min(confidence, 0.55)
         place[k], columns_[k], confidences[k] = n + 1, column, confidence
         before = k, column
-    return page.assign(column=pd.array(columns_, "Int64"), place=place, confidence=confidences)
+    return {"column": columns_, "place": place, "confidence": confidences}
 
 
 def reading_order(regions: DataFrame) -> DataFrame:
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in regions.schema.fields) + ", column long, place long, confidence double"
-    return by_page(regions, page_order, schema)
+    return columns_by_page(regions, _order, ORDER_INPUT, {"column": "Int64", "place": "int64", "confidence": "float64"})
 
 
-def _scores(boxes: np.ndarray, a: int, s: ContinuationSettings) -> np.ndarray:
-    """How well each box continues box ``a``; 0 for a veto."""
+def _scores(boxes: np.ndarray, a: int | slice, s: ContinuationSettings) -> np.ndarray:
+    """How well each box continues box ``a``, or a row for each box of a slice; 0 for a veto."""
     x0, y0, x1, y1 = boxes.T
-    own = boxes[a]
+    own = boxes[a].T[..., None] if isinstance(a, slice) else boxes[a]
     shift = np.abs(own[0] - x0)
     gap = np.maximum(0.0, np.maximum(y0 - own[3], own[1] - y1))
     wide, own_wide = x1 - x0, own[2] - own[0]
@@ -167,6 +205,11 @@ def _scores(boxes: np.ndarray, a: int, s: ContinuationSettings) -> np.ndarray:
     return np.where((shift > s.largest_shift) | (gap > s.largest_gap) | (overlap < s.least_overlap), 0.0, np.round(score, 4))
 
 
+MEMBER_INPUT = ["x0", "y0", "x1", "y1", "region_ord", "kind", "article_id"]
+#: Regions up to which all pairs of a page are scored in one expression.
+FEW = 64
+
+
 def page_membership(page: pd.DataFrame, settings: ContinuationSettings = ContinuationSettings()) -> pd.DataFrame:
     """Spread owners to open bodies, best pair first, until nothing more is decided.
 
@@ -174,22 +217,27 @@ def page_membership(page: pd.DataFrame, settings: ContinuationSettings = Continu
     scored then, each owner keeps its best score for every body.  A body whose two best
     owners are closer than the margin stays open.
     """
-    boxes = page[["x0", "y0", "x1", "y1"]].to_numpy(float)
-    names = [a if isinstance(a, str) else None for a in page.article_id]
+    return page.assign(**_members({c: page[c].to_numpy() for c in MEMBER_INPUT}, settings))
+
+
+def _members(page: dict[str, np.ndarray], settings: ContinuationSettings = ContinuationSettings()) -> dict[str, list]:
+    names = [a if isinstance(a, str) else None for a in page["article_id"]]
     owners = sorted({a for a in names if a is not None})
     place = {o: k for k, o in enumerate(owners)}
-    open_ = np.array([a is None and kind == "body" for a, kind in zip(names, page.kind, strict=True)], bool)
+    open_ = np.array([a is None and kind == "body" for a, kind in zip(names, page["kind"], strict=True)], bool)
     score = [1.0 if a is not None else None for a in names]
     if owners and open_.any():
-        best = np.zeros((len(owners) + 1, len(page)))  # a row of zeros stands for nobody
+        boxes = np.stack([page[c].astype(float) for c in ("x0", "y0", "x1", "y1")], axis=1)
+        each = _scores(boxes, slice(None), settings) if len(names) <= FEW else None
+        best = np.zeros((len(owners) + 1, len(names)))  # a row of zeros stands for nobody
 
         def refer(a: int) -> None:
             row = best[place[names[a]]]
-            np.maximum(row, _scores(boxes, a, settings), out=row)
+            np.maximum(row, _scores(boxes, a, settings) if each is None else each[a], out=row)
 
         for a in [k for k, name in enumerate(names) if name is not None]:
             refer(a)
-        order = np.lexsort((page.region_ord.to_numpy(), boxes[:, 1]))
+        order = np.lexsort((page["region_ord"], boxes[:, 1]))
         while open_.any():
             two = np.partition(best, len(owners) - 1, axis=0)[-2:]
             fits = open_ & (two[1] >= settings.threshold) & (two[1] - two[0] >= settings.margin)
@@ -200,13 +248,17 @@ def page_membership(page: pd.DataFrame, settings: ContinuationSettings = Continu
             names[k], score[k] = owners[int(np.argmax(best[:, k]))], float(two[1][k])
             open_[k] = False
             refer(k)
-    return page.assign(article_id=names, score=score)
+    return {"article_id": names, "score": score}
 
 
 def membership(regions: DataFrame) -> DataFrame:
     """``regions`` has kind and article_id (null where open); ``score`` is added."""
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in regions.schema.fields) + ", score double"
-    return by_page(regions, page_membership, schema)
+    return columns_by_page(regions, _members, MEMBER_INPUT, {"article_id": "object", "score": "float64"}).select(*regions.columns, "score")
+
+
+def members_in_order(regions: DataFrame) -> DataFrame:
+    """``membership`` and ``reading_order`` in one pass over the pages."""
+    return columns_by_page(regions, lambda page: {**_members(page), **_order(page)}, MEMBER_INPUT, {"article_id": "object", "score": "float64", "column": "Int64", "place": "int64", "confidence": "float64"})
 
 
 @dataclass(frozen=True)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layoutlake.functions import geometry
-from layoutlake.operators.kernels import by_page
+from layoutlake.operators.kernels import columns_by_page
 
 PAGE = ["document_id", "pdf_page"]
 
@@ -75,7 +75,7 @@ def bootstrap(groups: DataFrame, least: float = 0.72, margin: float = 0.12) -> D
 class Round:
     """A scorer with its threshold, its lead and how many rounds it may take (0: until nothing changes)."""
 
-    score: Callable[[np.ndarray, np.ndarray, pd.DataFrame], np.ndarray]
+    score: Callable[[np.ndarray, dict[str, np.ndarray]], np.ndarray]
     threshold: float
     margin: float
     rounds: int = 0
@@ -98,28 +98,30 @@ def _pairs(boxes: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def _same(values: pd.Series) -> np.ndarray:
+def _known(values: np.ndarray) -> np.ndarray:
+    return np.array([x is not None and x == x for x in values], bool)
+
+
+def _same(v: np.ndarray) -> np.ndarray:
     """Known and equal values of both sides."""
-    v = values.to_numpy(object)
-    known = np.array([x is not None and x == x for x in v])
-    return (v[:, None] == v[None, :]) & known[:, None] & known[None, :]
+    known = _known(v)
+    return (v[:, None] == v[None, :]) & known[:, None] & known[None, :] if known.any() else np.zeros((len(v), len(v)), bool)
 
 
-def _differ(values: pd.Series) -> np.ndarray:
-    v = values.to_numpy(object)
-    known = np.array([x is not None and x == x for x in v])
-    return (v[:, None] != v[None, :]) & known[:, None] & known[None, :]
+def _differ(v: np.ndarray) -> np.ndarray:
+    known = _known(v)
+    return (v[:, None] != v[None, :]) & known[:, None] & known[None, :] if known.any() else np.zeros((len(v), len(v)), bool)
 
 
-def refinement(boxes: np.ndarray, refs: np.ndarray, page: pd.DataFrame) -> np.ndarray:
+def refinement(boxes: np.ndarray, page: dict[str, np.ndarray]) -> np.ndarray:
     """A body next to an owned one in its lane and of its zone."""
-    p, height = _pairs(boxes), float(page.page_height.iloc[0] or 842.0)
+    p, height = _pairs(boxes), float(page["page_height"][0] or 842.0)
     most = min(max(0.13 * height, 56.0), 100.0)
-    score = 0.43 * p["overlap"] + 0.29 * (1 - p["gap"] / most) + 0.20 * _same(page.zone) + 0.10 * (np.abs(page.font.to_numpy(float)[:, None] / page.font.to_numpy(float)[None, :] - 1) <= 0.25)
-    return np.where((p["overlap"] < 0.52) | (p["gap"] > most) | _differ(page.zone), 0.0, np.round(score, 4))
+    score = 0.43 * p["overlap"] + 0.29 * (1 - p["gap"] / most) + 0.20 * _same(page["zone"]) + 0.10 * (np.abs(page["font"][:, None] / page["font"][None, :] - 1) <= 0.25)
+    return np.where((p["overlap"] < 0.52) | (p["gap"] > most) | _differ(page["zone"]), 0.0, np.round(score, 4))
 
 
-def columns_right(boxes: np.ndarray, refs: np.ndarray, page: pd.DataFrame) -> np.ndarray:
+def columns_right(boxes: np.ndarray, page: dict[str, np.ndarray]) -> np.ndarray:
     """A body beside an owned one, to its right, at its height."""
     p = _pairs(boxes)
     most = max(24.0, 0.45 * float(np.median(boxes[:, 2] - boxes[:, 0])))
@@ -128,17 +130,17 @@ def columns_right(boxes: np.ndarray, refs: np.ndarray, page: pd.DataFrame) -> np
     return np.where((p["right"] < -8) | (gap > most) | (p["widths"] < 0.72) | (p["vertical"] < 0.60), 0.0, np.round(score, 4))
 
 
-def everywhere(boxes: np.ndarray, refs: np.ndarray, page: pd.DataFrame) -> np.ndarray:
+def everywhere(boxes: np.ndarray, page: dict[str, np.ndarray]) -> np.ndarray:
     """All evidence of a page at once: zone, header above, column, neighbours."""
     p = _pairs(boxes)
-    title = (page.kind.to_numpy(object) == "title")[None, :]
+    title = (page["kind"] == "title")[None, :]
     header = np.where(title & (p["below"] >= 0) & (p["below"] <= 320), 0.28 * p["overlap"] + 0.13 * (1 - p["below"] / 320), 0.0)
     lane = np.where(~title, np.where((p["overlap"] >= 0.55) & (p["gap"] <= 44), 0.38, np.where(p["overlap"] >= 0.55, 0.35, 0.0)), 0.0)
     only = title.sum() == 1
-    sole = np.where(title & only & (page.chars.to_numpy(float) >= 200)[:, None], 0.32, 0.0)
-    score = 0.28 * _same(page.zone) + header + lane + sole + 0.07 * page.seed.to_numpy(bool)[:, None]
-    structural = (header > 0) | (lane > 0) | (sole > 0) | _same(page.zone)
-    return np.where(_differ(page.zone) | ~structural, 0.0, np.round(np.minimum(score, 1.0), 4))
+    sole = np.where(title & only & (page["chars"] >= 200)[:, None], 0.32, 0.0)
+    score = 0.28 * _same(page["zone"]) + header + lane + sole + 0.07 * page["seed"].astype(bool)[:, None]
+    structural = (header > 0) | (lane > 0) | (sole > 0) | _same(page["zone"])
+    return np.where(_differ(page["zone"]) | ~structural, 0.0, np.round(np.minimum(score, 1.0), 4))
 
 
 REFINEMENT = Round(refinement, 0.70, 0.14, lone_needs_margin=False, candidate=0.20)
@@ -146,20 +148,24 @@ COLUMNS = Round(columns_right, 0.78, 0.12)
 GLOBAL = Round(everywhere, 0.68, 0.14, rounds=4, lone_needs_margin=False, candidate=0.25)
 
 
+BOX = ["x0", "y0", "x1", "y1"]
+INPUT = [*BOX, "region_ord", "kind", "article_id", "zone", "candidate", "font", "chars", "seed", "page_height"]
+
+
 def barriers(page: pd.DataFrame) -> np.ndarray:
     """Whether a title of somebody else stands between an open body (row) and a reference above it (column)."""
-    boxes = page[["x0", "y0", "x1", "y1"]].to_numpy(float)
-    out = np.zeros((len(page), len(page)), bool)
-    for k in np.flatnonzero(page.kind.to_numpy(object) == "title"):
-        x0, y0, x1, y1 = boxes[k]
-        wide = np.minimum(boxes[:, 2] - boxes[:, 0], x1 - x0)
-        meets = np.maximum(0, np.minimum(boxes[:, 2], x1) - np.maximum(boxes[:, 0], x0)) >= 0.2 * np.maximum(wide, 1)
-        above = boxes[:, 3] <= y0
-        below = boxes[:, 1] >= y1
-        blocked = (below & meets)[:, None] & above[None, :]
-        blocked[:, k] = False
-        out |= blocked
-    return out
+    return _barriers(page[BOX].to_numpy(float), np.flatnonzero(page.kind.to_numpy(object) == "title"))
+
+
+def _barriers(boxes: np.ndarray, titles: np.ndarray) -> np.ndarray:
+    """``barriers`` by one product: body below and under the title, reference above it and not itself."""
+    t = boxes[titles]
+    wide = np.minimum((boxes[:, 2] - boxes[:, 0])[:, None], (t[:, 2] - t[:, 0])[None, :])
+    meets = np.maximum(0, np.minimum(boxes[:, 2][:, None], t[:, 2][None, :]) - np.maximum(boxes[:, 0][:, None], t[:, 0][None, :])) >= 0.2 * np.maximum(wide, 1)
+    under = meets & (boxes[:, 1][:, None] >= t[:, 3][None, :])
+    above = boxes[:, 3][None, :] <= t[:, 1][:, None]
+    above[np.arange(len(titles)), titles] = False
+    return under.astype(np.float32) @ above.astype(np.float32) > 0
 
 
 def spread(page: pd.DataFrame, step: Round) -> pd.DataFrame:
@@ -169,19 +175,35 @@ def spread(page: pd.DataFrame, step: Round) -> pd.DataFrame:
     leads the next; what a round decides counts from the next round on.
     """
     page = page.sort_values(["y0", "x0", "region_ord"], kind="stable")
-    boxes = page[["x0", "y0", "x1", "y1"]].to_numpy(float)
-    owner = [a if isinstance(a, str) else None for a in page.article_id]
+    cols = _typed({c: page[c].to_numpy() for c in INPUT})
+    owner, scores = _spread(cols, step)
+    return page.assign(article_id=owner, score=scores)
+
+
+def _typed(page: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    numbers = {"font", "chars", *BOX}
+    objects = {"kind", "zone", "candidate"}
+    return {c: v.astype(float) if c in numbers else v.astype(object) if c in objects else v for c, v in page.items()} | {"boxes": np.stack([page[c].astype(float) for c in BOX], axis=1)}
+
+
+def _spread(page: dict[str, np.ndarray], step: Round) -> tuple[list, list]:
+    """Owners and scores after the rounds of ``step``; ``page`` is in order."""
+    boxes = page["boxes"]
+    owner = [a if isinstance(a, str) else None for a in page["article_id"]]
     scores = [1.0 if a is not None else None for a in owner]
-    open_ = np.array([a is None and k == "body" for a, k in zip(owner, page.kind, strict=True)], bool)
+    open_ = np.array([a is None and k == "body" for a, k in zip(owner, page["kind"], strict=True)], bool)
     if open_.any() and any(owner):
-        pair = np.where(barriers(page), 0.0, step.score(boxes, boxes, page))
+        if "barriers" not in page:  # titles and boxes are the same for all steps
+            page["barriers"] = _barriers(boxes, np.flatnonzero(page["kind"] == "title"))
+        pair = np.where(page["barriers"], 0.0, step.score(boxes, page))
         names = sorted({a for a in owner if a})
-        wanted = page.candidate.to_numpy(object)
-        known = np.array([isinstance(c, str) for c in wanted])
+        place = {n: k for k, n in enumerate(names)}
+        owned = np.array([place[a] if a else -1 for a in owner])
+        wanted = page["candidate"]
+        known = np.array([isinstance(c, str) for c in wanted], bool)
         done = 0
         while open_.any() and (not step.rounds or done < step.rounds):
-            owned = np.array([a or "" for a in owner], object)
-            each = [np.where(owned[None, :] == n, pair, 0.0).max(axis=1) for n in names]
+            each = [pair[:, owned == k].max(axis=1, initial=0.0) for k in range(len(names))]
             each = [np.where((b > 0) & (~known | (wanted == n)), b + step.candidate * (wanted == n), 0.0) for b, n in zip(each, names, strict=True)]
             best = np.round(np.stack([*each, np.zeros(len(owner))], axis=1), 4)
             order = np.argsort(-best, axis=1, kind="stable")
@@ -190,11 +212,12 @@ def spread(page: pd.DataFrame, step: Round) -> pd.DataFrame:
             take = np.flatnonzero(open_ & (first >= step.threshold) & lead)
             if not len(take):
                 break
-            for k in take:
-                owner[k], scores[k] = names[int(order[k, 0])], float(first[k])
+            for k in take.tolist():
+                owned[k] = order[k, 0]
+                owner[k], scores[k] = names[owned[k]], float(first[k])
             open_[take] = False
             done += 1
-    return page.assign(article_id=owner, score=scores)
+    return owner, scores
 
 
 def rounds(regions: DataFrame, *steps: Round) -> DataFrame:
@@ -202,13 +225,15 @@ def rounds(regions: DataFrame, *steps: Round) -> DataFrame:
 
     Columns: region_ord, kind, article_id, zone, candidate, font, chars, seed, boxes and page_height.
     """
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in regions.schema.fields) + ", score double"
 
-    def run(page: pd.DataFrame) -> pd.DataFrame:
-        scores = None
+    def run(page: dict[str, np.ndarray]) -> dict[str, list]:
+        place = np.lexsort((page["region_ord"], page["x0"], page["y0"]))
+        cols = _typed({c: v[place] for c, v in page.items()})
+        scores: list = [None] * len(place)
         for step in steps:
-            page = spread(page.drop(columns="score", errors="ignore"), step)
-            scores = page.score if scores is None else scores.reindex(page.index).fillna(page.score)
-        return page.assign(score=scores)
+            cols["article_id"], found = _spread(cols, step)
+            scores = [f if s is None else s for s, f in zip(scores, found, strict=True)]
+        back = np.argsort(place).tolist()
+        return {"article_id": [cols["article_id"][k] for k in back], "score": [scores[k] for k in back]}
 
-    return by_page(regions, run, schema)
+    return columns_by_page(regions, run, INPUT, {"article_id": "object", "score": "float64"}).select(*regions.columns, "score")

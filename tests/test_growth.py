@@ -1,9 +1,10 @@
 """Steps whose cost must follow the rows, not groups, copies of a plan or sizes of values."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from layoutlake.operators import claims
+from layoutlake.operators import claims, kernels, membership
 from layoutlake.plans.catalogue import QUERIES
 
 
@@ -29,3 +30,21 @@ def test_leaders_stream_patterns(spark):
 def test_classifier_reads_once(spark, name):
     """The classifier's steps never join their own rows, so the tables are read once."""
     assert plan(QUERIES[name](spark, "/root/testdata/sf0.001")).count("Relation [") == 1
+
+
+@pytest.mark.parametrize("name", ["q70_article_records", "q71_document_report"])
+def test_records_run_kernels_once(spark, name):
+    """Regions go to Python once, and the table is read for lines, repeated lines and pages only."""
+    found = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+    assert found.count("FlatMapGroupsInPandas") == 1 and found.count("Relation [") <= 3
+
+
+def test_kernels_take_no_frames():
+    """Page kernels work on slices of a block; a page of a missing number is one page, an empty box takes no owner."""
+    page = pd.DataFrame({"region_ord": [1, 0, 2], "kind": ["body"] * 3, "x0": [20.0, 20.0, None], "y0": [22.0, 0.0, 44.0], "x1": [220.0, 220.0, 220.0], "y1": [42.0, 20.0, 64.0], "article_id": [None, "a", None]})
+    assert kernels._members({c: page[c].to_numpy() for c in page})["article_id"] == ["a", "a", None]
+    rest = page.assign(page_height=800.0, zone=None, candidate=None, font=10.0, chars=250, seed=True)
+    out = membership.spread(rest, membership.REFINEMENT).set_index("region_ord")
+    assert out.article_id.tolist() == ["a", "a", None]
+    titles = rest.assign(kind=["title", "body", "body"], x0=20.0)
+    assert membership.barriers(titles)[2].tolist() == [False, True, False]
