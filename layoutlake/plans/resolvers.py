@@ -187,8 +187,12 @@ def q60_detached_components(spark, sf):
 @query("""SELECT o_orderkey, count(*) AS n_lines, CASE WHEN count(DISTINCT year(l_shipdate)) = 1 THEN min(year(l_shipdate)) END AS unanimous_year FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1""")
 def q62_unanimous_date(spark, sf):
     """A record's date is filled in only if its pages agree."""
-    j = src.read(spark, sf, "orders").select("o_orderkey").join(src.read(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.year("l_shipdate").cast("long").alias("y")), "o_orderkey")
-    return j.groupBy("o_orderkey").agg(F.count("*").alias("n_lines"), F.when(F.countDistinct("y") == 1, F.min("y")).alias("unanimous_year"))
+    # both tables as one: a single aggregation by key, with nothing to sort or to join
+    year = F.year("l_shipdate").cast("long")
+    orders = src.read(spark, sf, "orders").select("o_orderkey", F.lit(1).cast("long").alias("records"), F.lit(0).cast("long").alias("pages"), F.lit(None).cast("long").alias("y"))
+    both = orders.unionAll(src.read(spark, sf, "lineitem").select("l_orderkey", F.lit(0).cast("long"), F.lit(1).cast("long"), year))
+    found = both.filter("o_orderkey is not null").groupBy("o_orderkey").agg(F.sum("records").alias("records"), F.sum("pages").alias("pages"), F.min("y").alias("first"), F.max("y").alias("last"))
+    return found.filter("records > 0 and pages > 0").select("o_orderkey", (F.col("records") * F.col("pages")).alias("n_lines"), F.when(F.col("first") == F.col("last"), F.col("first")).alias("unanimous_year"))
 
 
 @query(f"""WITH w AS (SELECT page_id, list_distinct(list_filter({WORDS.format("regexp_extract(html, '(?s)<title>(.*?)</title>', 1)")}, lambda w: length(w) >= 3)) AS a, list_distinct(list_filter({WORDS.format("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")}, lambda w: length(w) >= 3)) AS b FROM pages)

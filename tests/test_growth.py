@@ -1,5 +1,6 @@
 """Steps whose cost must follow the rows, not groups, copies of a plan or sizes of values."""
 
+import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -48,3 +49,18 @@ def test_kernels_take_no_frames():
     assert out.article_id.tolist() == ["a", "a", None]
     titles = rest.assign(kind=["title", "body", "body"], x0=20.0)
     assert membership.barriers(titles)[2].tolist() == [False, True, False]
+
+
+def test_dates_need_no_join(spark, tmp_path):
+    """One aggregation over both tables: nothing to sort; repeated orders and pages without a date count as in SQL."""
+    from layoutlake.plans.resolvers import SQL
+
+    spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    rows = [(1, "2024-01-02"), (1, None), (2, "2024-01-02"), (2, "2023-01-02"), (4, "2024-01-02"), (None, "2024-01-02")]
+    spark.createDataFrame(rows, "l_orderkey long, d string").selectExpr("l_orderkey", "timestamp(d) AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    out = QUERIES["q62_unanimous_date"](spark, str(tmp_path))
+    assert "Join" not in plan(out)
+    duck = duckdb.connect()
+    for t in ("orders", "lineitem"):
+        duck.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    assert sorted(map(tuple, out.collect())) == sorted(duck.execute(SQL["q62_unanimous_date"]).fetchall()) == [(1, 2, 2024), (2, 4, None)]
