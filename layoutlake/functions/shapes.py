@@ -150,7 +150,8 @@ def clean_punctuation(c: Column) -> Column:
     ):
         out = F.regexp_replace(out, pattern, put)
     pieces = F.split(out, HELD)
-    return F.trim(F.array_join(F.transform(pieces, lambda p, k: F.concat(p, F.coalesce(F.get(held, k), F.lit("")))), ""))
+    # zipped, not looked up: an array that a lambda reads is found anew for each piece
+    return F.trim(F.array_join(F.zip_with(pieces, held, lambda p, h: F.concat(p, F.coalesce(h, F.lit("")))), ""))
 
 
 def joined(left: Column, right: Column, attested: Column, accepted: tuple[str, ...] = ()) -> tuple[Column, Column]:
