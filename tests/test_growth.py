@@ -1,10 +1,13 @@
 """Steps whose cost must follow the rows, not groups, copies of a plan or sizes of values."""
 
+import unicodedata
+
 import duckdb
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from layoutlake.functions import shapes, similarity
 from layoutlake.operators import claims, kernels, membership
 from layoutlake.plans.catalogue import QUERIES
 
@@ -64,3 +67,24 @@ def test_dates_need_no_join(spark, tmp_path):
     for t in ("orders", "lineitem"):
         duck.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
     assert sorted(map(tuple, out.collect())) == sorted(duck.execute(SQL["q62_unanimous_date"]).fetchall()) == [(1, 2, 2024), (2, 4, None)]
+
+
+def test_punctuation_finds_protected_spans_once(spark):
+    """A lambda that reads an array finds it anew for each element, so spans are zipped with the pieces around them."""
+    found = plan(spark.range(1).select(shapes.clean_punctuation(F.concat(F.lit("1.5 b"), "id"))))
+    assert "zip_with" in found and "transform(" not in found
+
+
+def test_few_texts_are_composed_in_python(spark):
+    """Only texts with characters that composition may change go to Python, and all come out composed."""
+    texts = ["plain ’ “ﬁne” è", "é", "Å", "ạ́", "각", "क़", "日本 да", "﻿a b", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").coalesce(1)
+    want = [t and unicodedata.normalize("NFC", t.replace("ﬁ", "fi").replace(" ", " ").replace("﻿", "")) for t in texts]
+    assert [r[0] for r in df.select(similarity.compose(F.col("t"))).collect()] == want
+    assert [bool(r[0]) for r in df.select(F.col("t").rlike(similarity.unstable())).collect()] == [False, True, True, True, True, True, False, False, False]
+
+
+def test_no_stable_character_is_missed(spark):
+    """Every character that is other in composed form, or joins an ``a``, is one that goes to Python."""
+    chars = [c for c in map(chr, range(1, 0x30000)) if not 0xD800 <= ord(c) < 0xE000 and (unicodedata.normalize("NFC", c) != c or unicodedata.normalize("NFC", "a" + c) != "a" + c)]
+    assert spark.createDataFrame([(c,) for c in chars], "c string").filter(~F.col("c").rlike(similarity.unstable())).count() == 0
