@@ -170,16 +170,19 @@ def absorbed(records: DataFrame, s: AbsorbSettings = AbsorbSettings()) -> DataFr
 
     ``records`` has document_id, article_id, title, body, pages (array), method and article_type.  A
     fragment goes to the first anchor (by id) within two pages that has half of its
-    shingles and no title of another article.
+    shingles and no title of another article.  Who is near whom is found without shingles, so
+    that those of a body are made once.
     """
-    hashed = F.transform(text.shingles(F.col("body"), s.shingle), lambda x: F.xxhash64(x))
-    r = records.withColumn("shingles", F.array_distinct(hashed)).withColumn("n", F.size("shingles"))
+    web = F.col("method") == "web_html"
+    hashed = text.shingle_hashes(F.col("body"), s.shingle)
+    with_shingles = lambda r: r.withColumn("shingles", hashed).withColumn("n", F.size("shingles"))
     # pages near an anchor meet fragments by an equi-join, not by comparing all records of a document
-    a = r.filter((F.col("method") == "web_html") & (F.col("n") > 0)).select("document_id", F.col("article_id").alias("anchor"), F.col("title").alias("a_title"), F.col("shingles").alias("a_shingles"), F.col("n").alias("a_n"), F.col("pages").alias("a_pages"))
-    reach = F.array_distinct(F.flatten(F.transform("a_pages", lambda p: F.sequence(p - s.pages, p + s.pages))))
-    near = a.select("document_id", "anchor", F.explode(reach).alias("page"))
-    f = r.filter((F.col("method") != "web_html") & (F.col("article_type") == "web") & (F.col("n") >= s.least_shingles)).select("document_id", F.col("article_id").alias("fragment"), F.col("title").alias("f_title"), "shingles", "n", "pages")
-    met = f.select("document_id", "fragment", F.explode("pages").alias("page")).join(near, ["document_id", "page"]).select("document_id", "fragment", "anchor").distinct()
+    anchors, fragments = records.filter(web), records.filter(~web & (F.col("article_type") == "web"))
+    a = with_shingles(anchors).filter(F.col("n") > 0).select("document_id", F.col("article_id").alias("anchor"), F.col("title").alias("a_title"), F.col("shingles").alias("a_shingles"), F.col("n").alias("a_n"), F.col("pages").alias("a_pages"))
+    reach = F.array_distinct(F.flatten(F.transform("pages", lambda p: F.sequence(p - s.pages, p + s.pages))))
+    near = anchors.select("document_id", F.col("article_id").alias("anchor"), F.explode(reach).alias("page"))
+    f = with_shingles(fragments).filter(F.col("n") >= s.least_shingles).select("document_id", F.col("article_id").alias("fragment"), F.col("title").alias("f_title"), "shingles", "n", "pages")
+    met = fragments.select("document_id", F.col("article_id").alias("fragment"), F.explode("pages").alias("page")).join(near, ["document_id", "page"]).select("document_id", "fragment", "anchor").distinct()
     p = met.join(f, ["document_id", "fragment"]).join(a, ["document_id", "anchor"])
     overlap = F.size(F.array_intersect("shingles", "a_shingles")) / F.greatest(F.lit(1), F.least("n", "a_n"))
     low = lambda c: F.coalesce(F.trim(F.regexp_replace(F.lower(c), r"\s+", " ")), F.lit(""))
