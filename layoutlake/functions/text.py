@@ -88,7 +88,7 @@ def shingle_hashes(c: Column, size: int) -> Column:
     """Distinct hashes of the word shingles of ``size``, each of its words' hashes; none for shorter texts."""
 
     def of(w: Column) -> Column:
-        each = F.transform(F.sequence(F.lit(1), F.size(w) - size + 1), lambda i: F.xxhash64(F.slice(w, i, size)))
+        each = F.transform(F.sequence(F.lit(0), F.size(w) - size), lambda i: F.xxhash64(*(F.get(w, i + k) for k in range(size))))
         return F.when(F.size(w) >= size, F.array_distinct(each)).otherwise(F.array().cast("array<bigint>"))
 
     return bound(F.transform(words(F.lower(c)), lambda w: F.xxhash64(w)), of)

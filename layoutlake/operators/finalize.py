@@ -178,13 +178,15 @@ def absorbed(records: DataFrame, s: AbsorbSettings = AbsorbSettings()) -> DataFr
     with_shingles = lambda r: r.withColumn("shingles", hashed).withColumn("n", F.size("shingles"))
     # pages near an anchor meet fragments by an equi-join, not by comparing all records of a document
     anchors, fragments = records.filter(web), records.filter(~web & (F.col("article_type") == "web"))
-    a = with_shingles(anchors).filter(F.col("n") > 0).select("document_id", F.col("article_id").alias("anchor"), F.col("title").alias("a_title"), F.col("shingles").alias("a_shingles"), F.col("n").alias("a_n"), F.col("pages").alias("a_pages"))
+    a = with_shingles(anchors).select("document_id", F.col("article_id").alias("anchor"), F.col("title").alias("a_title"), F.col("shingles").alias("a_shingles"), F.col("n").alias("a_n"), F.col("pages").alias("a_pages"))
     reach = F.array_distinct(F.flatten(F.transform("pages", lambda p: F.sequence(p - s.pages, p + s.pages))))
     near = anchors.select("document_id", F.col("article_id").alias("anchor"), F.explode(reach).alias("page"))
-    f = with_shingles(fragments).filter(F.col("n") >= s.least_shingles).select("document_id", F.col("article_id").alias("fragment"), F.col("title").alias("f_title"), "shingles", "n", "pages")
+    f = with_shingles(fragments).select("document_id", F.col("article_id").alias("fragment"), F.col("title").alias("f_title"), "shingles", "n", "pages")
     met = fragments.select("document_id", F.col("article_id").alias("fragment"), F.explode("pages").alias("page")).join(near, ["document_id", "page"]).select("document_id", "fragment", "anchor").distinct()
     p = met.join(f, ["document_id", "fragment"]).join(a, ["document_id", "anchor"])
-    overlap = F.size(F.array_intersect("shingles", "a_shingles")) / F.greatest(F.lit(1), F.least("n", "a_n"))
+    # asked of the pair: a filter on one side would make the shingles of that side once more
+    enough = (F.col("n") >= s.least_shingles) & (F.col("a_n") > 0)
+    overlap = F.when(enough, F.size(F.array_intersect("shingles", "a_shingles")) / F.greatest(F.lit(1), F.least("n", "a_n")))
     low = lambda c: F.coalesce(F.trim(F.regexp_replace(F.lower(c), r"\s+", " ")), F.lit(""))
     left, right = low(F.col("f_title")), low(F.col("a_title"))
     words = lambda c: text.content_tokens(c, 4)

@@ -88,3 +88,9 @@ def test_no_stable_character_is_missed(spark):
     """Every character that is other in composed form, or joins an ``a``, is one that goes to Python."""
     chars = [c for c in map(chr, range(1, 0x30000)) if not 0xD800 <= ord(c) < 0xE000 and (unicodedata.normalize("NFC", c) != c or unicodedata.normalize("NFC", "a" + c) != "a" + c)]
     assert spark.createDataFrame([(c,) for c in chars], "c string").filter(~F.col("c").rlike(similarity.unstable())).count() == 0
+
+
+def test_shingles_are_made_once(spark):
+    """No filter asks for shingles that a projection makes again."""
+    found = plan(QUERIES["q112_absorbed_fragments"](spark, "/root/testdata/sf0.001"))
+    assert found.count("regexp_extract_all(lower(coalesce(") <= 2 and not [line for line in found.split("\n") if "Filter" in line and "xxhash64" in line]
